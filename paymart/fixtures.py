@@ -175,4 +175,6 @@ def message_stream(spark: SparkSession, sf_dir: str, max_files: int | None = Non
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return messages_from(reader.parquet(f"{sf_dir}/events.parquet"))
+    # As a pattern the path may be one file or a folder of files; a streaming
+    # read takes a plain path for a folder.
+    return messages_from(reader.parquet(f"{sf_dir}/events.parque[t]"))

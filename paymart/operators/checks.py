@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paymart.functions.messages import parse_messages
 from paymart.functions.calendar import business_day
+from paymart.functions.messages import parse_messages
 from paymart.operators.filters import filter_quote_currency, filter_real_accounts
 from paymart.schemas import INT32_MAX, INT32_MIN, QUOTE_CURRENCY
 
@@ -22,11 +23,16 @@ def require_rows(df: DataFrame, what: str = "the load") -> DataFrame:
 
     Call it before a shuffle: then the test stops at the first row found.
     """
-    if df.isEmpty():
+    if not df.take(1):
         raise EmptyLoadError(f"{what} has no rows")
     return df
 
 
+def any_null(columns: Sequence[str]) -> Column:
+    """True for a row that lacks one of the required values."""
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
+
+
 def not_null_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows with NULL, per required column; one pass over the data."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])

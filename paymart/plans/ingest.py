@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paymart.functions.columns import conform_rate, conform_transaction
-from paymart.functions.messages import decode_envelope
-from paymart.operators.checks import require_rows
+from paymart.functions.messages import decode_envelope, parse_messages
+from paymart.operators.checks import any_null, require_rows
 from paymart.operators.dedup import one_per_key
 from paymart.operators.filters import Day, filter_message_type
 from paymart.plans.mart import metrics_backfill
-from paymart.schemas import METRICS_BY_STATUS, RATES, TRANSACTION, TRANSACTION_TABLE, TXN_COLUMNS
+from paymart.schemas import (
+    MESSAGE_TYPE,
+    METRICS_BY_STATUS,
+    RATES,
+    TRANSACTION,
+    TRANSACTION_TABLE,
+    TXN_COLUMNS,
+)
 from paymart.sinks.tables import insert_new, load_rates, read_table, replace_days
 from paymart.sources.rates import good_rates, read_rates_csv
 
@@ -31,10 +39,45 @@ def transactions_from_messages(messages: DataFrame) -> DataFrame:
     return conform_transaction(latest.select("t.*").select(*TXN_COLUMNS))
 
 
-def ingest_messages(messages: DataFrame, path: str) -> int:
-    """Add the transactions among the messages that the table does not have."""
+def insert_messages(messages: DataFrame, path: str) -> int:
+    """Add the transactions among the messages that the table does not have.
+
+    Rows that lack a required value stay out; ``rejected_messages`` has them.
+
+    The rows are used twice, for their days and for the insert. They are kept
+    meanwhile, so messages are read and parsed once; parts lost with an
+    executor are made again, with the same rows, as the dedup is repeatable.
+    """
+    rows = transactions_from_messages(messages).where(~any_null(TXN_COLUMNS))
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return insert_new(rows, path)
+    finally:
+        rows.unpersist()
+
+
+def rejected_messages(messages: DataFrame) -> DataFrame:
+    """Texts that do not become a row of the table, and why.
+
+    ``envelope`` or ``payload``: that part is not JSON. ``null``: it is, but a
+    required value is missing or not of its type.
+    """
+    parsed = parse_messages(messages).select("raw", "e.object_type", "t.*", "reject_reason")
+    reason = F.coalesce(
+        "reject_reason", F.when((F.col("object_type") == MESSAGE_TYPE) & any_null(TXN_COLUMNS), F.lit("null"))
+    )
+    return parsed.select(reason.alias("reject_reason"), "raw").where("reject_reason IS NOT NULL")
+
+
+def ingest_messages(messages: DataFrame, path: str, rejects_path: str | None = None) -> int:
+    """The daily load of a topic; one without transactions is an error.
+
+    Rejected texts go to ``rejects_path``, a folder of this load alone.
+    """
     require_rows(filter_message_type(decode_envelope(messages)), "the topic")
-    return insert_new(transactions_from_messages(messages), path)
+    if rejects_path:
+        rejected_messages(messages).write.mode("overwrite").parquet(rejects_path)
+    return insert_messages(messages, path)
 
 
 def ingest_rates(spark: SparkSession, csv_path: str, *paths: str) -> list[int]:

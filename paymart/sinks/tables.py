@@ -1,9 +1,10 @@
 """Parquet tables partitioned by day, and ways to put rows into them.
 
-Every write goes through ``_by_day``: rows are clustered by day with a
-rebalance, in which the adaptive plan cuts a day that is far larger than the
-others into several tasks and packs small days together, so neither a hot day
-nor many tiny files follow from the partitioning.
+Transactions are clustered by day with a rebalance, in which the adaptive plan
+cuts a day that is far larger than the others into several tasks and packs
+small days together, so neither a hot day nor many tiny files follow from the
+partitioning. Mart days are a few rows each; there the number of files counts,
+so days are dealt out to a fixed number of tasks.
 
 Plain Parquet has no transactions. Appends show up when their job commits;
 replacements move finished files into place at the end of the job, one
@@ -35,13 +36,14 @@ from paymart.session import shared_dir
 
 TXN_SORT = ["currency_code", "status", "account_number_from"]
 METRICS_SORT = ["currency_from", "status"]
+METRICS_TASKS = 32
 
 
 def create_tables(
     spark: SparkSession, database: str, location: str, tables: dict[str, tuple[StructType, str]]
 ) -> None:
     """Day-partitioned catalogue tables below ``location``, where not there yet."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{location}'")
     for name, (schema, day_column) in tables.items():
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         spark.sql(
@@ -60,15 +62,18 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def _by_day(df: DataFrame, day_column: str, sort_by: Sequence[str]) -> DataFrame:
-    return df.hint("rebalance", day_column).sortWithinPartitions(day_column, *sort_by)
+def _by_day(df: DataFrame, day_column: str, sort_by: Sequence[str], tasks: int | None = None) -> DataFrame:
+    spread = df.repartition(tasks, day_column) if tasks else df.hint("rebalance", day_column)
+    return spread.sortWithinPartitions(day_column, *sort_by)
 
 
-def _append(df: DataFrame, path: str, day_column: str, sort_by: Sequence[str]) -> int:
+def _append(
+    df: DataFrame, path: str, day_column: str, sort_by: Sequence[str], tasks: int | None = None
+) -> int:
     """Append and tell how many rows were written, counted by the write itself."""
     counted = Observation()
     (
-        _by_day(df, day_column, sort_by)
+        _by_day(df, day_column, sort_by, tasks)
         .observe(counted, F.count(F.lit(1)).alias("n"))
         .write.partitionBy(day_column)
         .mode("append")
@@ -122,7 +127,7 @@ def load_rates(rates: DataFrame, *paths: str) -> list[int]:
 def append_metrics(metrics: DataFrame, path: str) -> int:
     """Add mart rows; a second run adds them again, ``replace_days`` does not."""
     rows = to_target_columns(metrics, METRICS_BY_STATUS.fieldNames())
-    return _append(rows, path, METRICS_DAY, METRICS_SORT)
+    return _append(rows, path, METRICS_DAY, METRICS_SORT, METRICS_TASKS)
 
 
 def replace_days(
@@ -133,6 +138,7 @@ def replace_days(
     schema: StructType = METRICS_BY_STATUS,
     day_column: str = METRICS_DAY,
     sort_by: Sequence[str] = METRICS_SORT,
+    tasks: int | None = METRICS_TASKS,
 ) -> int:
     """Make the days ``first`` to ``last`` of a table hold exactly these rows.
 
@@ -149,7 +155,7 @@ def replace_days(
     written = Observation()
     rows = to_target_columns(df, schema.fieldNames()).where(in_range)
     (
-        _by_day(rows, day_column, sort_by)
+        _by_day(rows, day_column, sort_by, tasks)
         .observe(written, F.count(F.lit(1)).alias("n"), F.collect_set(day_column).alias("days"))
         .write.partitionBy(day_column)
         .mode("overwrite")
@@ -178,15 +184,19 @@ def insert_new(
     day_column: str = TXN_DAY,
     sort_by: Sequence[str] = TXN_SORT,
     order_by: Sequence[str] = (),
+    days: Sequence | None = None,
 ) -> int:
     """Insert rows whose key the table lacks; nothing stored is rewritten.
 
     The day belongs to the key. Therefore only the key columns of the days at
-    hand are read, and they are the only ones that can conflict.
+    hand are read, and they are the only ones that can conflict. ``days`` may
+    name them where the caller knows them; otherwise the rows are asked.
     """
     spark = rows.sparkSession
     rows = to_target_columns(rows, [*schema.fieldNames(), *[c for c in order_by if c not in schema.fieldNames()]])
-    stored = read_table(spark, path, schema).where(F.col(day_column).isin(_touched_days(rows, day_column)))
+    if days is None:
+        days = _touched_days(rows, day_column)
+    stored = read_table(spark, path, schema).where(F.col(day_column).isin(list(days)))
     fresh = rows_to_insert(stored, rows, key, order_by).select(*schema.fieldNames())
     return _append(fresh, path, day_column, sort_by)
 

@@ -18,9 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 from paymart.functions.columns import conform_transaction
 from paymart.functions.messages import decode_envelope, decode_payload
 from paymart.operators.filters import filter_message_type
-from paymart.plans.ingest import transactions_from_messages
+from paymart.plans.ingest import insert_messages, rejected_messages
 from paymart.schemas import EVENT_TIME, EVENT_TIME_DELAY
-from paymart.sinks.tables import insert_new
 
 MESSAGE_KEY = ("object_type", "object_id")
 
@@ -75,15 +74,19 @@ def stream_to_files(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery
     )
 
 
-def stream_upsert(messages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def stream_upsert(
+    messages: DataFrame, path: str, checkpoint: str, rejects_path: str | None = None
+) -> StreamingQuery:
     """Load a message stream into the transactions table, each one once.
 
     A micro-batch that is repeated after a failure inserts nothing twice, as
-    its keys are in the table by then.
+    its keys are in the table by then, and rewrites its own rejects.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        insert_new(transactions_from_messages(batch), path)
+        if rejects_path:
+            rejected_messages(batch).write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
+        insert_messages(batch, path)
 
     return (
         messages.writeStream.foreachBatch(load)

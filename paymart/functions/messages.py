@@ -37,17 +37,24 @@ def parse_messages(df: DataFrame, field: str = "value", message_type: str = MESS
     ``reject_reason`` is ``envelope`` or ``payload`` where that part did not
     parse and NULL otherwise. Payloads of other message types have another
     shape, so they are not judged.
+
+    Each parse sits in a generator of one row. The verdict reads every parsed
+    field, and a filter on it would otherwise be pushed down together with one
+    copy of the parse per field.
     """
     raw = F.col(field).cast("string")
-    parsed = df.select(raw.alias("raw"), F.from_json(raw, ENVELOPE).alias("e")).select(
-        "raw", "e", F.from_json("e.payload", TRANSACTION).alias("t")
-    )
+    opened = df.select(_once(raw.alias("raw"), F.from_json(raw, ENVELOPE).alias("e")))
+    parsed = opened.select(_once("raw", "e", F.from_json("e.payload", TRANSACTION).alias("t")))
     reason = F.when(_all_null("e", ENVELOPE), F.lit("envelope")).when(
         (F.col("e.object_type") == message_type) & _all_null("t", TRANSACTION), F.lit("payload")
     )
     return parsed.select("raw", "e", "t", reason.alias("reject_reason"))
 
 
+def _once(*columns: Column | str) -> Column:
+    return F.inline(F.array(F.struct(*columns)))
+
+
 def _as_text(df: DataFrame, column: str) -> Column:
     if df.schema[column].dataType.typeName().startswith("timestamp"):
         return F.date_format(column, JSON_TIME).alias(column)

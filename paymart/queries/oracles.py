@@ -8,6 +8,7 @@ such, and messages are selected from the events without any JSON parsing.
 from __future__ import annotations
 
 from paymart.queries.batch import FIRST_DAY, LAST_DAY, ONE_DAY, TABLES
+from paymart.queries.stored import REPLACED_FIRST, REPLACED_LAST, REPLACED_WITH_ROWS
 from paymart.schemas import STATUSES, TRANSACTION_TYPES
 
 TXN_LIST = (
@@ -123,6 +124,7 @@ def _mart(
 
 MERGED = _mart("txn", False, "present")
 BY_STATUS = _mart("txn", True, "positive")
+EVENTS_BY_STATUS = _mart("evt", True, "positive")
 NAMES = "(SELECT DISTINCT country, currency_code FROM txn)"
 ONE_DAY_ONLY = f"CAST(transaction_dt AS DATE) = DATE '{ONE_DAY}'"
 DAYS_ONLY = f"CAST(transaction_dt AS DATE) BETWEEN DATE '{FIRST_DAY}' AND DATE '{LAST_DAY}'"
@@ -331,10 +333,10 @@ ORACLES: dict[str, str] = {
     "load_rates": _q("SELECT * FROM rates"),
     "append_transactions": _q(f"SELECT {STORED_EVENT} FROM evt UNION ALL SELECT {STORED_EVENT} FROM evt"),
     "write_count": "SELECT count(*) AS rows_written FROM events",
-    "append_metrics": _q(f"SELECT * FROM {BY_STATUS}"),
+    "append_metrics": _q(f"SELECT * FROM {EVENTS_BY_STATUS}"),
     "replace_days": _q(
-        f"SELECT * FROM {BY_STATUS} WHERE status = 'done' "
-        f"OR date_update NOT BETWEEN DATE '{FIRST_DAY}' AND DATE '{LAST_DAY}'"
+        f"SELECT * FROM {EVENTS_BY_STATUS} WHERE date_update < DATE '{REPLACED_FIRST}' "
+        f"OR date_update > DATE '{REPLACED_LAST}' OR (status = 'done' AND date_update <= DATE '{REPLACED_WITH_ROWS}')"
     ),
     "update_mart": _q(
         "SELECT * FROM "

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from paymart import fixtures, functions
 from paymart.plans import ingest, mart
-from paymart.queries.batch import FIRST_DAY, LAST_DAY
 from paymart.queries.shaping import as_text, registry
 from paymart.schemas import (
     METRICS,
@@ -26,6 +25,12 @@ from paymart.sources.topics import read_messages_batch as read_batch
 
 QUERIES, register = registry()
 
+# Days of the stored mart that ``replace_days`` is asked for; of these, the
+# ones up to the third date get new rows.
+REPLACED_FIRST = "2024-01-10"
+REPLACED_LAST = "2024-01-20"
+REPLACED_WITH_ROWS = "2024-01-15"
+
 
 def _conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return functions.conform_transaction(fixtures.event_transactions(spark, sf_dir))
@@ -33,7 +38,7 @@ def _conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _mart(spark: SparkSession, sf_dir: str, **options: object) -> DataFrame:
     return mart.global_metrics_by_status(
-        fixtures.transactions(spark, sf_dir), fixtures.currencies(spark, sf_dir), **options
+        fixtures.event_transactions(spark, sf_dir), fixtures.currencies(spark, sf_dir), **options
     )
 
 
@@ -90,12 +95,17 @@ def append_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def replace_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole mart, then a month of it replaced twice by the `done` rows alone."""
+    """The whole mart, then some of its days replaced, twice, by fewer rows.
+
+    The new rows are those of one status, and none for the last of the days:
+    these come out empty.
+    """
     path = scratch_path(spark, "metrics")
     whole = _mart(spark, sf_dir)
     tables.append_metrics(whole, path)
+    fewer = whole.where(f"status = 'done' AND date_update <= '{REPLACED_WITH_ROWS}'")
     for _ in range(2):
-        tables.replace_days(whole.where("status = 'done'"), path, FIRST_DAY, LAST_DAY)
+        tables.replace_days(fewer, path, REPLACED_FIRST, REPLACED_LAST)
     return tables.read_table(spark, path, METRICS_BY_STATUS)
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paymart.operators.checks import any_null
 from paymart.schemas import RATES
 
 CORRUPT = "_corrupt_record"
@@ -13,8 +15,7 @@ CORRUPT = "_corrupt_record"
 def read_rates_csv(spark: SparkSession, path: str) -> DataFrame:
     """Rates with an extra column that holds the text of a bad line.
 
-    A field that does not parse is NULL, the rest of its row is kept. Pruning
-    is off, so a bad line is marked whichever columns a query asks for.
+    A field that does not parse is NULL, the rest of its row is kept.
     """
     schema = T.StructType(RATES.fields + [T.StructField(CORRUPT, T.StringType())])
     return (
@@ -22,15 +23,23 @@ def read_rates_csv(spark: SparkSession, path: str) -> DataFrame:
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("columnPruning", False)
         .option("dateFormat", "yyyy-MM-dd")
         .csv(path)
     )
 
 
+def _bad_line() -> Column:
+    """Marked, or without one of the values, all of which are required.
+
+    Naming all columns matters: the reader marks a line only for fields that
+    the query asks for.
+    """
+    return F.col(CORRUPT).isNotNull() | any_null(RATES.fieldNames())
+
+
 def good_rates(rates: DataFrame) -> DataFrame:
-    return rates.where(rates[CORRUPT].isNull()).select(*RATES.fieldNames())
+    return rates.where(~_bad_line()).select(*RATES.fieldNames())
 
 
 def bad_rates(rates: DataFrame) -> DataFrame:
-    return rates.where(rates[CORRUPT].isNotNull())
+    return rates.where(_bad_line())

@@ -23,7 +23,7 @@ HEADLINE = [
     "global_metrics",
     "global_metrics_by_status_of_events",
     "metrics_for_day",
-    "run_sql_file_for_day",
+    "run_sql_file",
     "metrics_backfill",
     "account_day_totals",
     "account_day_status_totals",

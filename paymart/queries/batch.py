@@ -18,10 +18,8 @@ from paymart.schemas import (
     STATUSES,
     TRANSACTION_TYPES,
     TXN_COLUMNS,
-    TXN_KEY,
 )
-from paymart.sources import objects
-from paymart.sources.sqlfile import METRICS_FOR_DAY, run_sql_file
+from paymart.sources import objects, sqlfile
 
 QUERIES, register = registry()
 
@@ -70,10 +68,10 @@ def select_transaction_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register
-def run_sql_file_for_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_sql_file(
+def run_sql_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sqlfile.run_sql_file(
         spark,
-        METRICS_FOR_DAY,
+        sqlfile.METRICS_FOR_DAY,
         {"business_dt": ONE_DAY, "quote": 420},
         transactions=fixtures.transactions(spark, sf_dir),
         rates=fixtures.currencies(spark, sf_dir),

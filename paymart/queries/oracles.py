@@ -169,7 +169,7 @@ ORACLES: dict[str, str] = {
     "profile_source": " UNION ALL ".join(_profile(t) for t in TABLES),
     "read_where": "SELECT * FROM orders WHERE o_totalprice > 250000 AND o_orderstatus = 'F'",
     "select_transaction_columns": _q(f"SELECT {TXN_LIST} FROM evt"),
-    "run_sql_file_for_day": _q(f"SELECT * FROM {_mart('txn', True, 'positive', where=ONE_DAY_ONLY)}"),
+    "run_sql_file": _q(f"SELECT * FROM {_mart('txn', True, 'positive', where=ONE_DAY_ONLY)}"),
     "preview": _q("SELECT * FROM rates ORDER BY date_update, currency_code, currency_code_with LIMIT 5"),
     # projections, filters, scalar functions
     "decode_json": "SELECT CAST(regexp_extract(props, '\"k\": ?(-?[0-9]+)', 1) AS INTEGER) AS k FROM events",
@@ -328,6 +328,9 @@ ORACLES: dict[str, str] = {
     "read_messages_batch": _q(
         f"SELECT {ENVELOPE} AS value FROM sent UNION ALL SELECT 'not json' FROM events WHERE event_id < 3"
     ),
+    "produce_messages": _q(
+        f"SELECT {ENVELOPE} AS value FROM (SELECT * REPLACE ('TRANSACTION' AS object_type) FROM msg)"
+    ),
     "replay_table_to_topic": _q(f"SELECT {STORED_EVENT} FROM evt"),
     "read_rates_csv": _q("SELECT * FROM rates"),
     "load_rates": _q("SELECT * FROM rates"),

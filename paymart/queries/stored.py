@@ -49,6 +49,14 @@ def read_messages_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(read_batch(spark, {"path": path}, format="parquet"))
 
 
+@register
+def produce_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "topic")
+    made = functions.encode_messages(fixtures.event_transactions(spark, sf_dir))
+    topics.produce_messages(made, {"path": path}, format="parquet")
+    return as_text(read_batch(spark, {"path": path}, format="parquet"))
+
+
 @register
 def replay_table_to_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "topic")

@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# The ids that a streaming dedup remembers live in RocksDB on local disk, with
+# a copy in the checkpoint, and not in executor memory.
+#
 # Left to Spark's own defaults on purpose: the broadcast threshold (a size
 # check before every broadcast), file split size and executor sizing.
 SETTINGS = {
@@ -15,6 +18,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 
@@ -31,15 +37,16 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session without that setting gets a folder of its own.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    own = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(own)
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -70,7 +70,11 @@ def _by_day(df: DataFrame, day_column: str, sort_by: Sequence[str], tasks: int |
 def _append(
     df: DataFrame, path: str, day_column: str, sort_by: Sequence[str], tasks: int | None = None
 ) -> int:
-    """Append and tell how many rows were written, counted by the write itself."""
+    """Append and tell how many rows were written, counted by the write itself.
+
+    The number is for reports: a part of the write that is repeated after a
+    lost executor may be counted again.
+    """
     counted = Observation()
     (
         _by_day(df, day_column, sort_by, tasks)
@@ -217,7 +221,9 @@ def insert_or_update(
     """
     spark = rows.sparkSession
     days = _touched_days(rows, day_column)
-    stored = read_table(spark, path, schema).where(F.col(day_column).isin(days))
+    # Rows without a day share one directory, which a write to it replaces.
+    at_hand = F.col(day_column).isin(days) | F.col(day_column).isNull()
+    stored = read_table(spark, path, schema).where(at_hand)
     written = Observation()
     (
         _by_day(upsert_do_update(stored, rows, key, order_by), day_column, sort_by)

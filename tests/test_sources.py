@@ -100,6 +100,7 @@ class _Unset:
         self.conf = self
         self.sparkContext = self
         self.master = master
+        self.checkpoint = None
 
     def get(self, key, default=None):
         return self.kept.get(key, default)
@@ -110,6 +111,9 @@ class _Unset:
     def setCheckpointDir(self, path):
         self.checkpoint = path
 
+    def getCheckpointDir(self):
+        return self.checkpoint
+
 
 def test_shared_folder_is_required_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):

@@ -128,6 +128,32 @@ def test_insert_or_update_rewrites_only_the_days_at_hand(spark, tmp_path, path):
     assert sorted((tmp_path / "table" / "business_dt=2022-10-02").iterdir()) == untouched
 
 
+def test_update_keeps_stored_rows_without_a_day(spark, path):
+    tables.append_transactions(txns(spark, ("x", None, "done"), ("1", D1, "done")), path)
+    tables.insert_or_update(txns(spark, ("y", None, "done"), ("1", D1, "queued")), path)
+    assert stored(spark, path) == [("1", D1, "queued"), ("x", None, "done"), ("y", None, "done")]
+
+
+def test_hot_day_is_written_by_several_tasks(spark, tmp_path, path):
+    n = 90_000
+    hot = spark.range(n).selectExpr(
+        "CAST(id AS STRING) AS operation_id", "CAST(id AS INT) AS account_number_from", "2 AS account_number_to",
+        "430 AS currency_code", "uuid() AS country", "'done' AS status", "'t' AS transaction_type", "id AS amount",
+        "TIMESTAMP_NTZ '2022-10-01 00:00:00' + make_dt_interval(IF(id % 3 = 0, 0, id % 10)) AS transaction_dt",
+    ).withColumn("business_dt", F.to_date("transaction_dt"))
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "256k")
+    try:
+        tables.append_transactions(hot.repartition(8), path)
+    finally:
+        spark.conf.set(setting, before)
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "table").glob("business_dt=*")}
+    assert len(files) == 10
+    assert files["business_dt=2022-10-01"] > 3
+    assert tables.read_table(spark, path, TRANSACTION_TABLE).count() == n
+
+
 def test_null_keys_never_conflict(spark, rows):
     target = spark.createDataFrame([(None, "t"), ("a", "t")], "id STRING, v STRING")
     incoming = spark.createDataFrame([(None, "r"), (None, "r"), ("a", "r"), ("b", "r")], "id STRING, v STRING")

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paymart.functions.messages import encode_json
-from paymart.schemas import TXN_COLUMNS
+from paymart.schemas import INT32_MAX, TXN_COLUMNS
 
 # Source value -> status, in the order they are tested.
 ORDER_STATUS = {
@@ -47,6 +47,8 @@ LAYOUTS = {
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
 }
 
+CUT_OFF_AFTER = 40
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read.schema(LAYOUTS[name]) if name in LAYOUTS else spark.read
@@ -150,14 +152,14 @@ def messages_from(events: DataFrame, damaged: bool = False) -> DataFrame:
 
     Purchases are transactions, the rest messages of another type. Every tenth
     message is sent twice, and three texts are not JSON. With ``damaged`` set,
-    all messages are transactions; those of errors have half a payload, those
-    of signups half an envelope.
+    all messages are transactions; those of errors have a payload that breaks
+    off, those of signups an envelope that does.
     """
     payloads = encode_json(from_events(events), TXN_COLUMNS)
     payload = F.col("payload")
     kind = F.when(F.col("event_type") == "purchase", "TRANSACTION").otherwise("CURRENCY")
     if damaged:
-        payload = F.when(F.col("event_type") == "error", _first_half("payload")).otherwise(payload)
+        payload = _cut_off("payload", F.col("event_type") == "error")
         kind = F.lit("TRANSACTION")
     wrapped = encode_json(
         payloads.select(
@@ -173,7 +175,7 @@ def messages_from(events: DataFrame, damaged: bool = False) -> DataFrame:
     )
     text = F.col("text")
     if damaged:
-        text = F.when(F.col("event_type") == "signup", _first_half("text")).otherwise(text)
+        text = _cut_off("text", F.col("event_type") == "signup")
         return wrapped.select(text.cast("binary").alias("value"))
     again = F.when(F.col("event_id") % 10 == 0, text)
     broken = F.when(F.col("event_id") < 3, F.lit("not json"))
@@ -181,8 +183,9 @@ def messages_from(events: DataFrame, damaged: bool = False) -> DataFrame:
     return wrapped.select(copies.alias("text")).select(F.col("text").cast("binary").alias("value"))
 
 
-def _first_half(column: str):
-    return F.substring(F.col(column), F.lit(1), F.floor(F.length(column) / 2).cast("int"))
+def _cut_off(column: str, where: Column) -> Column:
+    """The text, or only its first characters where the condition holds."""
+    return F.substring(column, F.lit(1), F.when(where, CUT_OFF_AFTER).otherwise(INT32_MAX))
 
 
 def messages(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:

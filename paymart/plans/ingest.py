@@ -19,8 +19,16 @@ from paymart.schemas import (
     TRANSACTION,
     TRANSACTION_TABLE,
     TXN_COLUMNS,
+    TXN_DAY,
+)
+from paymart.sinks.tables import (
+    days_between,
+    insert_new,
+    load_rates,
+    read_days,
+    read_table,
+    replace_days,
 )
-from paymart.sinks.tables import insert_new, load_rates, read_table, replace_days
 from paymart.sources.rates import good_rates, read_rates_csv
 
 
@@ -29,13 +37,15 @@ def transactions_from_messages(messages: DataFrame) -> DataFrame:
 
     The type filter comes before the dedup, so other types are not shuffled;
     the type being part of the key, the result is the same. The payload is
-    parsed before it as well: the typed fields are smaller than their text.
+    parsed before it as well: the typed fields are smaller than their text. A
+    message without an id goes by the operation in its payload, so that
+    different ones do not fall together.
     """
     sent = filter_message_type(decode_envelope(messages))
-    parsed = sent.select(
-        "object_id", "sent_dttm", F.from_json("payload", TRANSACTION).alias("t")
+    parsed = sent.select("object_id", "sent_dttm", F.from_json("payload", TRANSACTION).alias("t")).select(
+        F.coalesce("object_id", "t.operation_id").alias("id"), "sent_dttm", "t"
     )
-    latest = one_per_key(parsed, ["object_id"], ["sent_dttm"])
+    latest = one_per_key(parsed, ["id"], ["sent_dttm"])
     return conform_transaction(latest.select("t.*").select(*TXN_COLUMNS))
 
 
@@ -90,7 +100,7 @@ def update_mart(
     spark: SparkSession, transactions_path: str, rates_path: str, mart_path: str, first: Day, last: Day
 ) -> int:
     """Recompute a range of days from the stored tables and put them in place."""
-    transactions = read_table(spark, transactions_path, TRANSACTION_TABLE)
+    transactions = read_days(spark, transactions_path, TRANSACTION_TABLE, TXN_DAY, days_between(first, last))
     rates = read_table(spark, rates_path, RATES)
     return replace_days(
         metrics_backfill(transactions, rates, first, last), mart_path, first, last, METRICS_BY_STATUS

@@ -145,11 +145,11 @@ STORED_TARGET = TXN_LIST.replace("country", "'stored' AS country").replace(
 
 DAMAGED_TEXT = f"""(
     SELECT IF(event_type = 'signup', 'envelope', IF(event_type = 'error', 'payload', NULL)) AS reject_reason,
-           IF(event_type = 'signup', left(text, length(text) // 2), text) AS raw
+           IF(event_type = 'signup', left(text, 40), text) AS raw
     FROM (SELECT event_type, {ENVELOPE} AS text
           FROM (SELECT event_type, operation_id AS object_id, 'TRANSACTION' AS object_type,
                        transaction_dt AS sent_dttm,
-                       IF(event_type = 'error', left(whole, length(whole) // 2), whole) AS payload
+                       IF(event_type = 'error', left(whole, 40), whole) AS payload
                 FROM (SELECT *, {PAYLOAD} AS whole FROM evt))))"""
 
 

@@ -14,7 +14,8 @@ a failure and then give the same table.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import datetime as dt
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -38,6 +39,9 @@ TXN_SORT = ["currency_code", "status", "account_number_from"]
 METRICS_SORT = ["currency_from", "status"]
 METRICS_TASKS = 32
 
+# Directory of the rows that have no day, as Spark names it.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
 
 def create_tables(
     spark: SparkSession, database: str, location: str, tables: dict[str, tuple[StructType, str]]
@@ -62,6 +66,27 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def days_between(first: Day, last: Day) -> list[dt.date]:
+    start, end = (d if isinstance(d, dt.date) else dt.date.fromisoformat(d) for d in (first, last))
+    return [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
+
+
+def read_days(
+    spark: SparkSession, path: str, schema: StructType, day_column: str, days: Iterable[dt.date | None]
+) -> DataFrame:
+    """Some days of a stored table; the files of no other day are even listed.
+
+    ``None`` stands for the rows without a day.
+    """
+    names = ",".join(NO_DAY if d is None else d.isoformat() for d in days)
+    try:
+        return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/{day_column}={{{names}}}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def _by_day(df: DataFrame, day_column: str, sort_by: Sequence[str], tasks: int | None = None) -> DataFrame:
     spread = df.repartition(tasks, day_column) if tasks else df.hint("rebalance", day_column)
     return spread.sortWithinPartitions(day_column, *sort_by)
@@ -152,9 +177,8 @@ def replace_days(
     """
     spark = df.sparkSession
     in_range = F.col(day_column).between(day_literal(first), day_literal(last))
-    stored = {
-        row[0] for row in read_table(spark, path, schema).where(in_range).select(day_column).distinct().collect()
-    }
+    before = read_days(spark, path, schema, day_column, days_between(first, last))
+    stored = {row[0] for row in before.select(day_column).distinct().collect()}
 
     written = Observation()
     rows = to_target_columns(df, schema.fieldNames()).where(in_range)
@@ -200,7 +224,7 @@ def insert_new(
     rows = to_target_columns(rows, [*schema.fieldNames(), *[c for c in order_by if c not in schema.fieldNames()]])
     if days is None:
         days = _touched_days(rows, day_column)
-    stored = read_table(spark, path, schema).where(F.col(day_column).isin(list(days)))
+    stored = read_days(spark, path, schema, day_column, days)
     fresh = rows_to_insert(stored, rows, key, order_by).select(*schema.fieldNames())
     return _append(fresh, path, day_column, sort_by)
 
@@ -220,10 +244,9 @@ def insert_or_update(
     job commits and only then replaced, so a failing job changes nothing.
     """
     spark = rows.sparkSession
-    days = _touched_days(rows, day_column)
     # Rows without a day share one directory, which a write to it replaces.
-    at_hand = F.col(day_column).isin(days) | F.col(day_column).isNull()
-    stored = read_table(spark, path, schema).where(at_hand)
+    days = [None, *_touched_days(rows, day_column)]
+    stored = read_days(spark, path, schema, day_column, days)
     written = Observation()
     (
         _by_day(upsert_do_update(stored, rows, key, order_by), day_column, sort_by)

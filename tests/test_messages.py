@@ -113,6 +113,11 @@ def test_latest_copy_wins_whatever_the_order(spark, rows):
         assert rows(transactions_from_messages(messages(spark, *texts)), "status") == [("done",)]
 
 
+def test_messages_without_id_go_by_their_operation(spark, rows):
+    texts = [envelope(None, body=payload(operation_id=i)) for i in ("x", "y", "y")]
+    assert rows(transactions_from_messages(messages(spark, *texts)), "operation_id") == [("x",), ("y",)]
+
+
 def test_id_shared_by_two_types_keeps_the_transaction(spark, rows):
     df = messages(spark, envelope("a", "CURRENCY", body="{}"), envelope("a"))
     assert dedup_by_id(decode_envelope(df)).count() == 2

@@ -51,6 +51,17 @@ def test_table_never_written_is_empty(spark, path):
     assert tables.read_table(spark, path, TRANSACTION_TABLE).count() == 0
 
 
+def test_reading_days_lists_no_others(spark, path):
+    tables.append_transactions(txns(spark, ("1", D1, "done"), ("2", D2, "done"), ("x", None, "done")), path)
+    found = tables.read_days(spark, path, TRANSACTION_TABLE, "business_dt", [D2, D3])
+    assert [(r["operation_id"], r["business_dt"]) for r in found.collect()] == [("2", D2)]
+    assert all("business_dt=2022-10-02" in f for f in found.inputFiles())
+    assert tables.read_days(spark, path, TRANSACTION_TABLE, "business_dt", [D4]).count() == 0
+    assert tables.read_days(spark, path, TRANSACTION_TABLE, "business_dt", []).count() == 0
+    without = tables.read_days(spark, path, TRANSACTION_TABLE, "business_dt", [None]).collect()
+    assert [(r["operation_id"], r["business_dt"]) for r in without] == [("x", None)]
+
+
 def test_append_to_two_targets(spark, tmp_path):
     paths = [str(tmp_path / n) for n in "ab"]
     rows = txns(spark, ("1", D1, "done"), ("2", D2, "done")).select(*reversed(TRANSACTION_TABLE.fieldNames()))

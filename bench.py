@@ -1,8 +1,8 @@
 """Times the headline queries and prints one JSON line.
 
 ``BENCH_SF_DIR`` is the table folder, ``BENCH_CPUS`` the number of cores. Each
-query is written in full to the ``noop`` sink: one warm-up, then the median of
-``BENCH_RUNS`` runs. Queries that store something do so in each run.
+query is written in full to the ``noop`` sink: all of them once to warm up, then
+the median of ``BENCH_RUNS`` runs each. Queries that store something do so in each run.
 """
 
 from __future__ import annotations
@@ -77,9 +77,10 @@ def main() -> None:
     }
     spark = get_session("paymart-bench", **settings)
 
-    seconds = {}
     for name in names:
         run(spark, name, sf_dir)
+    seconds = {}
+    for name in names:
         seconds[name] = round(statistics.median(run(spark, name, sf_dir) for _ in range(runs)), 3)
         print(f"{name:40s} {seconds[name]:8.3f}", file=sys.stderr, flush=True)
 

@@ -67,7 +67,7 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def days_between(first: Day, last: Day) -> list[dt.date]:
-    start, end = (d if isinstance(d, dt.date) else dt.date.fromisoformat(d) for d in (first, last))
+    start, end = (dt.date.fromisoformat(str(d)[:10]) for d in (first, last))
     return [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
 
 
@@ -124,10 +124,16 @@ def to_targets(df: DataFrame, writers: Sequence[Callable[[DataFrame], int]]) ->
     return [write(df) for write in writers]
 
 
-def append_transactions(df: DataFrame, *paths: str) -> list[int]:
-    """Add transactions to each of the tables; a second run adds them again."""
+def append_transactions(
+    df: DataFrame, *paths: str, others: Sequence[Callable[[DataFrame], int]] = ()
+) -> list[int]:
+    """Add transactions to each of the tables; a second run adds them again.
+
+    ``others`` are targets of another kind, such as ``jdbc_writer``.
+    """
     rows = to_target_columns(df, TRANSACTION_TABLE.fieldNames())
-    return to_targets(rows, [lambda d, p=p: _append(d, p, TXN_DAY, TXN_SORT) for p in paths])
+    stored = [lambda d, p=p: _append(d, p, TXN_DAY, TXN_SORT) for p in paths]
+    return to_targets(rows, [*stored, *others])
 
 
 def load_rates(rates: DataFrame, *paths: str) -> list[int]:

@@ -6,6 +6,7 @@ import pytest
 
 from paymart.operators.checks import domain_report, int_range_report, unique_key_report
 from paymart.session import scratch_path, shared_dir
+from paymart.sinks.jdbc import jdbc_write_options
 from paymart.sources import jdbc, objects, topics
 from paymart.sources.sqlfile import run_sql_file
 
@@ -48,6 +49,16 @@ def test_jdbc_options():
         jdbc.jdbc_options("t", settings, "transaction_dt")
 
 
+def test_jdbc_write_options():
+    settings = {"url": "jdbc:postgresql://h/db"}
+    assert jdbc_write_options("t", settings, connections=3) == {
+        "dbtable": "t",
+        "numPartitions": "3",
+        "batchsize": "10000",
+        "url": "jdbc:postgresql://h/db",
+    }
+
+
 def test_list_and_profile(spark, tmp_path):
     for name, n in (("a", 3), ("b", 5)):
         spark.range(n).selectExpr("id", "id * 2 AS twice").coalesce(1).write.parquet(str(tmp_path / name))

@@ -70,6 +70,22 @@ def test_append_to_two_targets(spark, tmp_path):
     assert (tmp_path / "a" / "business_dt=2022-10-01").is_dir()
 
 
+def test_append_to_another_kind_of_target(spark, path):
+    seen = []
+
+    def other(df):
+        seen.extend(df.columns)
+        return df.count()
+
+    assert tables.append_transactions(txns(spark, ("1", D1, "done")), path, others=[other]) == [1, 1]
+    assert seen == TRANSACTION_TABLE.fieldNames()
+
+
+def test_days_between():
+    assert tables.days_between("2022-09-30", dt.datetime(2022, 10, 2, 5)) == [dt.date(2022, 9, 30), D1, D2]
+    assert tables.days_between(D2, D1) == []
+
+
 def test_append_reports_missing_columns(spark, path):
     with pytest.raises(ValueError, match="business_dt"):
         tables.append_transactions(txns(spark, ("1", D1, "done")).drop("business_dt"), path)

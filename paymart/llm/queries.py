@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paymart.llm import mixing, near_dedup
+from paymart.llm import mixing, near_dedup, substring_dedup
 from paymart.llm.shared import table
 
 
+def op2_substring_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return substring_dedup.kept_digest(substring_dedup.remove_repeats(docs, length=20, start=10, stop=20))
+
+
 def op4_source_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return mixing.mix_sources(docs, mixing.word_count(F.col("text"))).select(
@@ -20,6 +25,7 @@ def op8_near_duplicates(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op4_source_mixing": op4_source_mixing,
     "op8_near_duplicates": op8_near_duplicates,
 }

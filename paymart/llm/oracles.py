@@ -36,4 +36,17 @@ SELECT doc_id, source, size, source_size, target, CAST(epochs AS BIGINT) AS epoc
 FROM planned
 """
 
-ORACLES = {"op4_source_mixing": OP4}
+OP6 = """
+WITH p AS (
+  SELECT page_id, COALESCE(html, '') AS payload, SHA1(COALESCE(html, '')) AS h FROM pages),
+g AS (SELECT payload, MAX(page_id) AS response FROM p GROUP BY payload)
+SELECT page_id, CAST(OCTET_LENGTH(ENCODE(p.payload)) AS BIGINT) AS payload_bytes,
+       LIST_AGGREGATE(LIST_TRANSFORM(RANGE(0, 32), lambda i: SUBSTR('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + ((CAST('0x' || SUBSTR(h, CAST(1 + (i // 4) * 5 AS BIGINT), 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31), 1)),
+         'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> response THEN response END AS refers_to
+FROM p JOIN g USING (payload)
+"""
+
+ORACLES = {"op4_source_mixing": OP4, "op6_warc_zip": OP6}

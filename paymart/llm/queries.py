@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paymart.llm import mixing, near_dedup, substring_dedup
-from paymart.llm.shared import table
+from paymart.llm import lm_scoring, mixing, near_dedup, substring_dedup, warc_zip
+from paymart.llm.shared import broadcast_if_small, table
 
 
 def op2_substring_dedup(spark, sf_dir):
@@ -20,6 +20,21 @@ def op4_source_mixing(spark, sf_dir):
     )
 
 
+def op5_lm_scoring(spark, sf_dir):
+    """All documents, against those labelled good and not toxic."""
+    good = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id").distinct()
+    good = broadcast_if_small(good.withColumn("is_good", F.lit(True)), row_bytes=16)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").join(good, "doc_id", "left")
+    return lm_scoring.cross_entropy_difference(docs, F.col("is_good"))
+
+
+def op6_warc_zip(spark, sf_dir):
+    archives = warc_zip.write_archives(table(spark, sf_dir, "pages"))
+    return warc_zip.read_records(archives, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op8_near_duplicates(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85, shingle=3)
 
@@ -27,5 +42,7 @@ def op8_near_duplicates(spark, sf_dir):
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op4_source_mixing": op4_source_mixing,
+    "op5_lm_scoring": op5_lm_scoring,
+    "op6_warc_zip": op6_warc_zip,
     "op8_near_duplicates": op8_near_duplicates,
 }

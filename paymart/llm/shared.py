@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paymart.session import scratch_path
 
@@ -21,3 +22,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def broadcast_if_small(df: DataFrame, row_bytes: int, max_bytes: int = 64 << 20) -> DataFrame:
+    """``df`` with a broadcast hint if it is counted to be small; else a join shuffles it."""
+    return F.broadcast(df) if df.count() * row_bytes <= max_bytes else df

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paymart.llm import lm_scoring, mixing, near_dedup, substring_dedup, warc_zip
+from paymart.llm import decontaminate, lm_scoring, mixing, near_dedup, substring_dedup, warc_zip
 from paymart.llm.shared import broadcast_if_small, table
 
 
@@ -35,6 +35,10 @@ def op6_warc_zip(spark, sf_dir):
     )
 
 
+def op7_decontamination(spark, sf_dir):
+    return decontaminate.benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_near_duplicates(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85, shingle=3)
 
@@ -44,5 +48,6 @@ QUERIES = {
     "op4_source_mixing": op4_source_mixing,
     "op5_lm_scoring": op5_lm_scoring,
     "op6_warc_zip": op6_warc_zip,
+    "op7_decontamination": op7_decontamination,
     "op8_near_duplicates": op8_near_duplicates,
 }

@@ -18,6 +18,9 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _U = np.uint64
 
+PUNCTUATION = _SPACE.copy()  # blanks, control characters and ASCII punctuation
+PUNCTUATION[:48] = PUNCTUATION[58:65] = PUNCTUATION[91:97] = PUNCTUATION[123:128] = True
+
 
 def mix(h: np.ndarray) -> np.ndarray:
     """The 64-bit finalizer of MurmurHash3: every input bit reaches every output bit."""
@@ -96,7 +99,18 @@ class Words:
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
 
-def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
+def fold_latin(data: np.ndarray) -> np.ndarray:
+    """UTF-8 with the capitals of the Latin-1 block made small."""
+    data = data.copy()
+    accented = np.zeros(len(data), bool)
+    accented[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+    data[accented] += 0x20
+    return data
+
+
+def hash_words(
+    data: np.ndarray, offsets: np.ndarray, lower: bool = False, separators: np.ndarray = _SPACE
+) -> Words:
     """The words of all texts; ``lower`` reads A-Z as a-z."""
     table = _BYTES_LOWER if lower else _BYTES
     hashes, counts = [], np.zeros(len(offsets) - 1, np.int64)
@@ -105,16 +119,18 @@ def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Wo
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + CHUNK_BYTES, "right")) - 1)
         chunk, cuts = data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         if len(chunk):
-            part, starts = _hash_chunk(chunk, cuts, table)
+            part, starts = _hash_chunk(chunk, cuts, table, separators)
             hashes.append(part)
             counts[first:last] = np.diff(np.searchsorted(starts, cuts))
         first = last
     return Words(np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), counts)
 
 
-def _hash_chunk(chunk: np.ndarray, cuts: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _hash_chunk(
+    chunk: np.ndarray, cuts: np.ndarray, table: np.ndarray, separators: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
     n = len(chunk)
-    word = ~_SPACE[chunk]
+    word = ~separators[chunk]
     edge = np.zeros(n + 1, bool)  # a text begins here
     edge[cuts] = True
     starts, ends = word.copy(), word.copy()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paymart.llm import decontaminate, lm_scoring, mixing, near_dedup, substring_dedup, warc_zip
+from paymart.llm import decontaminate, fingerprints, lm_scoring, mixing, near_dedup, substring_dedup, warc_zip
 from paymart.llm.shared import broadcast_if_small, table
 
 
@@ -13,6 +13,10 @@ def op2_substring_dedup(spark, sf_dir):
     return substring_dedup.kept_digest(substring_dedup.remove_repeats(docs, length=20, start=10, stop=20))
 
 
+def op3_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_source_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return mixing.mix_sources(docs, mixing.word_count(F.col("text"))).select(
@@ -45,6 +49,7 @@ def op8_near_duplicates(spark, sf_dir):
 
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_fingerprints": op3_fingerprints,
     "op4_source_mixing": op4_source_mixing,
     "op5_lm_scoring": op5_lm_scoring,
     "op6_warc_zip": op6_warc_zip,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paymart.llm import decontaminate, fingerprints, lm_scoring, mixing, near_dedup, substring_dedup, warc_zip
+from paymart.llm import decontaminate, fingerprints, html_text, lm_scoring, mixing, near_dedup, substring_dedup, warc_zip
 from paymart.llm.shared import broadcast_if_small, table
 
 
@@ -47,6 +47,10 @@ def op8_near_duplicates(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85, shingle=3)
 
 
+def op9_html_text(spark, sf_dir):
+    return html_text.main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_fingerprints": op3_fingerprints,
@@ -55,4 +59,5 @@ QUERIES = {
     "op6_warc_zip": op6_warc_zip,
     "op7_decontamination": op7_decontamination,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_html_text": op9_html_text,
 }

@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paymart.llm import decontaminate, fingerprints, html_text, lm_scoring, mixing, near_dedup, substring_dedup, warc_zip
+from paymart.llm import decontaminate, fingerprints, html_text, lm_scoring, mixing, near_dedup, secrets, substring_dedup, warc_zip
 from paymart.llm.shared import broadcast_if_small, table
 
 
+def op1_secret_scans(spark, sf_dir):
+    """Every candidate of every text; the value itself is given as a digest."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256")
+    return found.select("doc_id", "start", "length", digest, "probability", "is_secret")
+
+
 def op2_substring_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return substring_dedup.kept_digest(substring_dedup.remove_repeats(docs, length=20, start=10, stop=20))
@@ -52,6 +59,7 @@ def op9_html_text(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_secret_scans": op1_secret_scans,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_fingerprints": op3_fingerprints,
     "op4_source_mixing": op4_source_mixing,

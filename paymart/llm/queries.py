@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paymart.llm import decontaminate, fingerprints, html_text, lm_scoring, mixing, near_dedup, secrets, substring_dedup, warc_zip
+from paymart.llm import decontaminate, fingerprints, html_text, lm_scoring, mixing, near_dedup, quality, secrets, substring_dedup, warc_zip
 from paymart.llm.shared import broadcast_if_small, table
 
 
@@ -58,6 +58,12 @@ def op9_html_text(spark, sf_dir):
     return html_text.main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op10_quality_classifier(spark, sf_dir):
+    """Good is labelled of quality and not toxic."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.score_documents(docs, quality.train(docs, labels, quality.is_good()))
+
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_substring_dedup": op2_substring_dedup,
@@ -68,4 +74,5 @@ QUERIES = {
     "op7_decontamination": op7_decontamination,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_html_text": op9_html_text,
+    "op10_quality_classifier": op10_quality_classifier,
 }

@@ -9,7 +9,9 @@
    reaches the threshold is below ``miss``. What is left is checked on full sets.
 4. Links give components. Only buckets whose members still belong to several
    components can hold further links between them: those are cut into tiles of
-   bounded size, and pairs of different components are compared in the tiles.
+   bounded size, and pairs of different components are compared in the tiles,
+   each pair only in the first band that it shares: first the sketches, then
+   the sets. A tile gives back links that join components, not pairs.
    So no link between components is lost and no group is ever spelled out.
 """
 
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paymart.llm.components import connected_components
-from paymart.llm.shared import staged
+from paymart.llm.shared import broadcast_if_small, staged
 from paymart.llm.words import Words, hash_words, mix, utf8_column
 
 BANDS, ROWS = 32, 4  # a pair at 0.85 shares no band with probability 5e-11
@@ -103,6 +105,8 @@ def _sign(size: int):
 
 
 def _sets(size: int):
+    """The shingles of each text as one binary of sorted hashes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
@@ -158,34 +162,57 @@ def _prune(looks):
     return run
 
 
-def _prune_tile(looks):
+def _prune_tile(looks, percent: int):
     def run(tile: pa.Table) -> pa.Table:
-        ids, groups = tile["rep"].to_numpy(), tile["component"].to_numpy()
+        ids, groups, sizes = (tile[c].to_numpy() for c in ("rep", "component", "size"))
         slots, sketches = tile["slot"].to_numpy(), _matrix(tile["sketch"])
+        bands = tile["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        bands = bands[:, : int(np.flatnonzero(bands[0] == tile["band"][0].as_py())[0])]
         low, high = tile["low"][0].as_py(), tile["high"][0].as_py()
         columns = np.flatnonzero(slots == high)
+        sets = [np.frombuffer(x, np.uint64) for x in tile["shingles"].to_pylist()]
+        joined: dict[int, int] = {}  # components that links of this tile have joined
+
+        def root(group: int) -> int:
+            while group in joined:
+                group = joined[group]
+            return group
+
         a, b = [], []
         for i in np.flatnonzero(slots == low):
             other = columns[(groups[columns] != groups[i]) & ((ids[columns] > ids[i]) | (low != high))]
+            like = 100 * np.minimum(sizes[other], sizes[i]) >= percent * np.maximum(sizes[other], sizes[i])
+            other = other[like & ~(bands[other] == bands[i]).any(axis=1)]
             near = other[_likely(np.broadcast_to(sketches[i], (len(other), sketches.shape[1])), sketches[other], looks)]
-            a.append(np.minimum(ids[near], ids[i]))
-            b.append(np.maximum(ids[near], ids[i]))
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+            for j in near[_linked(sets[i], [sets[j] for j in near], percent)].tolist():
+                x, y = root(int(groups[i])), root(int(groups[j]))
+                if x != y:
+                    joined[max(x, y)] = min(x, y)
+                    a.append(min(ids[i], ids[j]))
+                    b.append(max(ids[i], ids[j]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
 
+def _linked(mine: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Numbers of the sorted sets whose similarity to ``mine`` reaches the threshold."""
+    if not others:
+        return np.zeros(0, np.int64)
+    sizes = np.array([len(x) for x in others])
+    shingles = np.concatenate(others)
+    at = np.minimum(np.searchsorted(mine, shingles), len(mine) - 1)
+    both = np.add.reduceat((mine[at] == shingles).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+    return np.flatnonzero(100 * both >= percent * (len(mine) + sizes - both))
+
+
 def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
             pairs = zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), strict=True)
             for i, (x, y) in enumerate(pairs):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                at = np.minimum(np.searchsorted(x, y), len(x) - 1)
-                both = int((x[at] == y).sum())
-                if 100 * both >= percent * (len(x) + len(y) - both):
+                if len(_linked(np.frombuffer(x, np.uint64), [np.frombuffer(y, np.uint64)], percent)):
                     good.append(i)
             yield batch.select(["a", "b"]).take(pa.array(good, pa.int64()))
 
@@ -212,11 +239,11 @@ def near_duplicates(
     classes = staged(full.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
     reps = (
         full.join(classes.select(F.col("rep").alias("doc_id"), "set_key"), ["doc_id", "set_key"], "left_semi")
-        .select(F.col("doc_id").alias("rep"), "sketch", "bands")
+        .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("size"), "sketch", "bands")
         .dropDuplicates(["rep"])
     )
     reps = staged(reps, "representatives")
-    sketches = reps.select("rep", "sketch")
+    sketches = reps.select("rep", "size", "sketch")
     banded = reps.select("rep", F.explode("bands").alias("band"))
 
     buckets = banded.groupBy("band").agg(F.count("rep").alias("members"), F.min("rep").alias("pivot"))
@@ -225,8 +252,9 @@ def near_duplicates(
     pairs = in_buckets.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
     pairs = staged(pairs, "star-pairs")
     likely = (
-        pairs.join(sketches.select(F.col("rep").alias("b"), F.col("sketch").alias("sketch_b")), "b")
-        .join(sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("sketch_a")), "a")
+        pairs.join(sketches.toDF("b", "size_b", "sketch_b"), "b")
+        .join(sketches.toDF("a", "size_a", "sketch_a"), "a")
+        .where(100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
         .mapInArrow(_prune(looks), "a long, b long")
     )
     links = staged(_confirmed(docs, staged(likely, "likely"), shingle, percent), "star-links")
@@ -237,18 +265,17 @@ def near_duplicates(
     mixed = known.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     mixed = staged(mixed.where("low <> high").select("band"), "mixed-buckets")
     slots = F.ceil(F.col("members") / tile)
+    known = staged(known.join(mixed, "band"), "to-compare")
+    sets = _sets_of(docs, known.select("rep"), shingle).withColumnRenamed("doc_id", "rep")
     tiles = (
-        known.join(mixed, "band")
-        .join(sketches, "rep")
+        known.join(reps.join(sets, "rep"), "rep")
         .withColumn("slots", slots.cast("int"))
         .withColumn("slot", F.pmod(F.xxhash64("rep"), F.col("slots")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
-        .select("band", F.least("slot", "other").alias("low"), F.greatest("slot", "other").alias("high"), "slot", "rep", "component", "sketch")
+        .select("band", F.least("slot", "other").alias("low"), F.greatest("slot", "other").alias("high"), "slot", "rep", "component", "size", "sketch", "bands", "shingles")
     )
-    more = tiles.groupBy("band", "low", "high").applyInArrow(_prune_tile(looks), "a long, b long")
-    more = staged(staged(more, "tile-pairs").distinct().join(pairs, ["a", "b"], "left_anti"), "more-likely")
-    more = staged(_confirmed(docs, more, shingle, percent), "tile-links")
-    links = links.unionByName(more)
+    more = tiles.groupBy("band", "low", "high").applyInArrow(_prune_tile(looks, percent), "a long, b long")
+    links = links.unionByName(staged(more, "tile-links"))
     component = connected_components(links).withColumnRenamed("node", "rep")
 
     resolved = classes.join(component, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
@@ -261,13 +288,30 @@ def near_duplicates(
     )
 
 
+def one_of_each(docs: DataFrame, percent: int = 80, shingle: int = 5) -> DataFrame:
+    """The rows of ``docs`` without near copies of a row with a smaller id, with all their columns.
+
+    Of rows that share an id all stay if that id does. Rows without an id stay.
+    """
+    judged = near_duplicates(docs, percent, shingle)
+    gone = staged(judged.where("NOT kept").select(F.col("doc_id").alias("copy_id")).distinct(), "copies")
+    gone = broadcast_if_small(gone, row_bytes=16)
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col("copy_id"), "left_anti")
+
+
 def _confirmed(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs whose full sets reach the threshold."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = docs.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = staged(sets.mapInArrow(_sets(shingle), "doc_id long, shingles binary"), "sets")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("rep"))
+    sets = _sets_of(docs, needed, shingle)
     return (
         pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
         .join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
         .mapInArrow(_confirm(percent), "a long, b long")
     )
+
+
+def _sets_of(docs: DataFrame, reps: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, shingles) of the documents that stand for the given classes."""
+    needed = staged(reps.select(F.col("rep").alias("doc_id")).distinct(), "needed")
+    texts = docs.join(broadcast_if_small(needed, row_bytes=16), "doc_id", "left_semi")
+    return staged(texts.mapInArrow(_sets(shingle), "doc_id long, shingles binary"), "sets").dropDuplicates(["doc_id"])

@@ -164,16 +164,27 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     )
     docs = docs.withColumn("mark", F.xxhash64("id", "text"))
     order = staged(next_in_order(docs.withColumn("n_chars", F.length("text").cast("long"))), "next")
-    heads = docs.withColumnsRenamed({"id": "next_id", "mark": "next_mark"}).join(order, ["next_id", "next_mark"])
-    cut = F.expr("CAST(n_chars div 4 AS INT)")
-    heads = heads.select("id", "mark", F.substring("text", F.lit(1), cut).alias("head")).dropDuplicates(["id", "mark"])
-    texts = docs.join(order, ["id", "mark"]).dropDuplicates(["id", "mark"]).join(heads, ["id", "mark"])
-    kept = F.substring("text", F.lit(1), (F.col("n_chars") - cut).cast("int"))
-    shared = F.regexp_extract("kept", r"^([\s\S]*[\x20\x09-\x0D])?", 0)
-    end = F.length("shared") + 1
-    texts = texts.withColumn("kept", kept).withColumn("shared", shared)
-    edited = F.concat("kept", "head")
-    told = texts.select("id", "mark", "n_chars", F.sha2(edited.cast("binary"), 256).alias("edited_sha256"))
+    before = order.select(
+        F.col("next_id").alias("id"),
+        F.col("next_mark").alias("mark"),
+        F.col("id").alias("before_id"),
+        F.col("mark").alias("before_mark"),
+        F.col("n_chars").alias("before_n_chars"),
+    )
+    order = staged(order.join(before, ["id", "mark"]), "neighbours")
+    # The whole texts are shuffled once, and read from there by both sides of the next join.
+    placed = docs.join(order, ["id", "mark"]).dropDuplicates(["id", "mark"])
+    quarter = lambda n: F.expr(f"CAST({n} div 4 AS INT)")
+    heads = placed.select(
+        F.col("before_id").alias("id"),
+        F.col("before_mark").alias("mark"),
+        F.substring("text", F.lit(1), quarter("before_n_chars")).alias("head"),
+    )
+    kept = F.substring("text", F.lit(1), (F.col("n_chars") - quarter("n_chars")).cast("int"))
+    texts = placed.join(heads, ["id", "mark"]).withColumn("kept", kept)
+    texts = texts.withColumn("shared", F.regexp_extract("kept", r"^([\s\S]*[\x20\x09-\x0D])?", 0))
+    end, edited = F.length("shared") + 1, F.concat("kept", "head")
+    told = texts.select("id", "mark", "next_id", "next_mark", "n_chars", F.sha2(edited.cast("binary"), 256).alias("edited_sha256"))
     texts = texts.select(
         "id",
         "mark",
@@ -181,13 +192,9 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
         F.substring("text", end, F.col("n_chars").cast("int")).alias("rest"),
         F.substring(edited, end, F.col("n_chars").cast("int")).alias("edited_rest"),
     )
-    signed = staged(signatures(texts, samples), "signatures")
+    signed = staged(told.join(signatures(texts, samples), ["id", "mark"], "left"), "signatures")
     following = signed.select(F.col("id").alias("next_id"), F.col("mark").alias("next_mark"), F.col("samples").alias("next_samples"))
-    told = (
-        told.join(order.drop("n_chars"), ["id", "mark"])
-        .join(signed, ["id", "mark"], "left")
-        .join(following, ["next_id", "next_mark"], "left")
-    )
+    told = signed.join(following, ["next_id", "next_mark"], "left")
     return told.select(
         F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"),
         "n_chars",

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paymart.functions.messages import encode_json
-from paymart.schemas import INT32_MAX, TXN_COLUMNS
+from paymart.schemas import JSON_TIME, TXN_COLUMNS
 
 # Source value -> status, in the order they are tested.
 ORDER_STATUS = {
@@ -47,23 +47,12 @@ LAYOUTS = {
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
 }
 
-CUT_OFF_AFTER = 40
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read.schema(LAYOUTS[name]) if name in LAYOUTS else spark.read
     return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _tasks_to_add(scan: DataFrame) -> int:
-    """How many tasks JSON work on a scan should be dealt out to; 0 for its own.
-
-    Only a scan with fewer splits than the cluster has cores is dealt out.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return cores if scan.rdd.getNumPartitions() < cores else 0
-
-
 def _mapped(column: str, mapping: dict[str, str], otherwise: str):
     case = F
     for value, result in mapping.items():
@@ -152,14 +141,14 @@ def messages_from(events: DataFrame, damaged: bool = False) -> DataFrame:
 
     Purchases are transactions, the rest messages of another type. Every tenth
     message is sent twice, and three texts are not JSON. With ``damaged`` set,
-    all messages are transactions; those of errors have a payload that breaks
-    off, those of signups an envelope that does.
+    all messages are transactions; those of errors have a payload with one brace too
+    many before it, those of signups such an envelope.
     """
     payloads = encode_json(from_events(events), TXN_COLUMNS)
     payload = F.col("payload")
     kind = F.when(F.col("event_type") == "purchase", "TRANSACTION").otherwise("CURRENCY")
     if damaged:
-        payload = _cut_off("payload", F.col("event_type") == "error")
+        payload = _broken("payload", F.col("event_type") == "error")
         kind = F.lit("TRANSACTION")
     wrapped = encode_json(
         payloads.select(
@@ -175,7 +164,7 @@ def messages_from(events: DataFrame, damaged: bool = False) -> DataFrame:
     )
     text = F.col("text")
     if damaged:
-        text = _cut_off("text", F.col("event_type") == "signup")
+        text = _broken("text", F.col("event_type") == "signup")
         return wrapped.select(text.cast("binary").alias("value"))
     again = F.when(F.col("event_id") % 10 == 0, text)
     broken = F.when(F.col("event_id") < 3, F.lit("not json"))
@@ -183,24 +172,66 @@ def messages_from(events: DataFrame, damaged: bool = False) -> DataFrame:
     return wrapped.select(copies.alias("text")).select(F.col("text").cast("binary").alias("value"))
 
 
-def _cut_off(column: str, where: Column) -> Column:
-    """The text, or only its first characters where the condition holds."""
-    return F.substring(column, F.lit(1), F.when(where, CUT_OFF_AFTER).otherwise(INT32_MAX))
+def _broken(column: str, where: Column) -> Column:
+    """The whole text, no longer JSON where the condition holds."""
+    return F.when(where, F.concat(F.lit("{"), F.col(column))).otherwise(F.col(column))
 
 
 def messages(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    tasks = _tasks_to_add(events)
-    return messages_from(events.repartition(tasks) if tasks else events, damaged)
+    return messages_from(table(spark, sf_dir, "events"), damaged)
 
 
 def message_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
     """The same messages as an unbounded read of the events table's files."""
-    tasks = _tasks_to_add(table(spark, sf_dir, "events"))
     reader = spark.readStream.schema(LAYOUTS["events"])
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     # As a pattern the path may be one file or a folder of files; a streaming
     # read takes a plain path for a folder.
-    events = reader.parquet(f"{sf_dir}/events.parque[t]")
-    return messages_from(events.repartition(tasks) if tasks else events)
+    return messages_from(reader.parquet(f"{sf_dir}/events.parque[t]"))
+
+
+def troubled_messages(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
+    """Every event as a transaction, together with copies that make trouble.
+
+    Each message first with the status ``queued``, sent an hour early. Then, by
+    event_id modulo 5: 0: only the right one; 1: after it a copy without
+    amount; 2: after it a copy of which the envelope has no type; 3: after it a
+    copy with an implausible day; 4: after it a copy that is not JSON. Those
+    come last and must not win.
+    """
+    if stream:
+        events = spark.readStream.schema(LAYOUTS["events"]).parquet(f"{sf_dir}/events.parque[t]")
+    else:
+        events = table(spark, sf_dir, "events")
+    rows = from_events(events).withColumn("status", F.lit("done"))
+    hour = F.expr("INTERVAL 1 HOUR")
+
+    def sent(rows: DataFrame, shift, kind=F.lit("TRANSACTION")) -> Column:
+        fields = [F.date_format(c, JSON_TIME).alias(c) if c == "transaction_dt" else F.col(c) for c in TXN_COLUMNS]
+        return F.to_json(
+            F.struct(
+                F.col("operation_id").alias("object_id"),
+                kind.alias("object_type"),
+                F.date_format(F.col("ts") + shift if shift is not None else F.col("ts"), JSON_TIME).alias("sent_dttm"),
+                F.to_json(F.struct(*fields)).alias("payload"),
+            )
+        )
+
+    rows = rows.withColumn("ts", F.col("transaction_dt"))
+    early = rows.withColumn("status", F.lit("queued"))
+    case = F.col("event_id") % 5
+    texts = [
+        early.select("event_id", sent(early, -hour).alias("text")),
+        rows.select("event_id", sent(rows, None).alias("text")),
+    ]
+    no_amount = rows.where(case == 1).withColumn("amount", F.lit(None).cast("bigint"))
+    no_type = rows.where(case == 2)
+    no_day = rows.where(case == 3).withColumn("transaction_dt", F.lit("9999-12-31 10:00:00").cast("timestamp_ntz"))
+    texts += [
+        no_amount.select("event_id", sent(no_amount, hour).alias("text")),
+        no_type.select("event_id", sent(no_type, hour, F.lit(None).cast("string")).alias("text")),
+        no_day.select("event_id", sent(no_day, hour).alias("text")),
+        rows.where(case == 4).select("event_id", F.concat(F.lit("{"), sent(rows, hour)).alias("text")),
+    ]
+    return reduce(DataFrame.unionByName, texts).select(F.col("text").cast("binary").alias("value"))

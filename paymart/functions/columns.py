@@ -23,9 +23,11 @@ def to_target_columns(df: DataFrame, target: Sequence[str]) -> DataFrame:
     return df.select(*target)
 
 
-def conform_transaction(df: DataFrame) -> DataFrame:
+def conform_transaction(df: DataFrame, *also: str) -> DataFrame:
     """Types of the stored transaction: times cut to milliseconds, day added.
 
+    Columns named in ``also`` come along as they are.
+
     A value that does not fit becomes NULL and shows up in
     ``not_null_report``; it does not stop the load.
     """
@@ -35,7 +37,7 @@ def conform_transaction(df: DataFrame) -> DataFrame:
         for f in TRANSACTION_TABLE
         if f.name != TXN_DAY
     ]
-    return df.select(*casts).withColumn(TXN_DAY, business_day("transaction_dt"))
+    return df.select(*casts, *also).withColumn(TXN_DAY, business_day("transaction_dt"))
 
 
 def conform_rate(df: DataFrame) -> DataFrame:

@@ -35,8 +35,9 @@ def parse_messages(df: DataFrame, field: str = "value", message_type: str = MESS
     """Both decodes in one pass, with the raw text and a verdict for each row.
 
     ``reject_reason`` is ``envelope`` or ``payload`` where that part did not
-    parse and NULL otherwise. Payloads of other message types have another
-    shape, so they are not judged.
+    parse, ``type`` for an envelope that does not say what it holds, and NULL
+    otherwise. Payloads of other message types have another shape, so they are
+    not judged.
 
     Each parse sits in a generator of one row. The verdict reads every parsed
     field, and a filter on it would otherwise be pushed down together with one
@@ -45,8 +46,10 @@ def parse_messages(df: DataFrame, field: str = "value", message_type: str = MESS
     raw = F.col(field).cast("string")
     opened = df.select(_once(raw.alias("raw"), F.from_json(raw, ENVELOPE).alias("e")))
     parsed = opened.select(_once("raw", "e", F.from_json("e.payload", TRANSACTION).alias("t")))
-    reason = F.when(_all_null("e", ENVELOPE), F.lit("envelope")).when(
-        (F.col("e.object_type") == message_type) & _all_null("t", TRANSACTION), F.lit("payload")
+    reason = (
+        F.when(_all_null("e", ENVELOPE), F.lit("envelope"))
+        .when(F.col("e.object_type").isNull(), F.lit("type"))
+        .when((F.col("e.object_type") == message_type) & _all_null("t", TRANSACTION), F.lit("payload"))
     )
     return parsed.select("raw", "e", "t", reason.alias("reject_reason"))
 

@@ -2,106 +2,185 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paymart.functions.columns import conform_rate, conform_transaction
-from paymart.functions.messages import decode_envelope, parse_messages
-from paymart.operators.checks import any_null, require_rows
+from paymart.functions.messages import parse_messages
+from paymart.operators.checks import any_null, require_rows, unique_key_report
 from paymart.operators.dedup import one_per_key
-from paymart.operators.filters import Day, filter_message_type
+from paymart.operators.filters import Day
 from paymart.plans.mart import metrics_backfill
 from paymart.schemas import (
     MESSAGE_TYPE,
     METRICS_BY_STATUS,
-    RATES,
-    TRANSACTION,
+    RATE_KEY,
     TRANSACTION_TABLE,
     TXN_COLUMNS,
     TXN_DAY,
 )
+from paymart.session import scratch_path
+from paymart.sinks import files
 from paymart.sinks.tables import (
     days_between,
-    insert_new,
+    insert_or_newer,
     load_rates,
     read_days,
-    read_table,
+    read_rates,
     replace_days,
 )
-from paymart.sources.rates import good_rates, read_rates_csv
+from paymart.sources.rates import bad_rates, good_rates, read_rates_csv
 
+# Stored with a loaded transaction: of several copies the one sent last stays.
+SENT = [T.StructField("sent_dttm", T.TimestampNTZType())]
 
-def transactions_from_messages(messages: DataFrame) -> DataFrame:
-    """Topic messages to rows of the transactions table, one per id.
+# Days that a transaction can have. Others come from broken clocks; each would
+# be a directory of its own.
+PLAUSIBLE_DAYS = ("1990-01-01", "2100-01-01")
+
+
+class ConflictingRatesError(ValueError):
+    """A rate file with different rates for one day and pair of currencies."""
+
+
+class BadRatesError(ValueError):
+    """A rate file with too many lines that are no rates."""
+
+
+def _plausible(time: Column | str) -> Column:
+    day = F.to_date(time)
+    return (day >= F.lit(PLAUSIBLE_DAYS[0]).cast("date")) & (day < F.lit(PLAUSIBLE_DAYS[1]).cast("date"))
 
-    The type filter comes before the dedup, so other types are not shuffled;
-    the type being part of the key, the result is the same. The payload is
-    parsed before it as well: the typed fields are smaller than their text. A
-    message without an id goes by the operation in its payload, so that
-    different ones do not fall together.
+
+def judged_messages(messages: DataFrame) -> DataFrame:
+    """Every message once: its text and why it is rejected, or its transaction.
+
+    Columns raw, reject_reason, is_transaction, id, sent_dttm and those of a
+    transaction. Reasons: ``envelope`` or ``payload`` (that part is not JSON),
+    ``type`` (the envelope does not say what it holds), ``null`` (a required
+    value is missing or not of its type), ``day`` (not a plausible one).
     """
-    sent = filter_message_type(decode_envelope(messages))
-    parsed = sent.select("object_id", "sent_dttm", F.from_json("payload", TRANSACTION).alias("t")).select(
-        F.coalesce("object_id", "t.operation_id").alias("id"), "sent_dttm", "t"
+    parsed = parse_messages(messages).select("raw", "e.object_id", "e.object_type", "e.sent_dttm", "t.*", "reject_reason")
+    ours = F.coalesce(F.col("object_type") == MESSAGE_TYPE, F.lit(False))
+    reason = F.coalesce(
+        "reject_reason",
+        F.when(ours & any_null(TXN_COLUMNS), F.lit("null")),
+        F.when(ours & ~_plausible("transaction_dt"), F.lit("day")),
     )
-    latest = one_per_key(parsed, ["id"], ["sent_dttm"])
-    return conform_transaction(latest.select("t.*").select(*TXN_COLUMNS))
+    reasoned = parsed.withColumn("reject_reason", reason)
+    return reasoned.select(
+        F.when(F.col("reject_reason").isNotNull(), F.col("raw")).alias("raw"),
+        "reject_reason",
+        (ours & F.col("reject_reason").isNull()).alias("is_transaction"),
+        F.coalesce("object_id", "operation_id").alias("id"),
+        F.col("sent_dttm").cast("timestamp_ntz").alias("sent_dttm"),
+        *TXN_COLUMNS,
+    )
+
 
+def transactions_from_messages(messages: DataFrame) -> DataFrame:
+    """Topic messages to rows of the transactions table, one per id: the last sent that is complete."""
+    return _stored_rows(judged_messages(messages)).select(*TRANSACTION_TABLE.fieldNames())
 
-def insert_messages(messages: DataFrame, path: str) -> int:
-    """Add the transactions among the messages that the table does not have.
 
-    Rows that lack a required value stay out; ``rejected_messages`` has them.
+def _stored_rows(judged: DataFrame) -> DataFrame:
+    """One row per id, the last sent one, in the columns of the table and with its time of sending.
 
-    The rows are used twice, for their days and for the insert. They are kept
-    meanwhile, so messages are read and parsed once; parts lost with an
-    executor are made again, with the same rows, as the dedup is repeatable.
+    Rejected rows are gone by then, so a broken copy that was sent last does
+    not hide a good one. A message without an id goes by the operation in its
+    payload, so that different ones do not fall together.
     """
-    rows = transactions_from_messages(messages).where(~any_null(TXN_COLUMNS))
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return insert_new(rows, path)
-    finally:
-        rows.unpersist()
+    rows = judged.where("is_transaction").select("id", "sent_dttm", *TXN_COLUMNS)
+    latest = one_per_key(rows, ["id"], ["sent_dttm"])
+    conformed = conform_transaction(latest.withColumnRenamed("sent_dttm", "sent"), "sent")
+    return conformed.withColumnRenamed("sent", "sent_dttm")
 
 
 def rejected_messages(messages: DataFrame) -> DataFrame:
-    """Texts that do not become a row of the table, and why.
+    """Texts that do not become a row of the table, and why."""
+    return judged_messages(messages).select("reject_reason", "raw").where("reject_reason IS NOT NULL")
 
-    ``envelope`` or ``payload``: that part is not JSON. ``null``: it is, but a
-    required value is missing or not of its type.
+
+def load_messages(messages: DataFrame, *paths: str, rejects_path: str | None = None, required: bool = False) -> list[int]:
+    """Read and parse messages once, and give them to one or more tables.
+
+    The parsed rows are staged in the shared folder: rejects and all targets
+    come from the same read, whatever arrives meanwhile and whichever executor
+    is lost. Returns the rows inserted or replaced by newer ones, per table.
     """
-    parsed = parse_messages(messages).select("raw", "e.object_type", "t.*", "reject_reason")
-    reason = F.coalesce(
-        "reject_reason", F.when((F.col("object_type") == MESSAGE_TYPE) & any_null(TXN_COLUMNS), F.lit("null"))
-    )
-    return parsed.select(reason.alias("reject_reason"), "raw").where("reject_reason IS NOT NULL")
+    spark = messages.sparkSession
+    staged = scratch_path(spark, "messages")
+    judged_messages(messages).write.parquet(staged)
+    judged = spark.read.parquet(staged)
+    if required:
+        require_rows(judged.where("is_transaction OR id IS NOT NULL"), "the topic")
+    if rejects_path:
+        rejects = judged.where("reject_reason IS NOT NULL").select("reject_reason", "raw")
+        rejects.write.mode("overwrite").parquet(rejects_path)
+    rows = one_per_key(_stored_rows(judged), [TXN_DAY, "operation_id"], ["sent_dttm"])
+    if len(paths) > 1:
+        newest = scratch_path(spark, "newest")
+        rows.write.parquet(newest)
+        rows = spark.read.parquet(newest)
+    return [insert_or_newer(rows, path, SENT) for path in paths]
+
+
+def ingest_messages(messages: DataFrame, *paths: str, rejects_path: str | None = None) -> list[int]:
+    """The daily load of a topic into each of the tables; an empty topic is an error.
+
+    Rejected texts go to ``rejects_path``, a folder of this load alone. A topic
+    may be read from its start each day; to read only what is new, use
+    ``stream_upsert`` once a day, which keeps the offsets it has read.
+    """
+    return load_messages(messages, *paths, rejects_path=rejects_path, required=True)
 
 
-def ingest_messages(messages: DataFrame, path: str, rejects_path: str | None = None) -> int:
-    """The daily load of a topic; one without transactions is an error.
+def moved_operations(transactions: DataFrame) -> DataFrame:
+    """Operations that are stored under more than one day, with the number of rows.
 
-    Rejected texts go to ``rejects_path``, a folder of this load alone.
+    The day belongs to the key of the table, so such an operation is stored
+    once for each day it came with.
     """
-    require_rows(filter_message_type(decode_envelope(messages)), "the topic")
-    if rejects_path:
-        rejected_messages(messages).write.mode("overwrite").parquet(rejects_path)
-    return insert_messages(messages, path)
+    return unique_key_report(transactions.select("operation_id", TXN_DAY).distinct(), ["operation_id"])
+
 
+def ingest_rates(
+    spark: SparkSession, csv_path: str, *paths: str, rejects_path: str | None = None, most_bad: float = 0.01
+) -> list[int]:
+    """Replace the stored rate history by the file's good lines.
 
-def ingest_rates(spark: SparkSession, csv_path: str, *paths: str) -> list[int]:
-    """Replace the stored rate history by the file's good lines."""
-    rates = conform_rate(good_rates(read_rates_csv(spark, csv_path)))
-    return load_rates(require_rows(rates, csv_path), *paths)
+    Bad lines go to ``rejects_path``. As the whole history is replaced, a bad
+    line takes a stored rate away: more than the share ``most_bad`` of them
+    fails the load, and so do different rates for one key. Nothing is replaced
+    then.
+    """
+    lines = read_rates_csv(spark, csv_path)
+    rates = conform_rate(good_rates(lines))
+    bad = bad_rates(lines)
+    if rejects_path:
+        bad.select(F.col("_corrupt_record").alias("line")).write.mode("overwrite").parquet(rejects_path)
+    require_rows(rates, csv_path)
+    n_bad, n_good = bad.count(), rates.count()
+    if n_bad > most_bad * (n_bad + n_good):
+        raise BadRatesError(f"{csv_path}: {n_bad} of {n_bad + n_good} lines are no rates")
+    conflict = unique_key_report(rates.distinct(), RATE_KEY).take(1)
+    if conflict:
+        raise ConflictingRatesError(f"{csv_path}: {conflict[0]}")
+    return load_rates(rates, *paths)
 
 
 def update_mart(
     spark: SparkSession, transactions_path: str, rates_path: str, mart_path: str, first: Day, last: Day
 ) -> int:
-    """Recompute a range of days from the stored tables and put them in place."""
+    """Recompute a range of days from the stored tables and put them in place.
+
+    Both inputs have to be there, and rates have to have rows: otherwise all
+    rates would be 1 or all days empty, and the mart is left as it is.
+    """
+    files.require_path(spark, transactions_path)
+    rates = require_rows(read_rates(spark, rates_path), rates_path)
     transactions = read_days(spark, transactions_path, TRANSACTION_TABLE, TXN_DAY, days_between(first, last))
-    rates = read_table(spark, rates_path, RATES)
     return replace_days(
         metrics_backfill(transactions, rates, first, last), mart_path, first, last, METRICS_BY_STATUS
     )

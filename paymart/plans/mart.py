@@ -37,7 +37,7 @@ def _mart(
     dedupe: bool,
 ) -> DataFrame:
     cells = totals.groupBy(*keys).agg(
-        F.sum(F.col("amount_total").cast("decimal(18,0)")).alias("amount"),
+        F.sum(F.col("amount_total").cast("decimal(20,0)")).alias("amount"),
         F.sum("cnt_usr_transactions").alias("cnt"),
         F.avg("cnt_usr_transactions").alias("avg_cnt"),
         F.count(F.lit(1)).alias("accounts"),

@@ -10,7 +10,7 @@ WITH per_account AS (
     GROUP BY ALL
 ), cells AS (
     SELECT currency_code, status,
-           SUM(CAST(amount AS DECIMAL(18, 0))) AS amount, SUM(cnt) AS cnt,
+           SUM(CAST(amount AS DECIMAL(20, 0))) AS amount, SUM(cnt) AS cnt,
            BROUND(AVG(cnt), 0) AS avg_cnt, COUNT(*) AS accounts
     FROM per_account
     GROUP BY ALL

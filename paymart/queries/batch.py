@@ -18,6 +18,7 @@ from paymart.schemas import (
     STATUSES,
     TRANSACTION_TYPES,
     TXN_COLUMNS,
+    TXN_DAY,
 )
 from paymart.sources import objects, sqlfile
 
@@ -33,21 +34,16 @@ ONE_DAY = "1996-03-15"
 FIRST_DAY = "1996-10-02"
 LAST_DAY = "1996-11-01"
 
-
-# --- Sources ----------------------------------------------------------------
+LARGE_AMOUNT = 1_200_000_000_000_000_000
 
 
-@register
-def list_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = objects.list_objects(spark, sf_dir, "*.parquet")
-    name = F.regexp_extract("path", r"([^/]+)$", 1)
-    return plain_times(found.select(name.alias("name"), "modificationTime", "length"))
+# --- Sources ----------------------------------------------------------------
 
 
 @register
 def profile_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     profiles = [
-        objects.profile_source(fixtures.table(spark, sf_dir, name))
+        objects.profile_source(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
         .groupBy(F.lit(name).alias("source"))
         .agg(F.sum("n_rows").alias("n_rows"), F.max("n_columns").alias("n_columns"))
         for name in TABLES
@@ -343,13 +339,29 @@ def company_turnover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.company_turnover(global_metrics_by_status(spark, sf_dir))
 
 
+@register
+def global_metrics_large_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One transaction of each cell of the mart is above 10^18."""
+    transactions = fixtures.event_transactions(spark, sf_dir)
+    cell = [functions.business_day("transaction_dt"), "currency_code", "status"]
+    first = transactions.where("account_number_from > 0 AND account_number_to > 0").groupBy(*cell).agg(
+        F.min("operation_id").alias("large_id")
+    )
+    large = first.select(F.col("large_id").alias("operation_id"), F.lit(True).alias("is_large"))
+    marked = transactions.join(large, "operation_id", "left")
+    amount = F.when(F.col("is_large"), F.lit(LARGE_AMOUNT) + F.col("amount")).otherwise(F.col("amount"))
+    return mart.global_metrics_by_status(
+        marked.withColumn("amount", amount).select(*TXN_COLUMNS), fixtures.currencies(spark, sf_dir)
+    )
+
+
 # --- Dedup and upserts ------------------------------------------------------
 
 
 @register
 def dedup_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     envelopes = functions.decode_envelope(fixtures.messages(spark, sf_dir))
-    return plain_times(dedup.dedup_by_id(envelopes.where("object_id IS NOT NULL")))
+    return plain_times(dedup.dedup_by_id(envelopes))
 
 
 def _upsert_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -410,6 +422,14 @@ def unique_rate_key_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.unique_key_report(rates.dedupe_rates(single.unionByName(doubled)), RATE_KEY)
 
 
+@register
+def moved_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh operation came again a day later."""
+    rows = functions.conform_transaction(fixtures.event_transactions(spark, sf_dir))
+    again = rows.where("CAST(substring(operation_id, 5) AS BIGINT) % 7 = 0").withColumn(TXN_DAY, F.date_add(TXN_DAY, 1))
+    return ingest.moved_operations(rows.unionByName(again))
+
+
 @register
 def domain_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fixtures.table(spark, sf_dir, "events").select(
@@ -432,6 +452,12 @@ def quarantine_passed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_times(good.select("t.*"))
 
 
+@register
+def quarantine_troubled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, bad = checks.quarantine(fixtures.troubled_messages(spark, sf_dir))
+    return bad.groupBy("reject_reason").count()
+
+
 @register
 def int_range_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     scaled = fixtures.transactions(spark, sf_dir).withColumn("amount", F.col("amount") * 100)

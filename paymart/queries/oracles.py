@@ -7,7 +7,7 @@ such, and messages are selected from the events without any JSON parsing.
 
 from __future__ import annotations
 
-from paymart.queries.batch import FIRST_DAY, LAST_DAY, ONE_DAY, TABLES
+from paymart.queries.batch import FIRST_DAY, LARGE_AMOUNT, LAST_DAY, ONE_DAY, TABLES
 from paymart.queries.stored import REPLACED_FIRST, REPLACED_LAST, REPLACED_WITH_ROWS
 from paymart.schemas import STATUSES, TRANSACTION_TYPES
 
@@ -107,7 +107,7 @@ def _mart(
     }[rule]
     return f"""(
     SELECT date_update, currency_code AS currency_from,
-           CAST({rounding}(sum(CAST(amount AS DECIMAL(18, 0)) * CAST({rate} AS DECIMAL(18, 6))), 0) AS BIGINT)
+           CAST({rounding}(sum(CAST(amount AS DECIMAL(20, 0)) * CAST({rate} AS DECIMAL(18, 6))), 0) AS BIGINT)
                AS amount_total,
            CAST(sum(n) AS BIGINT) AS cnt_transactions,
            {rounding}(avg(n), 0) AS avg_transactions_per_account,
@@ -145,14 +145,27 @@ STORED_TARGET = TXN_LIST.replace("country", "'stored' AS country").replace(
 
 DAMAGED_TEXT = f"""(
     SELECT IF(event_type = 'signup', 'envelope', IF(event_type = 'error', 'payload', NULL)) AS reject_reason,
-           IF(event_type = 'signup', left(text, 40), text) AS raw
+           IF(event_type = 'signup', '{{' || text, text) AS raw
     FROM (SELECT event_type, {ENVELOPE} AS text
           FROM (SELECT event_type, operation_id AS object_id, 'TRANSACTION' AS object_type,
                        transaction_dt AS sent_dttm,
-                       IF(event_type = 'error', left(whole, 40), whole) AS payload
+                       IF(event_type = 'error', '{{' || whole, whole) AS payload
                 FROM (SELECT *, {PAYLOAD} AS whole FROM evt))))"""
 
 
+ALL_DONE = "(SELECT * REPLACE ('done' AS status) FROM evt)"
+TROUBLED_REJECTS = """
+SELECT CASE event_id % 5 WHEN 1 THEN 'null' WHEN 2 THEN 'type' WHEN 3 THEN 'day' ELSE 'envelope' END AS reject_reason,
+       count(*) AS count
+FROM events WHERE event_id % 5 > 0 GROUP BY ALL
+"""
+LARGE = f""", large AS (
+    SELECT * REPLACE (IF(operation_id = min(IF(account_number_from > 0 AND account_number_to > 0, operation_id, NULL))
+                                          OVER (PARTITION BY CAST(transaction_dt AS DATE), currency_code, status),
+                         {LARGE_AMOUNT} + amount, amount) AS amount) FROM evt)
+"""
+
+
 def _literals(values: list[str]) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
@@ -277,7 +290,9 @@ ORACLES: dict[str, str] = {
         f"SELECT date_update, CAST(sum(amount_total) AS BIGINT) AS turnover FROM {BY_STATUS} GROUP BY ALL"
     ),
     # dedup and upserts
-    "dedup_by_id": _q("SELECT object_id, object_type, sent_dttm, payload FROM msg"),
+    "dedup_by_id": _q(
+        "SELECT object_id, object_type, sent_dttm, payload FROM msg UNION ALL SELECT NULL, NULL, NULL, NULL"
+    ),
     "upsert_do_nothing": _q(
         f"SELECT {STORED_TARGET} FROM evt WHERE status = 'done' "
         f"UNION ALL SELECT {TXN_LIST} FROM evt WHERE status <> 'done'"
@@ -353,9 +368,25 @@ ORACLES: dict[str, str] = {
     "insert_new": _q(
         f"SELECT {STORED_EVENT} FROM (SELECT * REPLACE (IF(status = 'done', 'stored', country) AS country) FROM evt)"
     ),
-    "insert_or_update": _q(f"SELECT {STORED_EVENT} FROM evt WHERE status IN ('done', 'queued')"),
+    "insert_or_update": _q(f"SELECT {STORED_EVENT} FROM evt"),
     "ingest_messages": _q(f"SELECT {STORED_EVENT} FROM evt WHERE event_type = 'purchase'"),
     "ingest_rejects": _q(f"SELECT * FROM {DAMAGED_TEXT} WHERE reject_reason IS NOT NULL"),
+    "ingest_troubled_messages": _q(f"SELECT {STORED_EVENT} FROM {ALL_DONE} UNION ALL SELECT {STORED_EVENT} FROM {ALL_DONE}"),
+    "ingest_troubled_rejects": TROUBLED_REJECTS,
+    "quarantine_troubled": f"SELECT * FROM ({TROUBLED_REJECTS}) WHERE reject_reason IN ('envelope', 'type')",
+    "stream_upsert_troubled": _q(f"SELECT {STORED_EVENT} FROM {ALL_DONE}"),
+    "read_rates_csv_by_name": _q("SELECT * FROM rates"),
+    "ingest_rate_rejects": _q(
+        "SELECT currency_with_div <> 0 AS is_loaded, currency_code || ',' || currency_code_with || ',' || date_update || ',' "
+        "|| IF(currency_with_div = 0, 'none', CAST(currency_with_div AS VARCHAR)) AS line FROM rates"
+    ),
+    "moved_operations": _q(
+        "SELECT operation_id, CAST(2 AS BIGINT) AS row_count FROM evt WHERE event_id % 7 = 0"
+    ),
+    "sync_catalogue": _q(f"SELECT * FROM {EVENTS_BY_STATUS}"),
+    "global_metrics_large_amounts": COMMON + LARGE + f"SELECT * FROM {_mart('large', True, 'positive')}",
+    "stream_dedup_global_far_times": _q("SELECT object_id, object_type, payload FROM msg UNION ALL SELECT NULL, NULL, NULL"),
+    "stream_dedup_bounded_far_times": _q("SELECT object_id, object_type, payload FROM msg UNION ALL SELECT NULL, NULL, NULL"),
     "create_tables": _q(f"SELECT * FROM {_mart('evt', False, 'present')}"),
     # streams
     "read_messages_stream": _q(

@@ -77,7 +77,31 @@ def load_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     fixtures.currencies(spark, sf_dir).select(*RATES.fieldNames()).write.option("header", True).csv(csv)
     for _ in range(2):
         ingest.ingest_rates(spark, csv, first, second)
-    return tables.read_table(spark, second, RATES)
+    return tables.read_rates(spark, second)
+
+
+@register
+def read_rates_csv_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file's columns stand in another order, with one more among them."""
+    path = scratch_path(spark, "csv")
+    rates = fixtures.currencies(spark, sf_dir).select(
+        "date_update", "currency_code_with", F.lit("x").alias("remark"), "currency_with_div", "currency_code"
+    )
+    rates.write.option("header", True).csv(path)
+    return good_rates(read_csv(spark, path))
+
+
+@register
+def ingest_rate_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with a rate of zero are broken on the way; they are kept as text."""
+    csv, target, rejects = (scratch_path(spark, name) for name in ("csv", "rates", "rejects"))
+    rates = fixtures.currencies(spark, sf_dir).select(*[F.col(c).cast("string").alias(c) for c in RATES.fieldNames()])
+    broken = F.when(F.col("currency_with_div") == "0.000000", "none").otherwise(F.col("currency_with_div"))
+    rates.withColumn("currency_with_div", broken).write.option("header", True).csv(csv)
+    ingest.ingest_rates(spark, csv, target, rejects_path=rejects, most_bad=0.5)
+    lines = spark.read.schema("line STRING").parquet(rejects).select(F.lit(False).alias("is_loaded"), "line")
+    loaded = tables.read_rates(spark, target).select(F.lit(True).alias("is_loaded"), F.concat_ws(",", *RATES.fieldNames()).alias("line"))
+    return loaded.unionByName(lines)
 
 
 @register
@@ -147,7 +171,7 @@ def insert_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 def insert_or_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, rows = _stored_purchases(spark, sf_dir)
     for _ in range(2):
-        tables.insert_or_update(rows.where("status IN ('done', 'queued')"), path)
+        tables.insert_or_update(rows, path)
     return tables.read_table(spark, path, TRANSACTION_TABLE)
 
 
@@ -159,10 +183,32 @@ def ingest_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, path, TRANSACTION_TABLE)
 
 
+@register
+def ingest_troubled_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two targets; later copies are broken, and an earlier one comes in a later load."""
+    first, second = scratch_path(spark, "transactions"), scratch_path(spark, "transactions")
+    troubled = fixtures.troubled_messages(spark, sf_dir)
+    for _ in range(2):
+        ingest.ingest_messages(troubled, first, second)
+    early = F.col("value").cast("string").contains('\\"status\\":\\"queued\\"')
+    ingest.ingest_messages(troubled.where(early), first)
+    ingest.ingest_messages(troubled.where(early), second)
+    stored = [tables.read_table(spark, p, TRANSACTION_TABLE) for p in (first, second)]
+    return stored[0].unionByName(stored[1])
+
+
+@register
+def ingest_troubled_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which rejects there are; each message is loaded or rejected."""
+    loaded, rejects = scratch_path(spark, "transactions"), scratch_path(spark, "rejects")
+    ingest.ingest_messages(fixtures.troubled_messages(spark, sf_dir), loaded, rejects_path=rejects)
+    return spark.read.schema("reject_reason STRING, raw STRING").parquet(rejects).groupBy("reject_reason").count()
+
+
 @register
 def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded, rejects = scratch_path(spark, "transactions"), scratch_path(spark, "rejects")
-    ingest.ingest_messages(fixtures.messages(spark, sf_dir, damaged=True), loaded, rejects)
+    ingest.ingest_messages(fixtures.messages(spark, sf_dir, damaged=True), loaded, rejects_path=rejects)
     return spark.read.schema("reject_reason STRING, raw STRING").parquet(rejects)
 
 
@@ -178,3 +224,13 @@ def create_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mart.global_metrics(fixtures.event_transactions(spark, sf_dir), fixtures.currencies(spark, sf_dir))
     spark.sql(f"INSERT INTO `{database}`.global_metrics BY NAME SELECT * FROM {{rows}}", rows=rows)
     return spark.table(f"`{database}`.global_metrics")
+
+
+@register
+def sync_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalogue table whose days are written by path."""
+    database, location = f"paymart_{uuid.uuid4().hex}", scratch_path(spark, "database")
+    tables.create_tables(spark, database, location, {"global_metrics": (METRICS_BY_STATUS, METRICS_DAY)})
+    tables.append_metrics(_mart(spark, sf_dir), f"{location}/global_metrics")
+    tables.sync_catalogue(spark, f"`{database}`.global_metrics")
+    return spark.table(f"`{database}`.global_metrics")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paymart import fixtures, functions
 from paymart.queries.shaping import as_text, plain_times, registry
@@ -61,3 +62,30 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         messages = fixtures.message_stream(spark, sf_dir)
         stream.stream_upsert(messages, path, scratch_path(spark, "progress")).awaitTermination()
     return tables.read_table(spark, path, TRANSACTION_TABLE)
+
+
+def _far_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fiftieth message has an event time in the year 9999."""
+    far = F.col("sent_dttm").isNotNull() & (F.pmod(F.xxhash64("object_id"), F.lit(50)) == 0)
+    time = F.when(far, F.lit("9999-12-31 10:00:00").cast("timestamp")).otherwise(F.col("sent_dttm"))
+    return _envelopes(spark, sf_dir).withColumn("sent_dttm", time)
+
+
+@register
+def stream_dedup_global_far_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _run(stream.stream_dedup_global(_far_times(spark, sf_dir)))
+    return found.select("object_id", "object_type", "payload")
+
+
+@register
+def stream_dedup_bounded_far_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _run(stream.stream_dedup_bounded(_far_times(spark, sf_dir)))
+    return found.select("object_id", "object_type", "payload")
+
+
+@register
+def stream_upsert_troubled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "transactions")
+    messages = fixtures.troubled_messages(spark, sf_dir, stream=True)
+    stream.stream_upsert(messages, path, scratch_path(spark, "progress")).awaitTermination()
+    return tables.read_table(spark, path, TRANSACTION_TABLE)

@@ -3,13 +3,14 @@
 Transactions are clustered by day with a rebalance, in which the adaptive plan
 cuts a day that is far larger than the others into several tasks and packs
 small days together, so neither a hot day nor many tiny files follow from the
-partitioning. Mart days are a few rows each; there the number of files counts,
-so days are dealt out to a fixed number of tasks.
+partitioning.
 
 Plain Parquet has no transactions. Appends show up when their job commits;
 replacements move finished files into place at the end of the job, one
-directory at a time. All writers but the plain appends can be run again after
-a failure and then give the same table.
+directory at a time. The rate history is replaced as a whole: a new version
+folder is written and then a pointer is switched to it, so readers find the
+old one or the new one. All writers but the plain appends can be run again
+after a failure and then give the same table.
 """
 
 from __future__ import annotations
@@ -17,9 +18,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from paymart.functions.columns import to_target_columns
@@ -33,11 +34,11 @@ from paymart.schemas import (
     TXN_DAY,
     TXN_KEY,
 )
-from paymart.session import shared_dir
+from paymart.session import scratch_path, shared_dir
+from paymart.sinks import files
 
 TXN_SORT = ["currency_code", "status", "account_number_from"]
 METRICS_SORT = ["currency_from", "status"]
-METRICS_TASKS = 32
 
 # Directory of the rows that have no day, as Spark names it.
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
@@ -56,14 +57,33 @@ def create_tables(
         )
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A stored table, or an empty frame if nothing was ever written there."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def sync_catalogue(spark: SparkSession, *tables: str) -> None:
+    """Make days that were written by path known to catalogue tables."""
+    for name in tables:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+
+
+def read_table(spark: SparkSession, path: str, schema: StructType, missing_ok: bool = False) -> DataFrame:
+    """A stored table.
+
+    ``missing_ok`` is for targets, which have nothing before their first load;
+    then the frame is empty. Anything else that is not there is an error.
+    """
+    if missing_ok and not files.path_exists(spark, path):
+        return empty_table(spark, schema)
+    return spark.read.schema(schema).parquet(files.require_path(spark, path))
+
+
+def read_rates(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of the rate history."""
+    version = files.current_version(spark, path)
+    if version is None:
+        raise files.MissingInputError(f"{path} has no rates")
+    return spark.read.schema(RATES).parquet(f"{path}/{version}")
 
 
 def days_between(first: Day, last: Day) -> list[dt.date]:
@@ -76,25 +96,20 @@ def read_days(
 ) -> DataFrame:
     """Some days of a stored table; the files of no other day are even listed.
 
-    ``None`` stands for the rows without a day.
+    ``None`` stands for the rows without a day. Days that are not there have no
+    rows, also where the table itself is still to be written.
     """
-    names = ",".join(NO_DAY if d is None else d.isoformat() for d in days)
-    try:
-        return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/{day_column}={{{names}}}")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    names = files.existing(spark, path, [f"{day_column}={NO_DAY if d is None else d.isoformat()}" for d in days])
+    if not names:
+        return empty_table(spark, schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{n}" for n in names])
 
 
-def _by_day(df: DataFrame, day_column: str, sort_by: Sequence[str], tasks: int | None = None) -> DataFrame:
-    spread = df.repartition(tasks, day_column) if tasks else df.hint("rebalance", day_column)
-    return spread.sortWithinPartitions(day_column, *sort_by)
+def _by_day(df: DataFrame, day_column: str, sort_by: Sequence[str]) -> DataFrame:
+    return df.hint("rebalance", day_column).sortWithinPartitions(day_column, *sort_by)
 
 
-def _append(
-    df: DataFrame, path: str, day_column: str, sort_by: Sequence[str], tasks: int | None = None
-) -> int:
+def _append(df: DataFrame, path: str, day_column: str, sort_by: Sequence[str]) -> int:
     """Append and tell how many rows were written, counted by the write itself.
 
     The number is for reports: a part of the write that is repeated after a
@@ -102,7 +117,7 @@ def _append(
     """
     counted = Observation()
     (
-        _by_day(df, day_column, sort_by, tasks)
+        _by_day(df, day_column, sort_by)
         .observe(counted, F.count(F.lit(1)).alias("n"))
         .write.partitionBy(day_column)
         .mode("append")
@@ -141,18 +156,18 @@ def load_rates(rates: DataFrame, *paths: str) -> list[int]:
 
     The history comes as a whole and a day of it is small, so it is stored in
     date order instead of in a directory per day: row-group statistics then
-    skip the other days.
+    skip the other days. ``read_rates`` finds the version written last.
     """
 
     def write(df: DataFrame, path: str) -> int:
-        counted = Observation()
+        counted, version = Observation(), files.new_version(path)
         (
             df.repartitionByRange("date_update", "currency_code", "currency_code_with")
             .sortWithinPartitions("date_update", "currency_code", "currency_code_with")
             .observe(counted, F.count(F.lit(1)).alias("n"))
-            .write.mode("overwrite")
-            .parquet(path)
+            .write.parquet(f"{path}/{version}")
         )
+        files.switch_version(df.sparkSession, path, version)
         return counted.get.get("n") or 0
 
     rows = to_target_columns(rates, RATES.fieldNames()).dropDuplicates()
@@ -162,7 +177,7 @@ def load_rates(rates: DataFrame, *paths: str) -> list[int]:
 def append_metrics(metrics: DataFrame, path: str) -> int:
     """Add mart rows; a second run adds them again, ``replace_days`` does not."""
     rows = to_target_columns(metrics, METRICS_BY_STATUS.fieldNames())
-    return _append(rows, path, METRICS_DAY, METRICS_SORT, METRICS_TASKS)
+    return _append(rows, path, METRICS_DAY, METRICS_SORT)
 
 
 def replace_days(
@@ -173,23 +188,23 @@ def replace_days(
     schema: StructType = METRICS_BY_STATUS,
     day_column: str = METRICS_DAY,
     sort_by: Sequence[str] = METRICS_SORT,
-    tasks: int | None = METRICS_TASKS,
 ) -> int:
     """Make the days ``first`` to ``last`` of a table hold exactly these rows.
 
     Days outside the range are neither read nor touched, and rows outside it
     are not written. A day in the range that has rows in the table but none
-    here is emptied.
+    here is emptied: its folder goes, after the others are in place. That takes
+    one job; what is stored is only listed.
     """
     spark = df.sparkSession
     in_range = F.col(day_column).between(day_literal(first), day_literal(last))
-    before = read_days(spark, path, schema, day_column, days_between(first, last))
-    stored = {row[0] for row in before.select(day_column).distinct().collect()}
+    days = days_between(first, last)
+    stored = files.existing(spark, path, [f"{day_column}={d.isoformat()}" for d in days])
 
     written = Observation()
     rows = to_target_columns(df, schema.fieldNames()).where(in_range)
     (
-        _by_day(rows, day_column, sort_by, tasks)
+        _by_day(rows, day_column, sort_by)
         .observe(written, F.count(F.lit(1)).alias("n"), F.collect_set(day_column).alias("days"))
         .write.partitionBy(day_column)
         .mode("overwrite")
@@ -197,11 +212,10 @@ def replace_days(
         .parquet(path)
     )
     seen = written.get
-    stale = stored - set(seen.get("days") or [])
-    if stale:
-        no_rows = spark.createDataFrame([], StructType([f for f in schema if f.name != day_column]))
-        for day in sorted(stale):
-            no_rows.write.mode("overwrite").parquet(f"{path}/{day_column}={day.isoformat()}")
+    written_days = {f"{day_column}={d.isoformat()}" for d in seen.get("days") or []}
+    for name in stored:
+        if name not in written_days:
+            files.delete(spark, f"{path}/{name}")
     return seen.get("n") or 0
 
 
@@ -263,3 +277,53 @@ def insert_or_update(
         .parquet(path)
     )
     return written.get.get("n") or 0
+
+
+def insert_or_newer(
+    rows: DataFrame,
+    path: str,
+    version: Sequence[T.StructField],
+    schema: StructType = TRANSACTION_TABLE,
+    key: Sequence[str] = TXN_KEY,
+    day_column: str = TXN_DAY,
+    sort_by: Sequence[str] = TXN_SORT,
+) -> int:
+    """Insert rows, overwriting a stored one with the same key if it is older.
+
+    ``version`` are columns that are stored with the rows. Of two rows for one
+    key the one with the larger version stays, then the one with the larger
+    values: the same whatever the order they come in and in how many loads.
+    ``rows`` have one row per key and no NULL in it. Only days with an
+    overwritten row are rewritten; the others are appended to. Tells how many
+    rows were inserted or overwritten.
+    """
+    spark = rows.sparkSession
+    stored_schema = StructType([*schema.fields, *version])
+    rows = to_target_columns(rows, stored_schema.fieldNames())
+    days = _touched_days(rows, day_column)
+    stored = read_days(spark, path, stored_schema, day_column, days)
+    names = [f.name for f in version] + [c for c in schema.fieldNames() if c not in key]
+    old = stored.select(*key, F.struct(*names).alias("old"))
+    newer = F.col("old").isNull() | (F.struct(*names) > F.col("old"))
+    changed = rows.join(old, list(key), "left").where(newer).withColumn("replaces", F.col("old").isNotNull()).drop("old")
+    scratch = scratch_path(spark, "changed-rows")
+    changed.write.parquet(scratch)
+    changed = spark.read.parquet(scratch)
+
+    rewritten = [r[0] for r in changed.where("replaces").select(day_column).distinct().collect()]
+    n = changed.count()
+    if rewritten:
+        in_days = F.col(day_column).isin(rewritten)
+        kept = read_days(spark, path, stored_schema, day_column, rewritten)
+        fresh = changed.where(in_days).select(*stored_schema.fieldNames())
+        merged = kept.join(fresh.select(*key), list(key), "left_anti").select(*stored_schema.fieldNames()).unionByName(fresh)
+        (
+            _by_day(merged, day_column, sort_by)
+            .write.partitionBy(day_column)
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .parquet(path)
+        )
+        changed = changed.where(~in_days)
+    _append(changed.select(*stored_schema.fieldNames()), path, day_column, sort_by)
+    return n

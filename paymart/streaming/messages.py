@@ -5,20 +5,23 @@ one entry per id: ``dedup_global`` for ever, ``dedup_bounded`` until the
 watermark has passed. The one to use for loading is ``stream_upsert``: its
 memory is the target table, so it neither forgets nor grows, and each
 micro-batch is reduced before it is shuffled.
+
+State of ``dedup_global`` has no bound: it is for streams known to end. All
+copies of one id travel to one task, as Spark does not combine before the
+state; for topics that repeat an id without end, use ``stream_upsert``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from paymart.functions.columns import conform_transaction
 from paymart.functions.messages import decode_envelope, decode_payload
 from paymart.operators.filters import filter_message_type
-from paymart.plans.ingest import insert_messages, rejected_messages
+from paymart.plans.ingest import load_messages
 from paymart.schemas import EVENT_TIME, EVENT_TIME_DELAY
 
 MESSAGE_KEY = ("object_type", "object_id")
@@ -34,24 +37,9 @@ def watermark_60m(messages: DataFrame, delay: str = EVENT_TIME_DELAY) -> DataFra
     return messages.withWatermark(EVENT_TIME, delay)
 
 
-def _reduce_copies(messages: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Drop copies inside each task before the shuffle of a streaming dedup.
-
-    Spark does not combine on the map side there, so all copies of an id that
-    is sent over and over would travel to one task.
-    """
-    columns = list(key)
-
-    def first_copies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.drop_duplicates(columns)
-
-    return messages.mapInPandas(first_copies, messages.schema)
-
-
 def stream_dedup_global(messages: DataFrame, key: Sequence[str] = MESSAGE_KEY) -> DataFrame:
     """One message per id over the whole life of the stream; state only grows."""
-    return watermark_60m(_reduce_copies(messages, key).dropDuplicates(list(key)))
+    return watermark_60m(messages.dropDuplicates(list(key)))
 
 
 def stream_dedup_bounded(
@@ -61,7 +49,7 @@ def stream_dedup_bounded(
 
     An id that comes again later is let through: pair it with an upsert.
     """
-    return watermark_60m(_reduce_copies(messages, key), delay).dropDuplicatesWithinWatermark(list(key))
+    return watermark_60m(messages, delay).dropDuplicatesWithinWatermark(list(key))
 
 
 def stream_to_files(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -79,14 +67,15 @@ def stream_upsert(
 ) -> StreamingQuery:
     """Load a message stream into the transactions table, each one once.
 
-    A micro-batch that is repeated after a failure inserts nothing twice, as
-    its keys are in the table by then, and rewrites its own rejects.
+    Of several copies the last sent stays, in whichever micro-batches they
+    come, so the table equals that of one batch load. A micro-batch that is
+    repeated after a failure changes nothing, and rewrites its own rejects.
+    The checkpoint keeps the offsets: a next run reads only what is new.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        if rejects_path:
-            rejected_messages(batch).write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
-        insert_messages(batch, path)
+        rejects = f"{rejects_path}/batch={batch_id}" if rejects_path else None
+        load_messages(batch, path, rejects_path=rejects)
 
     return (
         messages.writeStream.foreachBatch(load)

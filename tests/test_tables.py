@@ -10,6 +10,7 @@ from paymart.operators.upsert import new_rows, upsert_do_nothing, upsert_do_upda
 from paymart.plans import ingest
 from paymart.schemas import METRICS_BY_STATUS, RATES, TRANSACTION_TABLE, TXN_COLUMNS
 from paymart.sinks import tables
+from paymart.sinks.files import MissingInputError
 from paymart.sources.rates import bad_rates, good_rates, read_rates_csv
 
 D1, D2, D3, D4 = (dt.date(2022, 10, d) for d in (1, 2, 3, 4))
@@ -48,7 +49,9 @@ def path(tmp_path):
 
 
 def test_table_never_written_is_empty(spark, path):
-    assert tables.read_table(spark, path, TRANSACTION_TABLE).count() == 0
+    assert tables.read_table(spark, path, TRANSACTION_TABLE, missing_ok=True).count() == 0
+    with pytest.raises(MissingInputError):
+        tables.read_table(spark, path, TRANSACTION_TABLE)
 
 
 def test_reading_days_lists_no_others(spark, path):
@@ -210,7 +213,7 @@ def test_new_rows_reads_only_the_key_of_the_target(spark, path):
 
 
 def test_rates_are_replaced_and_bad_lines_left_out(spark, tmp_path, path):
-    file = tmp_path / "rates.csv"
+    file, rejects = tmp_path / "rates.csv", str(tmp_path / "rejects")
     file.write_text(
         "currency_code,currency_code_with,date_update,currency_with_div\n"
         "430,420,2022-10-01,1.5\n430,420,2022-10-01,1.5\nbad,420,2022-10-01,1\n440,420,2022-10-02,0\n"
@@ -219,8 +222,11 @@ def test_rates_are_replaced_and_bad_lines_left_out(spark, tmp_path, path):
     assert [r["_corrupt_record"] for r in bad_rates(csv).collect()] == ["bad,420,2022-10-01,1"]
     assert good_rates(csv).select("date_update").where("date_update = '2022-10-01'").count() == 2
     for _ in range(2):
-        assert ingest.ingest_rates(spark, str(file), path) == [2]
-    found = tables.read_table(spark, path, RATES).orderBy("currency_code").collect()
+        assert ingest.ingest_rates(spark, str(file), path, rejects_path=rejects, most_bad=0.5) == [2]
+    assert [r["line"] for r in spark.read.parquet(rejects).collect()] == ["bad,420,2022-10-01,1"]
+    with pytest.raises(ingest.BadRatesError, match="1 of 4"):
+        ingest.ingest_rates(spark, str(file), path)
+    found = tables.read_rates(spark, path).orderBy("currency_code").collect()
     assert [tuple(r) for r in found] == [
         (430, 420, D1, Decimal("1.500000")),
         (440, 420, D2, Decimal("0.000000")),
@@ -235,7 +241,35 @@ def test_empty_rate_file_fails_before_anything_is_replaced(spark, tmp_path, path
     ingest.ingest_rates(spark, str(full), path)
     with pytest.raises(ValueError, match="no rows"):
         ingest.ingest_rates(spark, str(empty), path)
-    assert tables.read_table(spark, path, RATES).count() == 1
+    assert tables.read_rates(spark, path).count() == 1
+
+
+def test_rates_go_by_the_names_in_the_header(spark, tmp_path, path):
+    file = tmp_path / "rates.csv"
+    file.write_text("currency_code_with,remark,currency_code,currency_with_div,date_update\n420,x,430,1.5,2022-10-01\n")
+    ingest.ingest_rates(spark, str(file), path)
+    assert [tuple(r) for r in tables.read_rates(spark, path).collect()] == [(430, 420, D1, Decimal("1.500000"))]
+    file.write_text("currency_code_with,currency_code,date_update\n420,430,2022-10-01\n")
+    with pytest.raises(ValueError, match="currency_with_div"):
+        ingest.ingest_rates(spark, str(file), path)
+
+
+def test_conflicting_rates_fail_and_replace_nothing(spark, tmp_path, path):
+    header = "currency_code,currency_code_with,date_update,currency_with_div\n"
+    good, bad = tmp_path / "good.csv", tmp_path / "bad.csv"
+    good.write_text(header + "430,420,2022-10-01,1.5\n")
+    bad.write_text(header + "430,420,2022-10-01,2\n430,420,2022-10-01,3\n")
+    ingest.ingest_rates(spark, str(good), path)
+    with pytest.raises(ingest.ConflictingRatesError):
+        ingest.ingest_rates(spark, str(bad), path)
+    assert [r["currency_with_div"] for r in tables.read_rates(spark, path).collect()] == [Decimal("1.500000")]
+
+
+def test_old_versions_of_rates_go(spark, tmp_path, path):
+    for rate in (1, 2, 3):
+        tables.load_rates(spark.createDataFrame([(430, 420, D1, Decimal(rate))], RATES), path)
+        assert [r["currency_with_div"] for r in tables.read_rates(spark, path).collect()] == [Decimal(rate)]
+    assert len(list((tmp_path / "table").glob("version-*"))) == 2
 
 
 def test_empty_topic_fails(spark, path):
@@ -252,6 +286,43 @@ def test_update_mart_from_stored_tables(spark, tmp_path):
     assert stored_metrics(spark, mart) == [(D1, 10), (D2, 30)]
 
 
+def test_wrong_paths_leave_the_mart_alone(spark, tmp_path):
+    transactions, rates, mart, wrong = (str(tmp_path / n) for n in ("transactions", "rates", "mart", "wrong"))
+    tables.append_transactions(txns(spark, ("1", D1, "done")), transactions)
+    tables.load_rates(spark.createDataFrame([(430, 420, D1, Decimal(3))], RATES), rates)
+    ingest.update_mart(spark, transactions, rates, mart, D1, D1)
+    for one, two in ((wrong, rates), (transactions, wrong)):
+        with pytest.raises(MissingInputError, match="wrong"):
+            ingest.update_mart(spark, one, two, mart, D1, D1)
+        assert stored_metrics(spark, mart) == [(D1, 30)]
+    tables.load_rates(spark.createDataFrame([], RATES), rates)
+    with pytest.raises(ValueError, match="no rows"):
+        ingest.update_mart(spark, transactions, rates, mart, D1, D1)
+    assert stored_metrics(spark, mart) == [(D1, 30)]
+
+
+def test_newer_copies_win_in_any_order(spark, tmp_path):
+    def sent(*specs):
+        rows = txns(spark, *[(i, day, status) for i, day, status, _ in specs])
+        hours = F.element_at(F.create_map(*[F.lit(x) for i, _, _, h in specs for x in (i, h)]), F.col("operation_id"))
+        return rows.withColumn("sent_dttm", F.expr("TIMESTAMP_NTZ '2022-10-01 00:00:00'") + F.make_dt_interval(hours=hours))
+
+    early, late = sent(("1", D1, "queued", 10), ("2", D2, "done", 10)), sent(("1", D1, "done", 11), ("3", D2, "done", 9))
+    for name, order in (("a", (early, late)), ("b", (late, early))):
+        path = str(tmp_path / name)
+        for rows in (*order, *order):
+            tables.insert_or_newer(rows, path, ingest.SENT)
+        assert stored(spark, path) == [("1", D1, "done"), ("2", D2, "done"), ("3", D2, "done")]
+
+
+def test_path_writers_feed_catalogue_tables(spark, tmp_path):
+    database = f"paymart_{tmp_path.name.replace('-', '_')}"
+    tables.create_tables(spark, database, str(tmp_path), {"metrics": (METRICS_BY_STATUS, "date_update")})
+    tables.append_metrics(metrics(spark, (D1, 1), (D2, 2)), str(tmp_path / "metrics"))
+    tables.sync_catalogue(spark, f"{database}.metrics")
+    assert spark.table(f"{database}.metrics").count() == 2
+
+
 def test_create_tables_twice(spark, tmp_path):
     database = f"paymart_{tmp_path.name.replace('-', '_')}"
     for _ in range(2):

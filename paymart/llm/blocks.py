@@ -78,3 +78,13 @@ def from_low_bytes(blob: bytes, width: int) -> np.ndarray:
     out = np.zeros((len(rows), 8), np.uint8)
     out[:, :width] = rows
     return out.view(np.uint64).ravel()
+
+
+def to_planes(values: np.ndarray) -> bytes:
+    """Numbers with their first bytes first, then their second bytes and so on: small ones compress well."""
+    return np.ascontiguousarray(values, np.int64).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def from_planes(blob: bytes) -> np.ndarray:
+    """The numbers again."""
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(8, -1).T).view(np.int64).ravel()

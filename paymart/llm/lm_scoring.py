@@ -23,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paymart.llm.blocks import BLOCK_BYTES, LAST, bucket_bits, bucket_cuts, from_low_bytes, in_blocks, low_bytes
+from paymart.llm.blocks import BLOCK_BYTES, LAST, bucket_bits, bucket_cuts, from_low_bytes, from_planes, in_blocks, low_bytes, to_planes
 from paymart.llm.words import Words, hash_words, mix, utf8_column
 
 ALPHA, KAPPA = 0.5, 10.0
-KEY_BYTES = 5  # of a hash within a bucket; the buckets stand for its upper bits
+KEY_BYTES = 6  # of a hash within a bucket; the buckets stand for its upper bits
 ASKED = "block int, bucket int, keys binary, counts binary, targets binary"
 TOLD = "block int, bucket int, counts binary, targets binary, n long, n_target long, vocabulary long"
 RESULT = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
@@ -55,16 +55,15 @@ def _ask(bits: int):
         grams = _Grams(block)
         cuts = bucket_cuts(grams.keys, bits)
         rows = low_bytes(grams.keys, KEY_BYTES)
-        counts, targets = grams.counts.astype(np.int32), grams.targets.astype(np.int32)
-        split = lambda a: [a[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+        split = lambda a, pack: [pack(a[x:y]) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
         n = len(cuts) - 1
         return pa.table(
             {
                 "block": pa.array([block["block"][0].as_py()] * n, pa.int32()),
                 "bucket": pa.array(range(n), pa.int32()),
-                "keys": pa.array(split(rows), pa.binary()),
-                "counts": pa.array(split(counts), pa.binary()),
-                "targets": pa.array(split(targets), pa.binary()),
+                "keys": pa.array(split(rows, np.ndarray.tobytes), pa.binary()),
+                "counts": pa.array(split(grams.counts, to_planes), pa.binary()),
+                "targets": pa.array(split(grams.targets, to_planes), pa.binary()),
             }
         )
 
@@ -79,11 +78,11 @@ def _add_up(asked: pa.Table) -> pa.Table:
     sums, answers = [], []
     ends = np.cumsum([len(b) // KEY_BYTES for b in blobs])
     for name in ("counts", "targets"):
-        values = np.frombuffer(b"".join(asked[name].to_pylist()), np.int32)
+        values = np.concatenate([from_planes(blob) for blob in asked[name].to_pylist()])
         total = np.bincount(group, weights=values, minlength=len(distinct)).astype(np.int64)
         sums.append(int(total[word].sum()))
         told = total[group].astype(np.int64)
-        answers.append([told[e - len(b) // KEY_BYTES : e].tobytes() for e, b in zip(ends, blobs, strict=True)])
+        answers.append([to_planes(told[e - len(b) // KEY_BYTES : e]) for e, b in zip(ends, blobs, strict=True)])
     n = len(blobs)
     return pa.table(
         {
@@ -112,17 +111,14 @@ def _losses(grams: _Grams, counts: np.ndarray, n: int, vocabulary: int, own: np.
 def _score(block: pa.Table, told: pa.Table) -> pa.Table:
     grams, told = _Grams(block), told.sort_by("bucket")
     counts, targets = (
-        np.frombuffer(b"".join(told[c].to_pylist()), np.int64).astype(np.float64) for c in ("counts", "targets")
+        np.concatenate([from_planes(blob) for blob in told[c].to_pylist()]).astype(np.float64) for c in ("counts", "targets")
     )
     n, n_target, vocabulary = (int(np.sum(told[c].to_numpy())) for c in ("n", "n_target", "vocabulary"))
     ones = np.ones(len(grams.words.hashes))
     background = _losses(grams, counts, n, vocabulary, ones)
     target = _losses(grams, targets, n_target, vocabulary, ones * grams.target)
-    sizes, cuts = grams.words.counts, grams.words.offsets
-    means = []
-    for loss in (target, background):
-        sums = np.concatenate([[0.0], np.cumsum(loss)])
-        means.append((sums[cuts[1:]] - sums[cuts[:-1]]) / np.maximum(sizes, 1))
+    sizes, owner = grams.words.counts, grams.words.owner()
+    means = [np.bincount(owner, weights=loss, minlength=len(sizes)) / np.maximum(sizes, 1) for loss in (target, background)]
     empty, ids = sizes == 0, block["doc_id"].to_numpy()
     return pa.table(
         {

@@ -44,7 +44,6 @@ def source_targets(
     is above. Ranks come from a range sort with counts per range, and each
     round of the sharing is one aggregate of one row.
     """
-    spark = sizes.sparkSession
     ranged = staged(
         sizes.withColumn("gone", F.col("source").isNull())
         .repartitionByRange(F.col("gone"), F.col("source"))
@@ -83,9 +82,7 @@ def source_targets(
         capped = row["n"]
         level = (share * row["size"] - (row["cap"] or 0.0)) / row["weight"]
     target = F.least(F.col("cap"), F.col("weight") * F.lit(level if level is not None else 0.0))
-    return spark.createDataFrame([], "source string, source_size long, target double").unionByName(
-        weighed.select("source", "source_size", target.alias("target"))
-    )
+    return weighed.select("source", "source_size", target.alias("target"))
 
 
 def mix_sources(

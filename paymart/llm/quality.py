@@ -25,8 +25,8 @@ from paymart.llm.decontaminate import plain_words
 from paymart.llm.shared import broadcast_if_small, staged
 from paymart.llm.words import hash_words, mix, utf8_column
 
-LABELLED_ROWS = 12_000  # most labelled documents that the views are fitted on
-POOL_ROWS = 12_000  # most unlabelled documents that views hand each other
+LABELLED_ROWS = 8_000  # most labelled documents that the views are fitted on
+POOL_ROWS = 8_000  # most unlabelled documents that views hand each other
 ROUNDS = 3
 HANDED = 400  # most documents of each kind that a view hands over in a round
 SURE = 0.95
@@ -34,7 +34,7 @@ WORDS = 512  # telling words in view A
 BINS = 8
 HASHED = 64  # slots for languages and sources
 
-SAMPLE = "doc_id long, good double, style array<float>, words array<long>, lang string, source string, n_chars long"
+SAMPLE = "doc_id long, good double, style array<float>, words binary, lang string, source string, n_chars long"
 SCORES = "doc_id long, p_content double, p_metadata double, p_good double, keep boolean"
 UPPER, LOWER, DIGIT, PUNCT, SPACE = (np.zeros(256, bool) for _ in range(5))
 UPPER[65:91] = LOWER[97:123] = DIGIT[48:58] = True
@@ -86,13 +86,13 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         words = plain_words(batch.column("text"))
         cuts = words.offsets
-        distinct = [np.unique(words.hashes[a:b]).view(np.int64) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        distinct = [np.unique(words.hashes[a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
                 batch.column("good"),
                 pa.array(list(style(batch.column("text"))), pa.list_(pa.float32())),
-                pa.array(distinct, pa.list_(pa.int64())),
+                pa.array(distinct, pa.binary()),
                 batch.column("lang"),
                 batch.column("source"),
                 batch.column("n_chars"),
@@ -107,14 +107,18 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0, steps: int = 25) -> np.ndarray:
     """Coefficients (the last is the intercept) by Newton's method."""
-    x = np.column_stack([x, np.ones(len(x))])
+    x = np.column_stack([x, np.ones(len(x), x.dtype)])
     penalty = np.full(x.shape[1], ridge)
     penalty[-1] = 1e-6
     beta = np.zeros(x.shape[1])
     for _ in range(steps):
-        p = sigmoid(x @ beta)
-        gradient = x.T @ (weight * (p - y)) + penalty * beta
-        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(penalty)
+        gradient, hessian = penalty * beta, np.diag(penalty)
+        for first in range(0, len(x), 2048):  # in pieces, as copies of the whole matrix are large
+            part = slice(first, first + 2048)
+            xs = x[part].astype(np.float64)
+            p = sigmoid(xs @ beta)
+            gradient = gradient + xs.T @ (weight[part] * (p - y[part]))
+            hessian = hessian + (xs * (weight[part] * p * (1 - p))[:, None]).T @ xs
         step = np.linalg.solve(hessian, gradient)
         beta -= step
         if np.abs(step).max() < 1e-6:
@@ -127,7 +131,7 @@ def _bins(values: np.ndarray, borders: np.ndarray) -> np.ndarray:
     out = []
     for column, edges in zip(values.T, borders, strict=True):
         out.append(np.searchsorted(edges, column, "right")[:, None] == np.arange(BINS)[None, :])
-    return np.hstack(out).astype(np.float64)
+    return np.hstack(out).astype(np.float32)
 
 
 def _borders(values: np.ndarray) -> np.ndarray:
@@ -178,7 +182,7 @@ class CoTrained:
 
     def content_matrix(self, styles: np.ndarray, present: np.ndarray) -> np.ndarray:
         scaled = np.clip((styles - self.style_scale[0]) / self.style_scale[1], -5, 5)
-        return np.hstack([scaled, _bins(styles, self.style_borders), present])
+        return np.hstack([scaled.astype(np.float32), _bins(styles, self.style_borders), present])
 
     def metadata_matrix(self, lang: list, source: list, n_chars: list, slots: _SlotCache) -> np.ndarray:
         length = np.log1p(np.array([[max(n or 0, 0)] for n in n_chars], np.float64).reshape(-1, 1))
@@ -197,7 +201,7 @@ class CoTrained:
 
 
 def _present(words: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
-    lookup, out = Lookup(chosen), np.zeros((len(words), len(chosen)))
+    lookup, out = Lookup(chosen), np.zeros((len(words), len(chosen)), np.float32)
     for i, w in enumerate(words):
         out[i, lookup.find(w)[1]] = 1.0
     return out
@@ -216,26 +220,27 @@ def telling_words(words: list[np.ndarray], y: np.ndarray, weight: np.ndarray, mo
     return np.sort(keys[sure[np.argsort(-np.abs(z[sure]), kind="stable")][:most]])
 
 
-def co_train(rows: list[dict], rounds: int = ROUNDS) -> CoTrained:
+def co_train(rows: pa.Table, rounds: int = ROUNDS) -> CoTrained:
     """Fits both views on sampled rows (``good`` is 1.0, 0.0 or null for the pool)."""
-    rows = sorted(rows, key=lambda r: (r["doc_id"] is None, r["doc_id"], r["n_chars"] or 0))
-    known = np.array([r["good"] is not None for r in rows], bool)
-    y = np.array([r["good"] if r["good"] is not None else 0.5 for r in rows], np.float64)
+    rows = rows.sort_by([("doc_id", "ascending"), ("n_chars", "ascending"), ("words", "ascending")])
+    good = rows["good"].to_pylist()
+    known = np.array([g is not None for g in good], bool)
+    y = np.array([0.5 if g is None else g for g in good], np.float64)
     share = float(y[known].mean()) if known.any() else 1.0
     model = CoTrained(share)
-    fold = np.array([int(mix(np.array([(r["doc_id"] or 0) & (2**63 - 1)], np.uint64))[0] % np.uint64(5)) for r in rows])
+    fold = mix(rows["doc_id"].to_numpy().astype(np.int64).view(np.uint64)) % np.uint64(5)
     train, held = known & (fold > 0), known & (fold == 0)
     if any(len(set(y[part].tolist())) < 2 for part in (train, held)):
         return model  # too few labels to tell apart
-    styles = np.array([r["style"] for r in rows], np.float64)
-    words = [np.array(r["words"], np.int64).view(np.uint64) for r in rows]
+    styles = np.array(rows["style"].to_pylist(), np.float64)
+    words = [np.frombuffer(w, np.uint64) for w in rows["words"].to_pylist()]
     model.style_borders = _borders(styles)
     model.style_scale = np.stack([styles.mean(axis=0), styles.std(axis=0) + 1e-6])
-    length = np.log1p(np.array([[max(r["n_chars"] or 0, 0)] for r in rows], np.float64))
+    length = np.log1p(np.array([[max(n or 0, 0)] for n in rows["n_chars"].to_pylist()], np.float64).reshape(-1, 1))
     model.length_borders = _borders(length)
-    b = model.metadata_matrix(*([r[c] for r in rows] for c in ("lang", "source", "n_chars")), _SlotCache())
+    b = model.metadata_matrix(*(rows[c].to_pylist() for c in ("lang", "source", "n_chars")), _SlotCache())
 
-    handed = [np.full(len(rows), np.nan), np.full(len(rows), np.nan)]  # labels given to view A and to view B
+    handed = [np.full(len(known), np.nan), np.full(len(known), np.nan)]  # labels given to view A and to view B
     for _ in range(rounds):
         matrices = []
         for view in (0, 1):
@@ -311,8 +316,8 @@ def train(
     pool = other.orderBy(order, "doc_id").limit(pool_rows).withColumn("good", F.lit(None).cast("double"))
     chosen = staged(some.unionByName(pool), "sampled")
     sampled = clean.join(F.broadcast(chosen), "doc_id")  # bounded by both parameters
-    rows = sampled.select("doc_id", "good", "text", "lang", "source", "n_chars").mapInArrow(_sketch, SAMPLE).collect()
-    return co_train([r.asDict() for r in rows])
+    rows = sampled.select("doc_id", "good", "text", "lang", "source", "n_chars").mapInArrow(_sketch, SAMPLE).toArrow()
+    return co_train(rows)
 
 
 def _scorer(model: CoTrained):

@@ -51,6 +51,10 @@ HEADLINE = [
     "insert_new",
     "replace_days",
     "ingest_messages",
+    "ingest_troubled_messages",
+    "insert_or_update",
+    "load_rates",
+    "global_metrics_large_amounts",
     "stream_decode",
     "stream_dedup_bounded",
     "stream_upsert",

@@ -322,5 +322,7 @@ def read_records(archives: DataFrame, with_payload: bool = True) -> DataFrame:
     ranges = archives.select("archive").mapInArrow(
         _list_records, "archive string, members array<string>, offsets array<long>, lengths array<long>"
     )
-    ranges = ranges.repartition("archive", F.col("offsets")[0])
+    # A range is a few bytes for a lot of reading: a number keeps the adaptive plan from packing them together.
+    tasks = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranges.repartition(tasks, "archive", F.col("offsets")[0])
     return ranges.mapInArrow(_read_records(with_payload), RECORD + ", payload binary" * with_payload)

@@ -23,10 +23,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paymart.llm.blocks import BLOCK_BYTES, LAST, bucket_bits, bucket_cuts, from_low_bytes, from_planes, in_blocks, low_bytes, to_planes
+from paymart.llm.blocks import LAST, bucket_bits, bucket_cuts, from_low_bytes, from_planes, in_blocks, low_bytes, to_planes
 from paymart.llm.words import Words, hash_words, mix, utf8_column
 
 ALPHA, KAPPA = 0.5, 10.0
+BLOCK_BYTES = 5 << 20  # of text; words, pairs and their counts take some thirty times as much
 KEY_BYTES = 6  # of a hash within a bucket; the buckets stand for its upper bits
 ASKED = "block int, bucket int, keys binary, counts binary, targets binary"
 TOLD = "block int, bucket int, counts binary, targets binary, n long, n_target long, vocabulary long"

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paymart.functions.columns import conform_rate, conform_transaction
 from paymart.functions.messages import parse_messages
-from paymart.operators.checks import any_null, require_rows, unique_key_report
+from paymart.operators.checks import EmptyLoadError, any_null, require_rows, unique_key_report
 from paymart.operators.dedup import one_per_key
 from paymart.operators.filters import Day
 from paymart.plans.mart import metrics_backfill
@@ -56,8 +56,8 @@ def _plausible(time: Column | str) -> Column:
 def judged_messages(messages: DataFrame) -> DataFrame:
     """Every message once: its text and why it is rejected, or its transaction.
 
-    Columns raw, reject_reason, is_transaction, id, sent_dttm and those of a
-    transaction. Reasons: ``envelope`` or ``payload`` (that part is not JSON),
+    Columns raw, reject_reason, is_ours (of the type loaded), is_transaction (and
+    complete), id, sent_dttm and those of a transaction. Reasons: ``envelope`` or ``payload`` (that part is not JSON),
     ``type`` (the envelope does not say what it holds), ``null`` (a required
     value is missing or not of its type), ``day`` (not a plausible one).
     """
@@ -72,6 +72,7 @@ def judged_messages(messages: DataFrame) -> DataFrame:
     return reasoned.select(
         F.when(F.col("reject_reason").isNotNull(), F.col("raw")).alias("raw"),
         "reject_reason",
+        ours.alias("is_ours"),
         (ours & F.col("reject_reason").isNull()).alias("is_transaction"),
         F.coalesce("object_id", "operation_id").alias("id"),
         F.col("sent_dttm").cast("timestamp_ntz").alias("sent_dttm"),
@@ -111,19 +112,22 @@ def load_messages(messages: DataFrame, *paths: str, rejects_path: str | None = N
     """
     spark = messages.sparkSession
     staged = scratch_path(spark, "messages")
-    judged_messages(messages).write.parquet(staged)
-    judged = spark.read.parquet(staged)
-    if required:
-        require_rows(judged.where("is_transaction OR id IS NOT NULL"), "the topic")
+    judged, ours = judged_messages(messages), Observation()
+    judged.observe(ours, F.count_if("is_ours").alias("n")).write.parquet(staged)
+    if required and not ours.get.get("n"):
+        raise EmptyLoadError("the topic has no rows of the type")
+    judged = spark.read.schema(judged.schema).parquet(staged)
     if rejects_path:
         rejects = judged.where("reject_reason IS NOT NULL").select("reject_reason", "raw")
         rejects.write.mode("overwrite").parquet(rejects_path)
     rows = one_per_key(_stored_rows(judged), [TXN_DAY, "operation_id"], ["sent_dttm"])
-    if len(paths) > 1:
-        newest = scratch_path(spark, "newest")
-        rows.write.parquet(newest)
-        rows = spark.read.parquet(newest)
-    return [insert_or_newer(rows, path, SENT) for path in paths]
+    newest, seen = scratch_path(spark, "newest"), Observation()
+    rows.observe(seen, F.collect_set(TXN_DAY).alias("days")).write.parquet(newest)
+    days = seen.get.get("days") or []
+    if not days:
+        return [0 for _ in paths]
+    rows = spark.read.schema(T.StructType([*TRANSACTION_TABLE.fields, *SENT])).parquet(newest)
+    return [insert_or_newer(rows, path, SENT, days=days) for path in paths]
 
 
 def ingest_messages(messages: DataFrame, *paths: str, rejects_path: str | None = None) -> list[int]:

@@ -287,6 +287,7 @@ def insert_or_newer(
     key: Sequence[str] = TXN_KEY,
     day_column: str = TXN_DAY,
     sort_by: Sequence[str] = TXN_SORT,
+    days: Sequence | None = None,
 ) -> int:
     """Insert rows, overwriting a stored one with the same key if it is older.
 
@@ -294,24 +295,27 @@ def insert_or_newer(
     key the one with the larger version stays, then the one with the larger
     values: the same whatever the order they come in and in how many loads.
     ``rows`` have one row per key and no NULL in it. Only days with an
-    overwritten row are rewritten; the others are appended to. Tells how many
-    rows were inserted or overwritten.
+    overwritten row are rewritten; the others are appended to. ``days`` may
+    name the days at hand where the caller knows them. Tells how many rows were
+    inserted or overwritten.
     """
     spark = rows.sparkSession
     stored_schema = StructType([*schema.fields, *version])
     rows = to_target_columns(rows, stored_schema.fieldNames())
-    days = _touched_days(rows, day_column)
+    if days is None:
+        days = _touched_days(rows, day_column)
     stored = read_days(spark, path, stored_schema, day_column, days)
     names = [f.name for f in version] + [c for c in schema.fieldNames() if c not in key]
     old = stored.select(*key, F.struct(*names).alias("old"))
     newer = F.col("old").isNull() | (F.struct(*names) > F.col("old"))
     changed = rows.join(old, list(key), "left").where(newer).withColumn("replaces", F.col("old").isNotNull()).drop("old")
-    scratch = scratch_path(spark, "changed-rows")
-    changed.write.parquet(scratch)
-    changed = spark.read.parquet(scratch)
-
-    rewritten = [r[0] for r in changed.where("replaces").select(day_column).distinct().collect()]
-    n = changed.count()
+    scratch, seen = scratch_path(spark, "changed-rows"), Observation()
+    replaced_day = F.when(F.col("replaces"), F.col(day_column))
+    changed.observe(seen, F.count(F.lit(1)).alias("n"), F.collect_set(replaced_day).alias("days")).write.parquet(scratch)
+    n, rewritten = seen.get.get("n") or 0, seen.get.get("days") or []
+    if not n:
+        return 0
+    changed = spark.read.schema(StructType([*stored_schema.fields, T.StructField("replaces", T.BooleanType())])).parquet(scratch)
     if rewritten:
         in_days = F.col(day_column).isin(rewritten)
         kept = read_days(spark, path, stored_schema, day_column, rewritten)

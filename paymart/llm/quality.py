@@ -3,17 +3,19 @@
 View A reads the text: style (case, punctuation, repetition and the like) and
 words that tell good from bad. View B reads metadata only: language, source,
 length. Each view is a logistic regression. In every round each view labels
-the pool documents it is sure of, by probabilities calibrated on held-out
-labels, and hands them to the other view; then both are fitted again. In the
-end a third regression, on the held-out labels, combines the two calibrated
-views. Fitting takes place on samples of bounded size; scoring is one pass over
-all documents, in place.
+all documents without a label that it is sure of, by probabilities calibrated
+on held-out labels, and hands them to the other view; then both are fitted
+again. In the end a third regression, on the held-out labels, combines the two
+calibrated views. Only the labelled documents are a sample. Sketches of it and
+of all documents without a label are written once; a pass over them adds up
+losses and gradients, and coefficients alone reach the driver. Scoring is one
+pass over all documents, in place.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,16 +27,20 @@ from paymart.llm.decontaminate import plain_words
 from paymart.llm.shared import broadcast_if_small, staged
 from paymart.llm.words import hash_words, mix, utf8_column
 
-LABELLED_ROWS = 8_000  # most labelled documents that the views are fitted on
-POOL_ROWS = 8_000  # most unlabelled documents that views hand each other
+LABELLED_ROWS = 12_000  # most labelled documents that the views are fitted on
 ROUNDS = 3
-HANDED = 400  # most documents of each kind that a view hands over in a round
 SURE = 0.95
 WORDS = 512  # telling words in view A
 BINS = 8
 HASHED = 64  # slots for languages and sources
 
-SAMPLE = "doc_id long, good double, style array<float>, words binary, lang string, source string, n_chars long"
+SKETCH = "doc_id long, good double, held boolean, style binary, words binary, lang string, source string, n_chars long"
+KINDS = ("good", "bad", "handed_good", "handed_bad")
+FEATURES = (
+    "doc_id long, good double, held boolean, train boolean, y_a double, y_b double,"
+    " at_a binary, value_a binary, at_b binary, value_b binary"
+)
+FEATURE_NAMES = [c.split()[0] for c in FEATURES.split(",")]
 SCORES = "doc_id long, p_content double, p_metadata double, p_good double, keep boolean"
 UPPER, LOWER, DIGIT, PUNCT, SPACE = (np.zeros(256, bool) for _ in range(5))
 UPPER[65:91] = LOWER[97:123] = DIGIT[48:58] = True
@@ -82,22 +88,25 @@ def style(column) -> np.ndarray:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Style and distinct plain words of sampled documents."""
-    for batch in batches:
+    """Style and distinct plain words of documents; a fifth of the labelled ids is held out."""
+    for batch in _pieces(batches):
         words = plain_words(batch.column("text"))
         cuts = words.offsets
         distinct = [np.unique(words.hashes[a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        fold = mix(batch.column("doc_id").fill_null(0).to_numpy().astype(np.int64).view(np.uint64)) % np.uint64(5)
+        known = batch.column("good").is_valid().to_numpy(zero_copy_only=False)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
                 batch.column("good"),
-                pa.array(list(style(batch.column("text"))), pa.list_(pa.float32())),
+                pa.array(known & (fold == 0)),
+                pa.array([x.tobytes() for x in style(batch.column("text"))], pa.binary()),
                 pa.array(distinct, pa.binary()),
                 batch.column("lang"),
                 batch.column("source"),
                 batch.column("n_chars"),
             ],
-            ["doc_id", "good", "style", "words", "lang", "source", "n_chars"],
+            ["doc_id", "good", "held", "style", "words", "lang", "source", "n_chars"],
         )
 
 
@@ -134,10 +143,6 @@ def _bins(values: np.ndarray, borders: np.ndarray) -> np.ndarray:
     return np.hstack(out).astype(np.float32)
 
 
-def _borders(values: np.ndarray) -> np.ndarray:
-    return np.quantile(values, np.arange(1, BINS) / BINS, axis=0).T
-
-
 def _slots(column) -> np.ndarray:
     """A one-hot column of hashed strings; null is an empty string."""
     data, offsets = utf8_column(column)
@@ -200,77 +205,280 @@ class CoTrained:
         return self.combination[0] * a + self.combination[1] * b + self.combination[2]
 
 
-def _present(words: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
-    lookup, out = Lookup(chosen), np.zeros((len(words), len(chosen)), np.float32)
-    for i, w in enumerate(words):
-        out[i, lookup.find(w)[1]] = 1.0
+def _words_present(words: list[bytes], chosen: np.ndarray) -> np.ndarray:
+    """Which of the chosen words each document of a sketch holds."""
+    keys = np.frombuffer(b"".join(words), np.uint64)
+    owner = np.repeat(np.arange(len(words)), [len(w) // 8 for w in words])
+    out = np.zeros((len(words), len(chosen)), np.float32)
+    at, number = Lookup(chosen).find(keys)
+    out[owner[at], number] = 1.0
     return out
 
 
-def telling_words(words: list[np.ndarray], y: np.ndarray, weight: np.ndarray, most: int = WORDS) -> np.ndarray:
-    """Words whose share of documents differs most surely between good and bad ones."""
-    keys, inverse = np.unique(np.concatenate([*words, np.zeros(0, np.uint64)]), return_inverse=True)
-    owner = np.repeat(np.arange(len(words)), [len(w) for w in words])
-    good = np.bincount(inverse, weights=(weight * y)[owner], minlength=len(keys))
-    bad = np.bincount(inverse, weights=(weight * (1 - y))[owner], minlength=len(keys))
-    n_good, n_bad = (weight * y).sum(), (weight * (1 - y)).sum()
+def _matrices(batch: pa.RecordBatch, model: CoTrained, slots: _SlotCache) -> tuple[np.ndarray, np.ndarray]:
+    """Both views of sketched documents."""
+    styles = np.frombuffer(b"".join(batch.column("style").to_pylist()), np.float32).reshape(batch.num_rows, -1)
+    a = model.content_matrix(styles.astype(np.float64), _words_present(batch.column("words").to_pylist(), model.words))
+    return a, model.metadata_matrix(*(batch.column(c).to_pylist() for c in ("lang", "source", "n_chars")), slots)
+
+
+def _targets(batch: pa.RecordBatch, history: list[CoTrained], slots: _SlotCache) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which rows train, and the label each row has for view A and for view B (nan for none).
+
+    A pool document has the first label that the other view was sure of in the
+    rounds so far, so nothing but the fitted views passes from round to round.
+    """
+    good = batch.column("good").to_numpy(zero_copy_only=False).astype(np.float64)
+    held = batch.column("held").to_numpy(zero_copy_only=False)
+    known = ~np.isnan(good)
+    train = known & ~held
+    labels = [np.where(train, good, np.nan) for _ in range(2)]
+    for model in history:
+        sure = [sigmoid(v) for v in model.views(*_matrices(batch, model, slots))]
+        for giver, taker in ((0, 1), (1, 0)):
+            free = ~known & np.isnan(labels[taker])
+            labels[taker][free & (sure[giver] >= SURE)] = 1.0
+            labels[taker][free & (1 - sure[giver] >= SURE)] = 0.0
+    return train, labels[0], labels[1]
+
+
+def _word_counts(history: list[CoTrained]):
+    """Documents of each word (null: of all) by kind: labelled good and bad, handed good and bad."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots = _SlotCache()
+        for batch in _pieces(batches, 2048):
+            train, target, _ = _targets(batch, history, slots)
+            use = ~np.isnan(target)
+            kind = 2 * ~train[use] + (target[use] == 0)
+            words = [w for w, u in zip(batch.column("words").to_pylist(), use, strict=True) if u]
+            keys, number = np.unique(np.frombuffer(b"".join(words), np.uint64), return_inverse=True)
+            owner = np.repeat(kind, [len(w) // 8 for w in words]).astype(np.int64)
+            counts = np.bincount(number * 4 + owner, minlength=4 * len(keys)).reshape(-1, 4)
+            counts = np.vstack([counts, np.bincount(kind, minlength=4)[None, :]])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*keys.view(np.int64).tolist(), None], pa.int64()), *(pa.array(c.astype(np.int64)) for c in counts.T)],
+                ["word", *KINDS],
+            )
+
+    return run
+
+
+def handed_weights(counts: list[int]) -> np.ndarray:
+    """Weights of handed good and bad labels: a half each, and together at most half of the labelled of the kind.
+
+    So all of them count, whatever their number, and the share of good ones stays as labelled.
+    """
+    labelled, handed = np.array(counts[:2], np.float64), np.array(counts[2:], np.float64)
+    return np.minimum(0.5, 0.5 * labelled / np.maximum(handed, 1))
+
+
+def telling_words(sketch: DataFrame, history: list[CoTrained], most: int = WORDS) -> np.ndarray:
+    """Words whose share of documents differs most surely between good and bad ones, among all documents with a label."""
+    counts = sketch.mapInArrow(_word_counts(history), f"word long, {', '.join(f'{k} long' for k in KINDS)}")
+    counts = staged(counts.groupBy("word").agg(*(F.sum(k).alias(k) for k in KINDS)), "word-counts")
+    total = counts.where("word IS NULL").first()
+    weights = handed_weights([total[k] for k in KINDS])
+    n_good, n_bad = (total[KINDS[i]] + float(weights[i]) * total[KINDS[2 + i]] for i in (0, 1))
+    good, bad = (F.col(KINDS[i]) + F.lit(float(weights[i])) * F.col(KINDS[2 + i]) for i in (0, 1))
     both = (good + bad + 1) / (n_good + n_bad + 2)
-    z = (good / max(n_good, 1) - bad / max(n_bad, 1)) / np.sqrt(both * (1 - both) * (1 / max(n_good, 1) + 1 / max(n_bad, 1)))
-    sure = np.flatnonzero((good + bad >= 8) & (np.abs(z) > 4))
-    return np.sort(keys[sure[np.argsort(-np.abs(z[sure]), kind="stable")][:most]])
-
-
-def co_train(rows: pa.Table, rounds: int = ROUNDS) -> CoTrained:
-    """Fits both views on sampled rows (``good`` is 1.0, 0.0 or null for the pool)."""
-    rows = rows.sort_by([("doc_id", "ascending"), ("n_chars", "ascending"), ("words", "ascending")])
-    good = rows["good"].to_pylist()
-    known = np.array([g is not None for g in good], bool)
-    y = np.array([0.5 if g is None else g for g in good], np.float64)
-    share = float(y[known].mean()) if known.any() else 1.0
-    model = CoTrained(share)
-    fold = mix(rows["doc_id"].to_numpy().astype(np.int64).view(np.uint64)) % np.uint64(5)
-    train, held = known & (fold > 0), known & (fold == 0)
-    if any(len(set(y[part].tolist())) < 2 for part in (train, held)):
+    z = (good / max(n_good, 1) - bad / max(n_bad, 1)) / F.sqrt(both * (1 - both) * (1 / max(n_good, 1) + 1 / max(n_bad, 1)))
+    sure = counts.where("word IS NOT NULL").select("word", (good + bad).alias("n"), F.abs(z).alias("z")).where("n >= 8 AND z > 4")
+    rows = sure.orderBy(F.desc("z"), "word").limit(most).collect()
+    return np.sort(np.array([r["word"] for r in rows], np.int64).view(np.uint64))
+
+
+def _features(model: CoTrained, history: list[CoTrained]):
+    """Rows with a label for a view or held out, each view as its entries that are not zero."""
+
+    def sparse(x: np.ndarray) -> list[pa.Array]:
+        row, column = np.nonzero(x)
+        values, column = x[row, column].astype(np.float32), column.astype(np.uint16)
+        cuts = np.searchsorted(row, np.arange(len(x) + 1))
+        return [pa.array([part[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()) for part in (column, values)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots = _SlotCache()
+        for batch in _pieces(batches, 1024):
+            train, *labels = _targets(batch, history, slots)
+            held = batch.column("held").to_numpy(zero_copy_only=False)
+            use = pa.array(held | ~np.isnan(labels[0]) | ~np.isnan(labels[1]))
+            a, b = _matrices(batch, model, slots)
+            columns = [batch.column("doc_id"), batch.column("good"), batch.column("held"), pa.array(train)]
+            columns += [pa.array(y, from_pandas=True) for y in labels] + sparse(a) + sparse(b)
+            yield pa.RecordBatch.from_arrays(columns, FEATURE_NAMES).filter(use)
+
+    return run
+
+
+def _entries(batch: pa.RecordBatch, view: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, value) of a view's entries."""
+    parts = batch.column(f"at_{view}").to_pylist()
+    row = np.repeat(np.arange(len(parts)), [len(x) // 2 for x in parts])
+    values = np.frombuffer(b"".join(batch.column(f"value_{view}").to_pylist()), np.float32).astype(np.float64)
+    return row, np.frombuffer(b"".join(parts), np.uint16).astype(np.int64), values
+
+
+def _margins(entries: tuple, n: int, beta: np.ndarray) -> np.ndarray:
+    row, column, value = entries
+    return np.bincount(row, weights=beta[column] * value, minlength=n) + beta[-1]
+
+
+def _even(x: np.ndarray) -> np.ndarray:
+    """Multiples of 2^-24: their sums are exact and do not depend on the order of rows and tasks."""
+    return np.rint(x * 16777216.0) / 16777216.0
+
+
+def _losses(betas: list[np.ndarray], weights: list[np.ndarray]):
+    """Each view's loss, gradient and bound of the Hessian's diagonal over the rows of a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = [np.zeros(1 + 2 * len(beta)) for beta in betas]
+        for batch in _pieces(batches, 4096):
+            train = batch.column("train").to_numpy(zero_copy_only=False)
+            for view, beta, handed, total in zip("ab", betas, weights, sums, strict=True):
+                y = batch.column(f"y_{view}").to_numpy(zero_copy_only=False).astype(np.float64)
+                use, k = ~np.isnan(y), len(beta)
+                y = np.nan_to_num(y)
+                weight = np.where(use, np.where(train, 1.0, np.where(y == 1, handed[0], handed[1])), 0.0)
+                entries = row, column, value = _entries(batch, view)
+                margin = _margins(entries, len(y), beta)
+                error = weight * (sigmoid(margin) - y)
+                total[0] += _even(weight * (np.logaddexp(0, margin) - y * margin)).sum()
+                total[1:k] += np.bincount(column, weights=_even(error[row] * value), minlength=k - 1)
+                total[k] += _even(error).sum()
+                total[k + 1 : -1] += np.bincount(column, weights=_even(weight[row] * value * value / 4), minlength=k - 1)
+                total[-1] += _even(weight / 4).sum()
+        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in sums], ["a", "b"])
+
+    return run
+
+
+def _descend(beta: np.ndarray, ridge: float = 1.0, steps: int = 30, memory: int = 10):
+    """Asks for sums of ``_losses`` at coefficients, by limited-memory BFGS; returns the best coefficients."""
+    k = len(beta)
+    penalty = np.full(k, ridge)
+    penalty[-1] = 1e-6
+
+    def with_penalty(sums: np.ndarray, at: np.ndarray) -> tuple[float, np.ndarray]:
+        return sums[0] + (penalty * at * at).sum() / 2, sums[1 : k + 1] + penalty * at
+
+    sums = yield beta
+    loss, gradient = with_penalty(sums, beta)
+    diagonal, pairs = sums[k + 1 :] + penalty, []
+    for _ in range(steps):
+        step, factors = gradient.copy(), []
+        for s, d, r in reversed(pairs):
+            factors.append(r * (s @ step))
+            step -= factors[-1] * d
+        step /= diagonal
+        for (s, d, r), f in zip(pairs, reversed(factors), strict=True):
+            step += s * (f - r * (d @ step))
+        gain = gradient @ step
+        if gain < 1e-5 * (1 + abs(loss)):
+            break
+        size = 1.0
+        while True:
+            new = beta - size * step
+            new_loss, new_gradient = with_penalty((yield new), new)
+            if new_loss <= loss - 1e-4 * size * gain:
+                break
+            size /= 2
+            if size < 1e-3:
+                return beta
+        s, d = new - beta, new_gradient - gradient
+        if s @ d > 1e-12:
+            pairs = [*pairs, (s, d, 1 / (s @ d))][-memory:]
+        beta, loss, gradient = new, new_loss, new_gradient
+    return beta
+
+
+def fit_views(features: DataFrame, starts: list[np.ndarray], weights: list[np.ndarray]) -> list[np.ndarray]:
+    """Logistic regressions of both views over all rows; one pass serves both."""
+    fits = [_descend(start) for start in starts]
+    asked, done = [next(fit) for fit in fits], [None, None]
+    while any(d is None for d in done):
+        rows = features.mapInArrow(_losses(asked, weights), "a binary, b binary").collect()
+        for i, fit in enumerate(fits):
+            if done[i] is None:
+                try:
+                    sums = sum((np.frombuffer(r[i], np.float64) for r in rows), np.zeros(1 + 2 * len(asked[i])))
+                    asked[i] = fit.send(sums)
+                except StopIteration as end:
+                    done[i] = asked[i] = end.value
+    return done
+
+
+def _held_scores(betas: list[np.ndarray]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _pieces(batches, 4096):
+            raw = [pa.array(_margins(_entries(batch, v), batch.num_rows, b)) for v, b in zip("ab", betas, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("good"), *raw], ["doc_id", "good", "a", "b"])
+
+    return run
+
+
+def _histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often values of each style feature and of the length fall into slots of 1/128 of their size."""
+    for batch in _pieces(batches, 4096):
+        styles = np.frombuffer(b"".join(batch.column("style").to_pylist()), np.float32).reshape(batch.num_rows, -1)
+        length = np.log1p(np.array([max(n or 0, 0) for n in batch.column("n_chars").to_pylist()], np.float32))
+        for i, values in enumerate([*styles.T, length]):
+            slots, counts = np.unique(np.ascontiguousarray(values).view(np.uint32) >> np.uint32(16), return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i] * len(slots), pa.int32()), pa.array(slots.astype(np.int32)), pa.array(counts)], ["feature", "slot", "n"]
+            )
+
+
+def _scales(model: CoTrained, sketch: DataFrame) -> None:
+    """Bin borders, means and deviations over all sketched documents."""
+    counted = sketch.mapInArrow(_histogram, "feature int, slot int, n long").groupBy("feature", "slot").agg(F.sum("n").alias("n"))
+    found: dict[int, list[tuple[int, int]]] = {}
+    for r in counted.collect():
+        found.setdefault(r["feature"], []).append((r["slot"], r["n"]))
+    borders, means, deviations = [], [], []
+    for i in sorted(found):
+        slots, n = np.array(sorted(found[i])).T
+        values = (slots.astype(np.uint32) << np.uint32(16)).view(np.float32).astype(np.float64)
+        share = np.cumsum(n) / n.sum()
+        borders.append(values[np.minimum(np.searchsorted(share, np.arange(1, BINS) / BINS), len(values) - 1)])
+        means.append((values * n).sum() / n.sum())
+        deviations.append(np.sqrt((n * (values - means[-1]) ** 2).sum() / n.sum()))
+    model.style_borders, model.length_borders = np.array(borders[:-1]), np.array(borders[-1:])
+    model.style_scale = np.stack([means[:-1], np.array(deviations[:-1]) + 1e-6])
+
+
+def co_train(sketch: DataFrame, rounds: int = ROUNDS) -> CoTrained:
+    """Fits both views on sketched rows (``good`` is 1.0, 0.0 or null for the pool), with every label that a view is sure of."""
+    counted = sketch.where("good IS NOT NULL").groupBy("held", "good").count().collect()
+    n = {(r["held"], r["good"]): r["count"] for r in counted}
+    total = sum(n.values())
+    model = CoTrained(sum(c for (_, good), c in n.items() if good == 1.0) / total if total else 1.0)
+    if len(n) < 4:
         return model  # too few labels to tell apart
-    styles = np.array(rows["style"].to_pylist(), np.float64)
-    words = [np.frombuffer(w, np.uint64) for w in rows["words"].to_pylist()]
-    model.style_borders = _borders(styles)
-    model.style_scale = np.stack([styles.mean(axis=0), styles.std(axis=0) + 1e-6])
-    length = np.log1p(np.array([[max(n or 0, 0)] for n in rows["n_chars"].to_pylist()], np.float64).reshape(-1, 1))
-    model.length_borders = _borders(length)
-    b = model.metadata_matrix(*(rows[c].to_pylist() for c in ("lang", "source", "n_chars")), _SlotCache())
-
-    handed = [np.full(len(known), np.nan), np.full(len(known), np.nan)]  # labels given to view A and to view B
+    _scales(model, sketch)
+    history: list[CoTrained] = []
     for _ in range(rounds):
-        matrices = []
-        for view in (0, 1):
-            use = train | ~np.isnan(handed[view])
-            target = np.where(train, y, np.nan_to_num(handed[view]))
-            weight = np.where(train, 1.0, 0.5)[use]
-            if view == 0:
-                at = np.flatnonzero(use)
-                model.words = telling_words([words[i] for i in at], target[use], weight)
-                a = model.content_matrix(styles, _present(words, model.words))
-                model.content = fit_logistic(a[use], target[use], weight)
-                matrices.append(a)
-            else:
-                model.metadata = fit_logistic(b[use], target[use], weight)
-                matrices.append(b)
-        raw = [x @ beta[:-1] + beta[-1] for x, beta in zip(matrices, (model.content, model.metadata), strict=True)]
+        model = replace(model, words=telling_words(sketch, history))
+        features = staged(sketch.mapInArrow(_features(model, history), FEATURES), "features")
+        weights = []
+        for y in ("y_a", "y_b"):
+            kinds = {(r["train"], r[y]): r["count"] for r in features.where(f"{y} IS NOT NULL").groupBy("train", y).count().collect()}
+            weights.append(handed_weights([kinds.get((train, kind), 0) for train in (True, False) for kind in (1.0, 0.0)]))
+        sizes = model.style_scale.shape[1] + model.style_borders.shape[0] * BINS + len(model.words), BINS + 2 + 2 * HASHED
+        model.content, model.metadata = fit_views(features, [np.zeros(k + 1) for k in sizes], weights)
+        held = features.where("held").mapInArrow(_held_scores([model.content, model.metadata]), "doc_id long, good double, a double, b double")
+        rows = np.array(sorted(tuple(r) for r in held.groupBy("doc_id", "good", "a", "b").count().collect()), np.float64)
+        y, raw, weight = rows[:, 1], rows[:, 2:4].T, rows[:, 4]
         calibration = []
         for score in raw:
-            slope, shift = fit_logistic(score[held, None], y[held], np.ones(held.sum()), ridge=1e-3)
+            slope, shift = fit_logistic(score[:, None], y, weight, ridge=1e-3)
             calibration.append(np.array([max(slope, 0.0), shift]))
         model.calibration = tuple(calibration)
-        sure = [sigmoid(s * r + t) for r, (s, t) in zip(raw, model.calibration, strict=True)]
-        for giver, taker in ((0, 1), (1, 0)):
-            free = ~known & np.isnan(handed[taker])
-            for kind, p in ((1.0, sure[giver]), (0.0, 1 - sure[giver])):
-                best = np.flatnonzero(free & (p >= SURE))
-                handed[taker][best[np.argsort(-p[best], kind="stable")][:HANDED]] = kind
-    views = np.column_stack(model.views(matrices[0], b))
-    model.combination = fit_logistic(views[held], y[held], np.ones(held.sum()), ridge=1e-2)
-    model.threshold = best_threshold(sigmoid(model.combined(*views[held].T)), y[held])
+        history.append(model)
+    views = np.column_stack([slope * score + shift for score, (slope, shift) in zip(raw, model.calibration, strict=True)])
+    model.combination = fit_logistic(views, y, weight, ridge=1e-2)
+    model.threshold = best_threshold(sigmoid(model.combined(*views.T)), y)
     model.fitted = True
     return model
 
@@ -300,24 +508,28 @@ def _clean(docs: DataFrame) -> DataFrame:
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, good: Column, labelled_rows: int = LABELLED_ROWS, pool_rows: int = POOL_ROWS
+    docs: DataFrame, labels: DataFrame, good: Column, labelled_rows: int = LABELLED_ROWS, pool_rows: int | None = None
 ) -> CoTrained:
-    """Fits on at most so many labelled and pool documents, the first by a hash of the id.
+    """Fits on at most so many labelled documents, the first by a hash of the id, and on all without a label.
 
     ``labels`` has doc_id and what ``good`` needs. A label without a document,
     an id or a value is not used; of several labels for one id the worst counts.
+    ``pool_rows`` bounds the ids without a label, for trials; rows without an
+    id are left out then.
     """
     ids = labels.select(F.col("doc_id").cast("long").alias("doc_id"), good.cast("double").alias("good")).dropna()
     ids = staged(ids.groupBy("doc_id").agg(F.min("good").alias("good")), "labels")
     clean = _clean(docs)
     order = F.xxhash64("doc_id")
-    some = ids.orderBy(order, "doc_id").limit(labelled_rows)
-    other = clean.select("doc_id").where("doc_id IS NOT NULL").distinct().join(broadcast_if_small(ids.select("doc_id"), 16), "doc_id", "left_anti")
-    pool = other.orderBy(order, "doc_id").limit(pool_rows).withColumn("good", F.lit(None).cast("double"))
-    chosen = staged(some.unionByName(pool), "sampled")
-    sampled = clean.join(F.broadcast(chosen), "doc_id")  # bounded by both parameters
-    rows = sampled.select("doc_id", "good", "text", "lang", "source", "n_chars").mapInArrow(_sketch, SAMPLE).toArrow()
-    return co_train(rows)
+    some = staged(ids.orderBy(order, "doc_id").limit(labelled_rows), "sampled")
+    known = ids.join(F.broadcast(some.select("doc_id", F.lit(True).alias("chosen"))), "doc_id", "left")
+    rows = clean.join(broadcast_if_small(known, 17), "doc_id", "left").where("good IS NULL OR chosen")
+    if pool_rows is not None:
+        pool = clean.select("doc_id").dropna().distinct().join(broadcast_if_small(ids, 16), "doc_id", "left_anti")
+        pool = pool.orderBy(order, "doc_id").limit(pool_rows)
+        rows = rows.join(broadcast_if_small(some.select("doc_id").unionByName(pool), 16), "doc_id", "left_semi")
+    rows = rows.select("doc_id", "good", "text", "lang", "source", "n_chars")
+    return co_train(staged(rows.mapInArrow(_sketch, SKETCH), "sketch"))
 
 
 def _scorer(model: CoTrained):
@@ -347,10 +559,10 @@ def _least(model: CoTrained, least: float | None) -> float:
     return model.threshold if model.fitted else 0.0  # unfitted: nothing is rejected
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pieces(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for first in range(0, batch.num_rows, 256):
-            yield batch.slice(first, 256)
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
 
 
 def score_documents(docs: DataFrame, model: CoTrained, least: float | None = None) -> DataFrame:

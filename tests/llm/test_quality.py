@@ -82,3 +82,23 @@ def test_plan_reads_texts_once_for_scoring(docs, labels):
     rows, known = corpus(60)
     model = quality.train(docs(*rows), labels(known), F.lit(True))
     assert "Exchange" not in quality.score_documents(docs(*rows), model)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_all_confident_documents_without_a_label_are_handed_over(spark, docs, labels, monkeypatch):
+    """A word that no labelled document holds is told by the metadata view, and only if no pool row is left out."""
+    pick = random.Random(3)
+    words = [f"{a}{b}{c}" for a in "bdfgklm" for b in "aeiou" for c in "nrst"]
+    rows, known = [], []
+    for i in range(2400):
+        bad = i % 3 == 0
+        text = [pick.choice(words) for _ in range(40)]
+        if i < 600:
+            known.append((i, 1, int(bad)))
+        elif bad:
+            text[pick.randrange(40)] = "skeevish"
+        rows.append((i if i < 1500 else None, " ".join(text), "bin" if bad else "shelf"))
+    asked = []
+    monkeypatch.setattr(quality, "handed_weights", lambda counts, f=quality.handed_weights: asked.append(counts) or f(counts))
+    model = quality.train(docs(*rows), labels(known), quality.is_good())
+    assert max(c[3] for c in asked) == 600 and max(c[2] for c in asked) == 1200  # 1800 rows, 900 of them without an id
+    assert quality.plain_words(quality.pa.array(["skeevish"])).hashes[0] in model.words

@@ -28,6 +28,8 @@ RARE = 1e-7  # chance of a seed at a given word, at most
 FEWEST_SEEDS = 4
 MATCH, MISMATCH, GAP = 2, 1, 1
 THRESHOLD = 0.4  # chance reaches a third at most on a hundred megabytes; copies with a third of their words edited reach this
+PASSAGE_WORDS = 20  # so many words in a row, an edit costing three of them, are a copy whatever their share of the item
+PASSAGE_PENALTY = 4  # of a mismatch or gap within a passage
 SLICE_BYTES = 16 << 20  # of item texts that one pass compares with
 MATCHES = "doc_id long, item_id long, score double, start_word long, end_word long"
 
@@ -96,20 +98,20 @@ class Items:
             self.seeds[n] = hashes[keep], item[keep], offset[keep]
 
 
-def align(items: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def align(items: np.ndarray, texts: np.ndarray, mismatch: int = MISMATCH, gap: int = GAP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best local score of each row pair and the end of its alignment in text and item.
 
     Rows are padded with 0 and 1, which match nothing. The gap within a text
     row is a running maximum, so one step covers a whole row of all pairs.
     """
     n, width = texts.shape
-    slope = (GAP * np.arange(width + 1, dtype=np.int32))[None, :]
+    slope = (gap * np.arange(width + 1, dtype=np.int32))[None, :]
     before = np.zeros((n, width + 1), np.int32)
     best, end, row = np.zeros(n, np.int32), np.zeros(n, np.int64), np.zeros(n, np.int64)
     for i in range(items.shape[1]):
         now = np.zeros_like(before)
-        step = np.where(texts == items[:, i : i + 1], MATCH, -MISMATCH)
-        now[:, 1:] = np.maximum(before[:, :-1] + step, before[:, 1:] - GAP)
+        step = np.where(texts == items[:, i : i + 1], MATCH, -mismatch)
+        now[:, 1:] = np.maximum(before[:, :-1] + step, before[:, 1:] - gap)
         np.maximum(now, 0, out=now)
         now = np.maximum.accumulate(now + slope, axis=1) - slope
         at = now.argmax(axis=1)
@@ -128,7 +130,7 @@ def _padded(rows: list[np.ndarray], filler: int) -> np.ndarray:
 
 
 def _matches(items: Items, lookups: dict[int, _Lookup], by_key: dict, column, threshold: float):
-    """(text, item, score, first word, end) of the best alignment of each text and item that reach the threshold."""
+    """(text, item, score, first word, end) of the best alignment of each text and item that reach the threshold, or hold a passage."""
     words = plain_words(column)
     cuts, owner = words.offsets, words.owner()
     regions = []
@@ -165,17 +167,23 @@ def _matches(items: Items, lookups: dict[int, _Lookup], by_key: dict, column, th
             texts.append(words.hashes[a:b])
             begins.append(int(a - cuts[text]))
         score, end, row = align(_padded(queries, 0), _padded(texts, 1))
-        share = score / np.array([MATCH * max(len(q), 1) for q in queries])
-        good = np.flatnonzero(share >= threshold)
-        if not len(good):
-            continue
-        back, start, _ = align(
-            _padded([queries[g][: row[g]][::-1] for g in good], 0), _padded([texts[g][: end[g]][::-1] for g in good], 1)
-        )
-        for g, s in zip(good.tolist(), start.tolist(), strict=True):
-            text, item = int(part[g, 0]), int(part[g, 1])
-            found = (float(share[g]), begins[g] + int(end[g]) - s, begins[g] + int(end[g]))
-            best[text, item] = max(best.get((text, item), found), found)
+        own = np.array([MATCH * max(len(q), 1) for q in queries])
+        good = score >= threshold * own
+        part_only = np.flatnonzero(~good & (score >= MATCH * PASSAGE_WORDS))
+        for chosen, costs in ((np.flatnonzero(good), (MISMATCH, GAP)), (part_only, (PASSAGE_PENALTY, PASSAGE_PENALTY))):
+            if len(chosen) and costs != (MISMATCH, GAP):
+                strict, ends, rows = align(_padded([queries[g] for g in chosen], 0), _padded([texts[g] for g in chosen], 1), *costs)
+                score[chosen], end[chosen], row[chosen] = strict, ends, rows
+                chosen = chosen[strict >= MATCH * PASSAGE_WORDS]
+            if not len(chosen):
+                continue
+            back, start, _ = align(
+                _padded([queries[g][: row[g]][::-1] for g in chosen], 0), _padded([texts[g][: end[g]][::-1] for g in chosen], 1), *costs
+            )
+            for g, s in zip(chosen.tolist(), start.tolist(), strict=True):
+                text, item = int(part[g, 0]), int(part[g, 1])
+                found = (float(score[g] / own[g]), begins[g] + int(end[g]) - s, begins[g] + int(end[g]))
+                best[text, item] = max(best.get((text, item), found), found)
     return sorted((text, item, *found) for (text, item), found in best.items())
 
 
@@ -231,7 +239,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, threshold: float =
     """Each row of ``docs`` (doc_id, text) and each item of ``benchmark`` (item_id, text) it holds a copy of.
 
     doc_id, item_id, score (share of the item's own alignment score, from
-    ``threshold`` to 1), start_word and end_word (of the best place, counted in
+    ``threshold`` to 1, or less for a passage of a long item), start_word and end_word (of the best place, counted in
     plain words). Null and empty texts match nothing. Null ids are kept; rows
     with equal ids are judged each. Without items or documents there are no
     rows. Items shorter than a seed are one seed. Extra columns are not read.

@@ -76,3 +76,14 @@ def test_alignment_equals_the_plain_recurrence():
 def test_plain_words_fold_case_and_marks():
     one, two = plain_words(pa.array(["ÉCOLE, d'été!! A-b"])).hashes, plain_words(pa.array(["école d été a b"])).hashes
     assert one.tolist() == two.tolist()
+
+
+def test_a_passage_of_a_long_item_is_found(spark, docs):
+    pick = random.Random(9)
+    item = noise(pick, 500)
+    passage = " ".join(item.split()[200:350])
+    rows = [(1, f"{noise(pick, 40)} {passage} {noise(pick, 60)}"), (2, edited(pick, passage, 0.1)), (3, noise(pick, 300))]
+    found = {r["doc_id"]: r for r in benchmark_matches(docs(*rows), bench(spark, item)).collect()}
+    assert sorted(found) == [1, 2] and found[1]["score"] == 0.3
+    assert (found[1]["start_word"], found[1]["end_word"]) == (40, 190)
+    assert [r["doc_id"] for r in decontaminated(docs(*rows), bench(spark, item)).collect()] == [3]

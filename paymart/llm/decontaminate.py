@@ -13,6 +13,7 @@ size, and only matches come back.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,6 +29,7 @@ RARE = 1e-7  # chance of a seed at a given word, at most
 FEWEST_SEEDS = 4
 MATCH, MISMATCH, GAP = 2, 1, 1
 THRESHOLD = 0.4  # chance reaches a third at most on a hundred megabytes; copies with a third of their words edited reach this
+WHOLE_WORDS = 8  # so many words have to match at least; of shorter items all, or all but one from eight words on
 PASSAGE_WORDS = 20  # so many words in a row, an edit costing three of them, are a copy whatever their share of the item
 PASSAGE_PENALTY = 4  # of a mismatch or gap within a passage
 SLICE_BYTES = 16 << 20  # of item texts that one pass compares with
@@ -65,6 +67,8 @@ class Items:
     ids: list[int | None]
     words: list[np.ndarray]
     seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)  # length: hash, item, offset
+    fewest: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # words whose score an alignment needs
+    distinctive: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))  # whole matches are not expected by chance
 
     @classmethod
     def of(cls, ids: list, texts: list) -> Items:
@@ -96,6 +100,33 @@ class Items:
         for n, (hashes, item, offset) in self.seeds.items():
             keep = rare[n] | (left[item] < FEWEST_SEEDS)
             self.seeds[n] = hashes[keep], item[keep], offset[keep]
+        logs = [np.sort(share[np.searchsorted(vocabulary, w)])[::-1] for w in self.words]
+        needed = [fewest_words(x, total) for x in logs]
+        self.fewest = np.array([m for m, _ in needed], np.int64)
+        self.distinctive = np.array([d for _, d in needed], bool)
+
+
+def fewest_words(logs: np.ndarray, total: int) -> tuple[int, bool]:
+    """The least number of words whose score chance is expected to reach less than once in ``total`` words.
+
+    ``logs`` are the log frequencies of an item's words, the most frequent
+    first. With m words in a row as score, m + j words have to match with 2 j
+    edits at most; the most frequent words bound each case. As words that often
+    stand together are not independent, short items need nearly all words
+    besides. False where not even the whole item is rarer than that.
+    """
+    n = len(logs)
+    if not n:
+        return 0, False
+    sums = np.concatenate([[0.0], np.cumsum(logs)])
+    for m in range(max(1, min(WHOLE_WORDS, n - n // WHOLE_WORDS)), n + 1):
+        cases = []
+        for j in range(n - m + 1):
+            ways = math.lgamma(m + 3 * j + 1) - math.lgamma(2 * j + 1) - math.lgamma(m + j + 1) + 2 * j * math.log(3)
+            cases.append(ways + sums[m + j])
+        if np.logaddexp.reduce(cases) + math.log(n) + math.log(max(total, 1)) < 0:
+            return m, True
+    return n, False
 
 
 def align(items: np.ndarray, texts: np.ndarray, mismatch: int = MISMATCH, gap: int = GAP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -168,7 +199,8 @@ def _matches(items: Items, lookups: dict[int, _Lookup], by_key: dict, column, th
             begins.append(int(a - cuts[text]))
         score, end, row = align(_padded(queries, 0), _padded(texts, 1))
         own = np.array([MATCH * max(len(q), 1) for q in queries])
-        good = score >= threshold * own
+        needed = np.maximum(threshold * own, MATCH * items.fewest[part[:, 1]])
+        good = score >= needed
         part_only = np.flatnonzero(~good & (score >= MATCH * PASSAGE_WORDS))
         for chosen, costs in ((np.flatnonzero(good), (MISMATCH, GAP)), (part_only, (PASSAGE_PENALTY, PASSAGE_PENALTY))):
             if len(chosen) and costs != (MISMATCH, GAP):
@@ -242,7 +274,9 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, threshold: float =
     ``threshold`` to 1, or less for a passage of a long item), start_word and end_word (of the best place, counted in
     plain words). Null and empty texts match nothing. Null ids are kept; rows
     with equal ids are judged each. Without items or documents there are no
-    rows. Items shorter than a seed are one seed. Extra columns are not read.
+    rows. Items of few words have to match nearly whole (``fewest_words``), and
+    those too short or common to be distinctive whole. Items shorter than a seed
+    are one seed. Extra columns are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = None
@@ -271,7 +305,11 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, threshold: float =
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that hold no copy of an item, with all their columns."""
+    """The rows of ``docs`` that hold no copy of an item, with all their columns.
+
+    Items that chance is expected to bring about are no reason to drop a row;
+    ``benchmark_matches`` reports where they stand.
+    """
     place = docs.columns.index("text")
     clean = docs
     for items in item_slices(docs, benchmark):
@@ -280,7 +318,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THR
             find = _finder(items, threshold)
             for batch in _small_batches(batches):
                 keep = np.ones(batch.num_rows, bool)
-                keep[[row[0] for row in find(batch.column(place))]] = False
+                keep[[row[0] for row in find(batch.column(place)) if items.distinctive[row[1]]]] = False
                 yield batch.filter(pa.array(keep))
 
         clean = clean.mapInArrow(run, docs.schema)

@@ -87,3 +87,14 @@ def test_a_passage_of_a_long_item_is_found(spark, docs):
     assert sorted(found) == [1, 2] and found[1]["score"] == 0.3
     assert (found[1]["start_word"], found[1]["end_word"]) == (40, 190)
     assert [r["doc_id"] for r in decontaminated(docs(*rows), bench(spark, item)).collect()] == [3]
+
+
+def test_short_items_of_common_words_match_nearly_whole(spark, docs):
+    pick = random.Random(10)
+    rows = [(i, f"{noise(pick, 15)} what is the {noise(pick, 15)} the capital of {noise(pick, 5)}") for i in range(30)]
+    rows += [(100, f"{noise(pick, 9)} What is the capital of France? {noise(pick, 9)}")]
+    items = bench(spark, "what is the capital of france", "the", "what is")
+    found = benchmark_matches(docs(*rows), items).collect()
+    assert [r["doc_id"] for r in found if r["item_id"] == 0] == [100]
+    assert len([r for r in found if r["item_id"] == 1]) == 31
+    assert sorted(r["doc_id"] for r in decontaminated(docs(*rows), items).collect()) == list(range(30))

@@ -22,9 +22,16 @@ from paymart.llm.shared import broadcast_if_small, staged
 
 KEYWORD = r"(?:token|secret|passw(?:or)?d|passwd|passphrase|pwd|credentials?|bearer|(?:api|access|auth|private|secret|signing|encryption)[_-]?key)"
 ASSIGNED = rf"(?i:{KEYWORD}\w*[\"']?\s{{0,3}}(?:=>|:=|=|:)\s{{0,3}}[\"']?)"
+BREAK = r"(?:\s|\\[nr]){1,8}+"  # of lines, also escaped ones
+# A whole key up to its end mark; without one, its header lines and base64 lines.
+PEM = (
+    r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY(?: BLOCK)?-----"
+    r"(?:[^-]*+(?:-{1,4}(?!-)[^-]++){0,64}+-----END [A-Z ]{0,32}PRIVATE KEY(?: BLOCK)?-----"
+    rf"|(?:{BREAK}[A-Za-z-]{{1,32}}: [^\n]{{0,256}}){{0,8}}(?:{BREAK}[A-Za-z0-9+/]{{16,}}+={{0,2}}(?:{BREAK}[A-Za-z0-9+/]{{1,15}}+={{0,2}}(?=\s|\\|[\"']|$))?)*+)"
+)
 CANDIDATE = (
-    rf"{ASSIGNED}[^\s\"'<>]{{6,}}+"
-    r"|-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----"
+    rf"{PEM}"
+    rf"|{ASSIGNED}(?!-----BEGIN )[^\s\"'<>]{{6,}}+"
     r"|(?=[A-Za-z+/_-]{0,256}[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}"
 )
 PLACEHOLDER = r"(?i)example|sample|dummy|fake|placeholder|change_?me|your[_-]|x{6,}|\*{6,}|1234567890"  # in a value
@@ -219,7 +226,8 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, path: str = "source
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label", featuresCol="features")
     model = forest.fit(featured(training).select("features", "label"))
     judged = model.transform(featured(found))
-    probability = vector_to_array("probability")[1]
+    chance = vector_to_array("probability")[1]
+    probability = F.when(F.col("value").startswith("-----BEGIN"), F.coalesce("label", F.lit(1.0))).otherwise(chance)  # its mark says it all
     return judged.select(*out, probability.alias("chance")).select(
         "doc_id", "start", "length", "value", F.col("chance").alias("probability"), (F.col("chance") >= DECISION).alias("is_secret")
     )

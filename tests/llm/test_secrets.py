@@ -72,3 +72,18 @@ def test_one_kind_of_label_and_no_rows(docs):
 def test_no_python_in_the_plan(docs):
     plan = secrets.scan(docs(*corpus()[0]))._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_no_line_of_a_private_key_survives_masking(docs):
+    import base64
+
+    pick = random.Random(2)
+    lines = [base64.b64encode(pick.randbytes(48)).decode() for _ in range(25)] + [base64.b64encode(pick.randbytes(7)).decode()]
+    body, head, end = "\n".join(lines), "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    keys = [f"{head}\n{body}\n{end}", f"{head}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0AF1\n\n{body}\n{end}", f"{head}\n{body}"]
+    keys += [f'private_key = "{keys[0]}"', "\\n".join([head, *lines, end])]
+    rows = corpus()[0] + [(1000 + i, f"before it\n{key}\n\nafter it all") for i, key in enumerate(keys)]
+    df = docs(*rows)
+    texts = {r["doc_id"]: r["text"] for r in secrets.masked(df, secrets.scan(df)).collect() if r["doc_id"] >= 1000}
+    assert not [line for line in lines for t in texts.values() if line in t]
+    assert all(t.startswith("before it") and t.endswith("after it all") and secrets.MASK in t for t in texts.values())

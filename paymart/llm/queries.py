@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paymart.llm import decontaminate, fingerprints, html_text, lm_scoring, mixing, near_dedup, quality, secrets, substring_dedup, warc_zip
+from paymart.llm import decontaminate, fingerprints, hard_negatives, html_text, lm_scoring, mixing, near_dedup, quality, secrets, substring_dedup, warc_zip
 from paymart.llm.shared import broadcast_if_small, table
 
 
@@ -64,6 +64,13 @@ def op10_quality_classifier(spark, sf_dir):
     return quality.score_documents(docs, quality.train(docs, labels, quality.is_good()))
 
 
+def op13_hard_negatives(spark, sf_dir):
+    """Anchors are every hundredth id; every seventh id gets a wrong label first."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_substring_dedup": op2_substring_dedup,
@@ -75,4 +82,5 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_html_text": op9_html_text,
     "op10_quality_classifier": op10_quality_classifier,
+    "op13_hard_negatives": op13_hard_negatives,
 }

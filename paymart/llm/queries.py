@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from paymart.llm import decontaminate, fingerprints, hard_negatives, html_text, lm_scoring, mixing, near_dedup, quality, secrets, substring_dedup, warc_zip
+from paymart.llm import alignment, decontaminate, fingerprints, hard_negatives, html_text, lm_scoring, mixing, near_dedup, quality, secrets, substring_dedup, warc_zip
 from paymart.llm.shared import broadcast_if_small, table
 
 
@@ -64,6 +65,11 @@ def op10_quality_classifier(spark, sf_dir):
     return quality.score_documents(docs, quality.train(docs, labels, quality.is_good()))
 
 
+def op12_token_alignment(spark, sf_dir):
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.alignment_counts(table(spark, sf_dir, "documents"), *paths)
+
+
 def op13_hard_negatives(spark, sf_dir):
     """Anchors are every hundredth id; every seventh id gets a wrong label first."""
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -82,5 +88,6 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_html_text": op9_html_text,
     "op10_quality_classifier": op10_quality_classifier,
+    "op12_token_alignment": op12_token_alignment,
     "op13_hard_negatives": op13_hard_negatives,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from paymart.llm import alignment, decontaminate, fingerprints, hard_negatives, html_text, lm_scoring, mixing, near_dedup, quality, secrets, substring_dedup, warc_zip
+from paymart.llm import alignment, bpe_chunks, decontaminate, fingerprints, hard_negatives, html_text, lm_scoring, mixing, near_dedup, quality, secrets, substring_dedup, warc_zip
 from paymart.llm.shared import broadcast_if_small, table
 
 
@@ -65,6 +65,11 @@ def op10_quality_classifier(spark, sf_dir):
     return quality.score_documents(docs, quality.train(docs, labels, quality.is_good()))
 
 
+def op11_bpe_chunks(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return bpe_chunks.with_digests(bpe_chunks.encoded(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
 def op12_token_alignment(spark, sf_dir):
     paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     return alignment.alignment_counts(table(spark, sf_dir, "documents"), *paths)
@@ -88,6 +93,7 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_html_text": op9_html_text,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_bpe_chunks": op11_bpe_chunks,
     "op12_token_alignment": op12_token_alignment,
     "op13_hard_negatives": op13_hard_negatives,
 }

@@ -235,3 +235,21 @@ def troubled_messages(spark: SparkSession, sf_dir: str, stream: bool = False) ->
         rows.where(case == 4).select("event_id", F.concat(F.lit("{"), sent(rows, hour)).alias("text")),
     ]
     return reduce(DataFrame.unionByName, texts).select(F.col("text").cast("binary").alias("value"))
+
+
+def corrected_messages(spark: SparkSession, sf_dir: str, moved: int = 3, changed: int = 4) -> DataFrame:
+    """Copies that are sent an hour later: a third of the purchases on the day after, some with another status.
+
+    Operations whose number is divisible by ``moved`` come with the next day,
+    those divisible by ``changed`` with the status ``chargeback``.
+    """
+    rows = from_events(table(spark, sf_dir, "events").where("event_type = 'purchase'"))
+    rows = rows.where((F.col("event_id") % moved == 0) | (F.col("event_id") % changed == 0))
+    sent = F.date_format(F.col("transaction_dt") + F.expr("INTERVAL 1 HOUR"), JSON_TIME)
+    day = F.when(F.col("event_id") % moved == 0, F.expr("INTERVAL 1 DAY")).otherwise(F.expr("INTERVAL 0 DAY"))
+    status = F.when(F.col("event_id") % changed == 0, "chargeback").otherwise(F.col("status"))
+    later = rows.withColumn("sent_dttm", sent).withColumn("transaction_dt", F.col("transaction_dt") + day).withColumn("status", status)
+    enveloped = encode_json(later, TXN_COLUMNS).select(
+        F.col("operation_id").alias("object_id"), F.lit("TRANSACTION").alias("object_type"), "sent_dttm", "payload"
+    )
+    return enveloped.select(F.to_json(F.struct("*")).cast("binary").alias("value"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,7 +14,7 @@ from paymart.functions.messages import parse_messages
 from paymart.operators.checks import EmptyLoadError, any_null, require_rows, unique_key_report
 from paymart.operators.dedup import one_per_key
 from paymart.operators.filters import Day
-from paymart.plans.mart import metrics_backfill
+from paymart.plans.mart import global_metrics_by_status
 from paymart.schemas import (
     MESSAGE_TYPE,
     METRICS_BY_STATUS,
@@ -21,14 +24,15 @@ from paymart.schemas import (
     TXN_DAY,
 )
 from paymart.session import scratch_path
-from paymart.sinks import files
+from paymart.sinks import feed, files
+from paymart.sinks.operations import store_operations
 from paymart.sinks.tables import (
     days_between,
-    insert_or_newer,
+    in_days,
     load_rates,
     read_days,
     read_rates,
-    replace_days,
+    replace_listed_days,
 )
 from paymart.sources.rates import bad_rates, good_rates, read_rates_csv
 
@@ -85,7 +89,7 @@ def transactions_from_messages(messages: DataFrame) -> DataFrame:
     return _stored_rows(judged_messages(messages)).select(*TRANSACTION_TABLE.fieldNames())
 
 
-def _stored_rows(judged: DataFrame) -> DataFrame:
+def _stored_rows(judged: DataFrame, *extra: str) -> DataFrame:
     """One row per id, the last sent one, in the columns of the table and with its time of sending.
 
     Rejected rows are gone by then, so a broken copy that was sent last does
@@ -94,7 +98,7 @@ def _stored_rows(judged: DataFrame) -> DataFrame:
     """
     rows = judged.where("is_transaction").select("id", "sent_dttm", *TXN_COLUMNS)
     latest = one_per_key(rows, ["id"], ["sent_dttm"])
-    conformed = conform_transaction(latest.withColumnRenamed("sent_dttm", "sent"), "sent")
+    conformed = conform_transaction(latest.withColumnRenamed("sent_dttm", "sent"), "sent", *extra)
     return conformed.withColumnRenamed("sent", "sent_dttm")
 
 
@@ -106,28 +110,36 @@ def rejected_messages(messages: DataFrame) -> DataFrame:
 def load_messages(messages: DataFrame, *paths: str, rejects_path: str | None = None, required: bool = False) -> list[int]:
     """Read and parse messages once, and give them to one or more tables.
 
-    The parsed rows are staged in the shared folder: rejects and all targets
-    come from the same read, whatever arrives meanwhile and whichever executor
-    is lost. Returns the rows inserted or replaced by newer ones, per table.
+    An operation is stored once over all days; one that comes again with
+    another day moves there. The rows to load are staged in the shared folder,
+    and where rejects are kept the parsed messages as well: rejects and all
+    targets come from the same read, whatever arrives meanwhile and whichever
+    executor is lost. Returns the rows inserted or replaced by newer ones, per
+    table; the days that each table's load touched are in its feed.
     """
     spark = messages.sparkSession
-    staged = scratch_path(spark, "messages")
     judged, ours = judged_messages(messages), Observation()
-    judged.observe(ours, F.count_if("is_ours").alias("n")).write.parquet(staged)
-    if required and not ours.get.get("n"):
-        raise EmptyLoadError("the topic has no rows of the type")
-    judged = spark.read.schema(judged.schema).parquet(staged)
+    judged = judged.observe(ours, F.count_if("is_ours").alias("n"))
     if rejects_path:
+        staged = scratch_path(spark, "messages")
+        judged.write.parquet(staged)
+        judged = spark.read.schema(judged.schema).parquet(staged)
         rejects = judged.where("reject_reason IS NOT NULL").select("reject_reason", "raw")
         rejects.write.mode("overwrite").parquet(rejects_path)
-    rows = one_per_key(_stored_rows(judged), [TXN_DAY, "operation_id"], ["sent_dttm"])
     newest, seen = scratch_path(spark, "newest"), Observation()
-    rows.observe(seen, F.collect_set(TXN_DAY).alias("days")).write.parquet(newest)
-    days = seen.get.get("days") or []
-    if not days:
-        return [0 for _ in paths]
+    other_id = F.col("id") != F.col("operation_id")
+    rows = _stored_rows(judged, "id").observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(other_id).alias("n_other"))
+    rows.drop("id").write.parquet(newest)
+    if required and not ours.get.get("n"):
+        raise EmptyLoadError("the topic has no rows of the type")
+    n, n_other = (seen.get.get(c) or 0 for c in ("n", "n_other"))
     rows = spark.read.schema(T.StructType([*TRANSACTION_TABLE.fields, *SENT])).parquet(newest)
-    return [insert_or_newer(rows, path, SENT, days=days) for path in paths]
+    if n_other:  # messages of several ids may hold one operation
+        rows, counted = one_per_key(rows, ["operation_id"], ["sent_dttm"]), Observation()
+        single = scratch_path(spark, "newest")
+        rows.observe(counted, F.count(F.lit(1)).alias("n")).write.parquet(single)
+        n, rows = counted.get.get("n"), spark.read.schema(rows.schema).parquet(single)
+    return [store_operations(rows, path, SENT, n) for path in paths]
 
 
 def ingest_messages(messages: DataFrame, *paths: str, rejects_path: str | None = None) -> list[int]:
@@ -143,8 +155,8 @@ def ingest_messages(messages: DataFrame, *paths: str, rejects_path: str | None =
 def moved_operations(transactions: DataFrame) -> DataFrame:
     """Operations that are stored under more than one day, with the number of rows.
 
-    The day belongs to the key of the table, so such an operation is stored
-    once for each day it came with.
+    ``load_messages`` leaves none. Tables that were filled by ``append_transactions``
+    or by day (``insert_new``) can have some.
     """
     return unique_key_report(transactions.select("operation_id", TXN_DAY).distinct(), ["operation_id"])
 
@@ -171,20 +183,58 @@ def ingest_rates(
     conflict = unique_key_report(rates.distinct(), RATE_KEY).take(1)
     if conflict:
         raise ConflictingRatesError(f"{csv_path}: {conflict[0]}")
-    return load_rates(rates, *paths)
+    changed = [_days_with_other_rates(rates, path) for path in paths]
+    for path, days in zip(paths, changed):
+        feed.record(spark, path, days)
+    written = load_rates(rates, *paths)
+    for path, days in zip(paths, changed):
+        feed.record(spark, path, days)
+    return written
+
+
+def _days_with_other_rates(rates: DataFrame, path: str) -> list[dt.date]:
+    """Days whose rates differ from the stored ones; all days where none are stored."""
+    rates = rates.distinct()
+    if files.current_version(rates.sparkSession, path) is not None:
+        stored = read_rates(rates.sparkSession, path)
+        rates = rates.exceptAll(stored).unionAll(stored.exceptAll(rates))
+    return [r[0] for r in rates.select("date_update").distinct().collect() if r[0] is not None]
 
 
 def update_mart(
-    spark: SparkSession, transactions_path: str, rates_path: str, mart_path: str, first: Day, last: Day
+    spark: SparkSession,
+    transactions_path: str,
+    rates_path: str,
+    mart_path: str,
+    first: Day | None = None,
+    last: Day | None = None,
+    replace: Callable[..., int] = replace_listed_days,
 ) -> int:
-    """Recompute a range of days from the stored tables and put them in place.
+    """Recompute days from the stored tables and put them in place.
+
+    With ``first`` and ``last`` these are a range; without, the days that loads of
+    transactions or rates have touched since the last such update, and none if
+    there are none. Late messages and corrected rates so reach the mart, and no
+    other day is read. Days are marked as done only when they are in place, so
+    an update that fails is done again by the next one.
 
     Both inputs have to be there, and rates have to have rows: otherwise all
     rates would be 1 or all days empty, and the mart is left as it is.
+    ``replace`` puts the days in place: ``switched.replace_days`` shows them to readers
+    at once.
     """
     files.require_path(spark, transactions_path)
     rates = require_rows(read_rates(spark, rates_path), rates_path)
-    transactions = read_days(spark, transactions_path, TRANSACTION_TABLE, TXN_DAY, days_between(first, last))
-    return replace_days(
-        metrics_backfill(transactions, rates, first, last), mart_path, first, last, METRICS_BY_STATUS
-    )
+    names: list[str] = []
+    if first is None and last is None:
+        found = [feed.open_days(spark, path) for path in (transactions_path, rates_path)]
+        names, days = [n for ns, _ in found for n in ns], sorted(set().union(*(ds for _, ds in found)))
+    else:
+        days = days_between(first, last)
+    n = 0
+    if days:
+        transactions = read_days(spark, transactions_path, TRANSACTION_TABLE, TXN_DAY, days)
+        rated = rates.where(in_days("date_update", days))
+        n = replace(global_metrics_by_status(transactions, rated), mart_path, days, METRICS_BY_STATUS)
+    feed.mark_done(spark, names)
+    return n

@@ -154,6 +154,11 @@ DAMAGED_TEXT = f"""(
 
 
 ALL_DONE = "(SELECT * REPLACE ('done' AS status) FROM evt)"
+CORRECTED = """(
+    SELECT * REPLACE (IF(event_id % 3 = 0, transaction_dt + INTERVAL 1 DAY, transaction_dt) AS transaction_dt,
+                      IF(event_id % 4 = 0, 'chargeback', status) AS status)
+    FROM evt WHERE event_type = 'purchase')"""
+DOUBLED_RATES = "SELECT * REPLACE (IF(day(date_update) = 17, currency_with_div * 2, currency_with_div) AS currency_with_div) FROM rates"
 TROUBLED_REJECTS = """
 SELECT CASE event_id % 5 WHEN 1 THEN 'null' WHEN 2 THEN 'type' WHEN 3 THEN 'day' ELSE 'envelope' END AS reject_reason,
        count(*) AS count
@@ -370,6 +375,8 @@ ORACLES: dict[str, str] = {
     ),
     "insert_or_update": _q(f"SELECT {STORED_EVENT} FROM evt"),
     "ingest_messages": _q(f"SELECT {STORED_EVENT} FROM evt WHERE event_type = 'purchase'"),
+    "ingest_moved_messages": _q(f"SELECT {STORED_EVENT} FROM {CORRECTED}"),
+    "update_changed_days": _q(f"SELECT * FROM {_mart(CORRECTED, True, 'positive', rates=DOUBLED_RATES)}"),
     "ingest_rejects": _q(f"SELECT * FROM {DAMAGED_TEXT} WHERE reject_reason IS NOT NULL"),
     "ingest_troubled_messages": _q(f"SELECT {STORED_EVENT} FROM {ALL_DONE} UNION ALL SELECT {STORED_EVENT} FROM {ALL_DONE}"),
     "ingest_troubled_rejects": TROUBLED_REJECTS,

@@ -151,6 +151,34 @@ def update_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, metrics, METRICS_BY_STATUS)
 
 
+@register
+def ingest_moved_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later copies change the day; the first ones come once more after them. Each operation is stored once."""
+    path = scratch_path(spark, "transactions")
+    for messages in (fixtures.messages, fixtures.corrected_messages, fixtures.messages):
+        ingest.ingest_messages(messages(spark, sf_dir), path)
+    return tables.read_table(spark, path, TRANSACTION_TABLE)
+
+
+@register
+def update_changed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart, then corrected messages for old days and some other rates; the update takes what changed."""
+    transactions, csv, other, rates, metrics = (
+        scratch_path(spark, n) for n in ("transactions", "csv", "csv", "rates", "metrics")
+    )
+    first = fixtures.currencies(spark, sf_dir).select(*RATES.fieldNames())
+    first.write.option("header", True).csv(csv)
+    ingest.ingest_rates(spark, csv, rates)
+    ingest.ingest_messages(fixtures.messages(spark, sf_dir), transactions)
+    ingest.update_mart(spark, transactions, rates, metrics)
+    ingest.ingest_messages(fixtures.corrected_messages(spark, sf_dir), transactions)
+    doubled = F.when(F.dayofmonth("date_update") == 17, F.col("currency_with_div") * 2).otherwise(F.col("currency_with_div"))
+    first.withColumn("currency_with_div", doubled.cast("decimal(18,6)")).write.option("header", True).csv(other)
+    ingest.ingest_rates(spark, other, rates)
+    ingest.update_mart(spark, transactions, rates, metrics)
+    return tables.read_table(spark, metrics, METRICS_BY_STATUS)
+
+
 def _stored_purchases(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     path = scratch_path(spark, "transactions")
     conformed = _conformed(spark, sf_dir)

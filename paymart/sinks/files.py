@@ -45,6 +45,48 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def rename(spark: SparkSession, source: str, target: str) -> bool:
+    """Move one file; false where the file system refuses or the source is gone."""
+    fs, hadoop_path = _file_system(spark, source)
+    return fs.rename(hadoop_path, _file_system(spark, target)[1])
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _file_system(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
+def sizes(spark: SparkSession, pattern: str) -> dict[str, int]:
+    """Full names and sizes of the files that match a pattern; one listing, nothing is opened."""
+    fs, hadoop_path = _file_system(spark, pattern)
+    return {s.getPath().toString(): s.getLen() for s in fs.globStatus(hadoop_path) or [] if s.isFile()}
+
+
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Full names of the folders that match a pattern."""
+    fs, hadoop_path = _file_system(spark, pattern)
+    return sorted(s.getPath().toString() for s in fs.globStatus(hadoop_path) or [] if s.isDirectory())
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there as a whole or not at all."""
+    folder, _, name = path.rpartition("/")
+    fs, temporary = _file_system(spark, f"{folder}/.{name}-{uuid.uuid4().hex}")
+    stream = fs.create(temporary)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    fs.rename(temporary, _file_system(spark, path)[1])
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    fs, hadoop_path = _file_system(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def new_version(path: str) -> str:
     """A folder name that no earlier version has."""
     return f"version-{uuid.uuid4().hex}"

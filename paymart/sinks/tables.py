@@ -16,9 +16,10 @@ after a failure and then give the same table.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable, Sequence
+import uuid
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.types import StructType
@@ -36,6 +37,7 @@ from paymart.schemas import (
 )
 from paymart.session import scratch_path, shared_dir
 from paymart.sinks import files
+from paymart.sinks.key_index import BLOOM
 
 TXN_SORT = ["currency_code", "status", "account_number_from"]
 METRICS_SORT = ["currency_from", "status"]
@@ -109,21 +111,49 @@ def _by_day(df: DataFrame, day_column: str, sort_by: Sequence[str]) -> DataFrame
     return df.hint("rebalance", day_column).sortWithinPartitions(day_column, *sort_by)
 
 
-def _append(df: DataFrame, path: str, day_column: str, sort_by: Sequence[str]) -> int:
-    """Append and tell how many rows were written, counted by the write itself.
+def append_by_day(
+    df: DataFrame, path: str, day_column: str, sort_by: Sequence[str], options: Mapping[str, str] | None = None
+) -> int:
+    """Append and tell how many rows were written.
 
-    The number is for reports: a part of the write that is repeated after a
-    lost executor may be counted again.
+    The number is that of the committed files' footers, so parts of the write
+    that were repeated after a lost executor count once. The files of this write
+    have a name of their own.
     """
-    counted = Observation()
+    spark, seen, name = df.sparkSession, Observation(), f"part-{uuid.uuid4().hex}"
     (
         _by_day(df, day_column, sort_by)
-        .observe(counted, F.count(F.lit(1)).alias("n"))
+        .observe(seen, F.collect_set(F.coalesce(F.col(day_column).cast("string"), F.lit(NO_DAY))).alias("days"))
         .write.partitionBy(day_column)
+        .options(**{**(options or {}), "mapreduce.output.basename": name})
         .mode("append")
         .parquet(path)
     )
-    return counted.get.get("n") or 0
+    days = seen.get.get("days") or []
+    return rows_in_files(spark, files.sizes(spark, f"{path}/{day_column}={{{','.join(days)}}}/{name}-*")) if days else 0
+
+
+def rows_in_files(spark: SparkSession, paths: Iterable[str]) -> int:
+    """Number of rows by the files' footers; no column is read."""
+    paths = list(paths)
+    return spark.read.schema("no_column INT").parquet(*paths).count() if paths else 0
+
+
+def overwrite_by_day(
+    df: DataFrame, path: str, day_column: str, sort_by: Sequence[str], options: Mapping[str, str] | None = None
+) -> set:
+    """Replace the days that occur in the rows; tells which these are."""
+    written = Observation()
+    (
+        _by_day(df, day_column, sort_by)
+        .observe(written, F.collect_set(day_column).alias("days"))
+        .write.partitionBy(day_column)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .options(**(options or {}))
+        .parquet(path)
+    )
+    return set(written.get.get("days") or [])
 
 
 def to_targets(df: DataFrame, writers: Sequence[Callable[[DataFrame], int]]) -> list[int]:
@@ -147,7 +177,7 @@ def append_transactions(
     ``others`` are targets of another kind, such as ``jdbc_writer``.
     """
     rows = to_target_columns(df, TRANSACTION_TABLE.fieldNames())
-    stored = [lambda d, p=p: _append(d, p, TXN_DAY, TXN_SORT) for p in paths]
+    stored = [lambda d, p=p: append_by_day(d, p, TXN_DAY, TXN_SORT, BLOOM) for p in paths]
     return to_targets(rows, [*stored, *others])
 
 
@@ -177,7 +207,7 @@ def load_rates(rates: DataFrame, *paths: str) -> list[int]:
 def append_metrics(metrics: DataFrame, path: str) -> int:
     """Add mart rows; a second run adds them again, ``replace_days`` does not."""
     rows = to_target_columns(metrics, METRICS_BY_STATUS.fieldNames())
-    return _append(rows, path, METRICS_DAY, METRICS_SORT)
+    return append_by_day(rows, path, METRICS_DAY, METRICS_SORT)
 
 
 def replace_days(
@@ -196,13 +226,23 @@ def replace_days(
     here is emptied: its folder goes, after the others are in place. That takes
     one job; what is stored is only listed.
     """
-    spark = df.sparkSession
-    in_range = F.col(day_column).between(day_literal(first), day_literal(last))
-    days = days_between(first, last)
+    return replace_listed_days(df, path, days_between(first, last), schema, day_column, sort_by)
+
+
+def replace_listed_days(
+    df: DataFrame,
+    path: str,
+    days: Iterable[dt.date],
+    schema: StructType = METRICS_BY_STATUS,
+    day_column: str = METRICS_DAY,
+    sort_by: Sequence[str] = METRICS_SORT,
+) -> int:
+    """``replace_days`` for days that need not follow one another."""
+    spark, days = df.sparkSession, sorted(set(days))
     stored = files.existing(spark, path, [f"{day_column}={d.isoformat()}" for d in days])
 
     written = Observation()
-    rows = to_target_columns(df, schema.fieldNames()).where(in_range)
+    rows = to_target_columns(df, schema.fieldNames()).where(in_days(day_column, days))
     (
         _by_day(rows, day_column, sort_by)
         .observe(written, F.count(F.lit(1)).alias("n"), F.collect_set(day_column).alias("days"))
@@ -219,6 +259,13 @@ def replace_days(
     return seen.get("n") or 0
 
 
+def in_days(day_column: str, days: Sequence[dt.date]) -> Column:
+    """Whether a day is one of these: a range where they follow one another."""
+    if days and (days[-1] - days[0]).days == len(days) - 1:
+        return F.col(day_column).between(day_literal(days[0]), day_literal(days[-1]))
+    return F.col(day_column).isin(list(days))
+
+
 def _touched_days(rows: DataFrame, day_column: str) -> list:
     """The days a load brings: a list no longer than the calendar."""
     return [row[0] for row in rows.select(day_column).distinct().where(F.col(day_column).isNotNull()).collect()]
@@ -246,7 +293,7 @@ def insert_new(
         days = _touched_days(rows, day_column)
     stored = read_days(spark, path, schema, day_column, days)
     fresh = rows_to_insert(stored, rows, key, order_by).select(*schema.fieldNames())
-    return _append(fresh, path, day_column, sort_by)
+    return append_by_day(fresh, path, day_column, sort_by)
 
 
 def insert_or_update(
@@ -329,5 +376,5 @@ def insert_or_newer(
             .parquet(path)
         )
         changed = changed.where(~in_days)
-    _append(changed.select(*stored_schema.fieldNames()), path, day_column, sort_by)
+    append_by_day(changed.select(*stored_schema.fieldNames()), path, day_column, sort_by)
     return n

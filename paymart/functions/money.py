@@ -34,8 +34,7 @@ RATE_RULES = {
 def convert_amount(amount: Column | str, rate: Column | str) -> Column:
     """Minor units times rate; the result stays in minor units.
 
-    DECIMAL(28,0) holds any BIGINT and any sum of them that a cell of the mart
-    can reach; the product is DECIMAL(38,6), exact or an error, never rounded.
+    DECIMAL(28,0) holds any BIGINT and the sum of 10^9 of the largest ones; the product is DECIMAL(38,6), exact or an error, never rounded.
     """
     amount = F.col(amount) if isinstance(amount, str) else amount
     rate = F.col(rate) if isinstance(rate, str) else rate

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from paymart.functions.calendar import business_day
 from paymart.functions.messages import parse_messages
@@ -102,3 +103,89 @@ def missing_rate_report(
     )
     usable = filter_quote_currency(rates, quote).where("currency_with_div > 0")
     return used.join(usable, ["date_update", "currency_code"], "left_anti")
+
+
+# --- All reports from one pass ------------------------------------------------
+
+FACTS = "kind STRING, name STRING, value STRING, row_count BIGINT, lowest BIGINT, highest BIGINT"
+
+
+def load_facts(
+    transactions: DataFrame,
+    required: Sequence[str],
+    domains: Mapping[str, Sequence[str]],
+    whole_numbers: Sequence[str],
+    key: Sequence[str],
+    quote: int = QUOTE_CURRENCY,
+) -> DataFrame:
+    """What all reports need to know about a load, from one read of it.
+
+    Each row states its facts: a required value that is missing, a value outside
+    its domain or outside 32 bits, its key, the day and currency it is converted
+    with. They are counted per task before they are exchanged; only keys do not
+    become fewer by that. Of the keys, those that occur once are left out. The
+    result is small, so store it beside the load and ask it as often as needed.
+    """
+    none = F.lit(None).cast("string")
+
+    def fact(kind: str, name: str, value: Column = none, number: Column | None = None) -> Column:
+        number = F.lit(None).cast("bigint") if number is None else number.cast("bigint")
+        return F.struct(F.lit(kind).alias("kind"), F.lit(name).alias("name"), value.alias("value"), number.alias("number"))
+
+    real = F.coalesce((F.col("account_number_from") > 0) & (F.col("account_number_to") > 0), F.lit(False))
+    cell = F.to_json(F.struct(business_day("transaction_dt").alias("date_update"), "currency_code"))
+    facts = [F.when(F.col(c).isNull(), fact("null", c)) for c in required]
+    facts += [
+        F.when(~F.coalesce(F.col(c).isin(list(allowed)), F.lit(False)), fact("domain", c, F.col(c).cast("string")))
+        for c, allowed in domains.items()
+    ]
+    facts += [F.when(~F.col(c).between(INT32_MIN, INT32_MAX), fact("range", c, none, F.col(c))) for c in whole_numbers]
+    facts.append(fact("key", ",".join(key), F.to_json(F.struct(*key))))
+    facts.append(F.when(real & (F.col("currency_code") != quote), fact("rate", "cell", cell)))
+    stated = transactions.select(F.inline(F.array_compact(F.array(*facts))))
+    counted = stated.groupBy("kind", "name", "value").agg(
+        F.count(F.lit(1)).alias("row_count"), F.min("number").alias("lowest"), F.max("number").alias("highest")
+    )
+    return counted.where("kind <> 'key' OR row_count > 1")
+
+
+def _of_kind(facts: DataFrame, kind: str) -> DataFrame:
+    return facts.where(F.col("kind") == kind)
+
+
+def _per_column(facts: DataFrame, kind: str, columns: Sequence[str]) -> DataFrame:
+    """One row per column, also where nothing was found."""
+    names = facts.sparkSession.createDataFrame([(c,) for c in columns], "column_name STRING")
+    found = _of_kind(facts, kind).withColumnRenamed("name", "column_name")
+    return names.join(found, "column_name", "left").withColumn("row_count", F.coalesce("row_count", F.lit(0).cast("bigint")))
+
+
+def null_report_of(facts: DataFrame, required: Sequence[str]) -> DataFrame:
+    """``not_null_report`` from the facts of a load."""
+    return _per_column(facts, "null", required).select("column_name", F.col("row_count").alias("null_count"))
+
+
+def domain_report_of(facts: DataFrame) -> DataFrame:
+    """``domain_report`` from the facts of a load."""
+    return _of_kind(facts, "domain").select(F.col("name").alias("column_name"), F.col("value").alias("bad_value"), "row_count")
+
+
+def int_range_report_of(facts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``int_range_report`` from the facts of a load."""
+    found = _per_column(facts, "range", columns)
+    return found.select("column_name", F.col("row_count").alias("out_of_range"), "lowest", "highest")
+
+
+def unique_key_report_of(facts: DataFrame, key: StructType) -> DataFrame:
+    """``unique_key_report`` from the facts of a load; ``key`` is the layout of the key columns."""
+    found = _of_kind(facts, "key").select(F.from_json("value", key).alias("k"), "row_count")
+    return found.select("k.*", "row_count")
+
+
+def missing_rate_report_of(facts: DataFrame, rates: DataFrame, quote: int = QUOTE_CURRENCY) -> DataFrame:
+    """``missing_rate_report`` from the facts of a load and the rates; a row per day and currency meets them."""
+    layout = "date_update DATE, currency_code INT"
+    cells = _of_kind(facts, "rate").select(F.from_json("value", layout).alias("c"), F.col("row_count").alias("cnt_transactions"))
+    used = cells.select("c.*", "cnt_transactions")
+    usable = filter_quote_currency(rates, quote).where("currency_with_div > 0")
+    return used.join(usable, ["date_update", "currency_code"], "left_anti")

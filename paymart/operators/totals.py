@@ -16,25 +16,30 @@ from paymart.operators.filters import filter_real_accounts
 from paymart.schemas import TXN_DAY
 
 
-def _account_totals(transactions: DataFrame, extra: Sequence[str]) -> DataFrame:
+def _account_totals(transactions: DataFrame, extra: Sequence[str], wide: bool) -> DataFrame:
     real = filter_real_accounts(transactions)
     day = F.col(TXN_DAY) if TXN_DAY in transactions.columns else business_day("transaction_dt")
+    amount = F.sum(F.col("amount").cast("decimal(20,0)")) if wide else F.sum("amount")
     return real.groupBy(
         day.alias("date_update"), "currency_code", *extra, "account_number_from"
     ).agg(
-        F.sum("amount").alias("amount_total"),
+        amount.alias("amount_total"),
         F.count(F.lit(1)).alias("cnt_usr_transactions"),
     )
 
 
-def account_day_totals(transactions: DataFrame) -> DataFrame:
-    """By day, currency and sender: amount and number of transactions."""
-    return _account_totals(transactions, [])
+def account_day_totals(transactions: DataFrame, wide: bool = False) -> DataFrame:
+    """By day, currency and sender: amount and number of transactions.
 
+    The amount is BIGINT, and a sum beyond it an error; with ``wide`` it is
+    DECIMAL(30,0), which holds the sum of any BIGINT amounts.
+    """
+    return _account_totals(transactions, [], wide)
 
-def account_day_status_totals(transactions: DataFrame) -> DataFrame:
+
+def account_day_status_totals(transactions: DataFrame, wide: bool = False) -> DataFrame:
     """The same with the status in the key."""
-    return _account_totals(transactions, ["status"])
+    return _account_totals(transactions, ["status"], wide)
 
 
 def currency_names(transactions: DataFrame) -> DataFrame:

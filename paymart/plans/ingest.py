@@ -11,15 +11,18 @@ from pyspark.sql import types as T
 
 from paymart.functions.columns import conform_rate, conform_transaction
 from paymart.functions.messages import parse_messages
-from paymart.operators.checks import EmptyLoadError, any_null, require_rows, unique_key_report
+from paymart.operators.checks import EmptyLoadError, any_null, load_facts, require_rows, unique_key_report
 from paymart.operators.dedup import one_per_key
 from paymart.operators.filters import Day
 from paymart.plans.mart import global_metrics_by_status
 from paymart.schemas import (
     MESSAGE_TYPE,
     METRICS_BY_STATUS,
+    METRICS_BY_STATUS_WIDE,
     RATE_KEY,
+    STATUSES,
     TRANSACTION_TABLE,
+    TRANSACTION_TYPES,
     TXN_COLUMNS,
     TXN_DAY,
 )
@@ -107,7 +110,19 @@ def rejected_messages(messages: DataFrame) -> DataFrame:
     return judged_messages(messages).select("reject_reason", "raw").where("reject_reason IS NOT NULL")
 
 
-def load_messages(messages: DataFrame, *paths: str, rejects_path: str | None = None, required: bool = False) -> list[int]:
+def transaction_facts(rows: DataFrame) -> DataFrame:
+    """The facts that all reports on a load of transactions come from."""
+    domains = {"status": STATUSES, "transaction_type": TRANSACTION_TYPES}
+    return load_facts(rows, TXN_COLUMNS, domains, ["amount"], ["operation_id"])
+
+
+def load_messages(
+    messages: DataFrame,
+    *paths: str,
+    rejects_path: str | None = None,
+    required: bool = False,
+    facts_path: str | None = None,
+) -> list[int]:
     """Read and parse messages once, and give them to one or more tables.
 
     An operation is stored once over all days; one that comes again with
@@ -115,7 +130,9 @@ def load_messages(messages: DataFrame, *paths: str, rejects_path: str | None = N
     and where rejects are kept the parsed messages as well: rejects and all
     targets come from the same read, whatever arrives meanwhile and whichever
     executor is lost. Returns the rows inserted or replaced by newer ones, per
-    table; the days that each table's load touched are in its feed.
+    table; the days that each table's load touched are in its feed. With
+    ``facts_path`` the facts of the load are stored there, for the reports of
+    ``operators.checks``.
     """
     spark = messages.sparkSession
     judged, ours = judged_messages(messages), Observation()
@@ -139,17 +156,21 @@ def load_messages(messages: DataFrame, *paths: str, rejects_path: str | None = N
         single = scratch_path(spark, "newest")
         rows.observe(counted, F.count(F.lit(1)).alias("n")).write.parquet(single)
         n, rows = counted.get.get("n"), spark.read.schema(rows.schema).parquet(single)
+    if facts_path:
+        transaction_facts(rows).write.mode("overwrite").parquet(facts_path)
     return [store_operations(rows, path, SENT, n) for path in paths]
 
 
-def ingest_messages(messages: DataFrame, *paths: str, rejects_path: str | None = None) -> list[int]:
+def ingest_messages(
+    messages: DataFrame, *paths: str, rejects_path: str | None = None, facts_path: str | None = None
+) -> list[int]:
     """The daily load of a topic into each of the tables; an empty topic is an error.
 
     Rejected texts go to ``rejects_path``, a folder of this load alone. A topic
     may be read from its start each day; to read only what is new, use
     ``stream_upsert`` once a day, which keeps the offsets it has read.
     """
-    return load_messages(messages, *paths, rejects_path=rejects_path, required=True)
+    return load_messages(messages, *paths, rejects_path=rejects_path, required=True, facts_path=facts_path)
 
 
 def moved_operations(transactions: DataFrame) -> DataFrame:
@@ -209,6 +230,7 @@ def update_mart(
     first: Day | None = None,
     last: Day | None = None,
     replace: Callable[..., int] = replace_listed_days,
+    wide: bool = False,
 ) -> int:
     """Recompute days from the stored tables and put them in place.
 
@@ -221,7 +243,7 @@ def update_mart(
     Both inputs have to be there, and rates have to have rows: otherwise all
     rates would be 1 or all days empty, and the mart is left as it is.
     ``replace`` puts the days in place: ``switched.replace_days`` shows them to readers
-    at once.
+    at once. ``wide`` stores totals that no sum exceeds.
     """
     files.require_path(spark, transactions_path)
     rates = require_rows(read_rates(spark, rates_path), rates_path)
@@ -235,6 +257,7 @@ def update_mart(
     if days:
         transactions = read_days(spark, transactions_path, TRANSACTION_TABLE, TXN_DAY, days)
         rated = rates.where(in_days("date_update", days))
-        n = replace(global_metrics_by_status(transactions, rated), mart_path, days, METRICS_BY_STATUS)
+        metrics = global_metrics_by_status(transactions, rated, wide=wide)
+        n = replace(metrics, mart_path, days, METRICS_BY_STATUS_WIDE if wide else METRICS_BY_STATUS)
     feed.mark_done(spark, names)
     return n

@@ -16,14 +16,14 @@ number of distinct senders is a plain count in step 3.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paymart.functions.money import convert_amount, round_average, round_total
+from paymart.functions.money import convert_amount, round_average, round_whole
 from paymart.operators.filters import Day, day_literal, filter_business_day, filter_days, filter_rate_days
 from paymart.operators.rates import rate_lookup
 from paymart.operators.totals import account_day_status_totals, account_day_totals
-from paymart.schemas import METRICS, METRICS_BY_STATUS, QUOTE_CURRENCY
+from paymart.schemas import METRICS, METRICS_BY_STATUS, METRICS_WIDE, QUOTE_CURRENCY
 
 
 def _mart(
@@ -35,9 +35,10 @@ def _mart(
     rounding: str,
     quote: int,
     dedupe: bool,
+    wide: bool,
 ) -> DataFrame:
     cells = totals.groupBy(*keys).agg(
-        F.sum(F.col("amount_total").cast("decimal(20,0)")).alias("amount"),
+        F.sum("amount_total").alias("amount"),
         F.sum("cnt_usr_transactions").alias("cnt"),
         F.avg("cnt_usr_transactions").alias("avg_cnt"),
         F.count(F.lit(1)).alias("accounts"),
@@ -45,16 +46,25 @@ def _mart(
     lookup = rate_lookup(rates, rate_rule, quote, dedupe)
     rated = cells.join(lookup, ["date_update", "currency_code"], "left")
     one = F.lit(1).cast("decimal(28,6)")
+    total = round_whole(convert_amount("amount", F.coalesce("rate_sum", one)), rounding)
     return rated.select(
         "*",
         F.col("currency_code").alias("currency_from"),
-        round_total(convert_amount("amount", F.coalesce("rate_sum", one)), rounding).alias("amount_total"),
+        (total.cast(METRICS_WIDE["amount_total"].dataType) if wide else _as_bigint(total, keys)).alias("amount_total"),
         (F.col("cnt") * F.coalesce("n_rates", F.lit(1))).alias("cnt_transactions"),
         round_average("avg_cnt", rounding).alias("avg_transactions_per_account"),
         F.col("accounts").alias("cnt_accounts_make_transactions"),
     ).select(*columns)
 
 
+def _as_bigint(total: Column, keys: list[str]) -> Column:
+    """The total as BIGINT; one beyond it is an error that names its cell."""
+    cell = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    error = F.raise_error(F.concat(F.lit("amount_total is beyond BIGINT, use wide=True: "), cell))
+    fits = total.between(F.lit("-9223372036854775808").cast("decimal(20,0)"), F.lit("9223372036854775807").cast("decimal(20,0)"))
+    return F.when(total.isNull() | fits, total.cast("bigint")).otherwise(error.cast("bigint"))
+
+
 def global_metrics(
     transactions: DataFrame,
     rates: DataFrame,
@@ -62,11 +72,16 @@ def global_metrics(
     rounding: str = "half_even",
     quote: int = QUOTE_CURRENCY,
     dedupe: bool = True,
+    wide: bool = False,
 ) -> DataFrame:
-    """The mart by day and currency, all statuses together."""
+    """The mart by day and currency, all statuses together.
+
+    Sums are exact whatever they reach. ``amount_total`` is BIGINT, and a cell
+    beyond that an error which names it; with ``wide`` it is DECIMAL(38,0).
+    """
     keys = ["date_update", "currency_code"]
-    totals = account_day_totals(transactions)
-    return _mart(totals, rates, keys, METRICS.fieldNames(), rate_rule, rounding, quote, dedupe)
+    totals = account_day_totals(transactions, wide=True)
+    return _mart(totals, rates, keys, METRICS.fieldNames(), rate_rule, rounding, quote, dedupe, wide)
 
 
 def global_metrics_by_status(
@@ -76,11 +91,12 @@ def global_metrics_by_status(
     rounding: str = "half_even",
     quote: int = QUOTE_CURRENCY,
     dedupe: bool = True,
+    wide: bool = False,
 ) -> DataFrame:
-    """The mart by day, currency and status."""
+    """The mart by day, currency and status; totals as in ``global_metrics``."""
     keys = ["date_update", "currency_code", "status"]
-    totals = account_day_status_totals(transactions)
-    return _mart(totals, rates, keys, METRICS_BY_STATUS.fieldNames(), rate_rule, rounding, quote, dedupe)
+    totals = account_day_status_totals(transactions, wide=True)
+    return _mart(totals, rates, keys, METRICS_BY_STATUS.fieldNames(), rate_rule, rounding, quote, dedupe, wide)
 
 
 def metrics_for_day(transactions: DataFrame, rates: DataFrame, day: Day, **options: object) -> DataFrame:

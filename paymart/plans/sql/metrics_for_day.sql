@@ -2,7 +2,7 @@
 -- Frames: {transactions}, {rates}; parameters: :business_dt, :quote.
 WITH per_account AS (
     SELECT currency_code, status, account_number_from,
-           SUM(amount) AS amount, COUNT(*) AS cnt
+           SUM(CAST(amount AS DECIMAL(20, 0))) AS amount, COUNT(*) AS cnt
     FROM {transactions}
     WHERE TO_DATE(transaction_dt) = TO_DATE(:business_dt)
       AND account_number_from > 0
@@ -10,7 +10,7 @@ WITH per_account AS (
     GROUP BY ALL
 ), cells AS (
     SELECT currency_code, status,
-           SUM(CAST(amount AS DECIMAL(20, 0))) AS amount, SUM(cnt) AS cnt,
+           SUM(amount) AS amount, SUM(cnt) AS cnt,
            BROUND(AVG(cnt), 0) AS avg_cnt, COUNT(*) AS accounts
     FROM per_account
     GROUP BY ALL

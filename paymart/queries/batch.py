@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from paymart import fixtures, functions
 from paymart.functions import messages as msg
@@ -20,6 +21,7 @@ from paymart.schemas import (
     TXN_COLUMNS,
     TXN_DAY,
 )
+from paymart.session import scratch_path
 from paymart.sources import objects, sqlfile
 
 QUERIES, register = registry()
@@ -355,6 +357,32 @@ def global_metrics_large_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+HUGE_AMOUNT = 5 * 10**18  # two of them are beyond BIGINT
+
+
+def huge_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with amounts of which two exceed BIGINT."""
+    events = fixtures.event_transactions(spark, sf_dir)
+    return events.withColumn("amount", F.lit(HUGE_AMOUNT) + F.col("amount"))
+
+
+@register
+def account_day_totals_any_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return totals.account_day_totals(huge_transactions(spark, sf_dir), wide=True)
+
+
+@register
+def global_metrics_any_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = fixtures.currencies(spark, sf_dir)
+    return mart.global_metrics(huge_transactions(spark, sf_dir), rated, wide=True)
+
+
+@register
+def global_metrics_by_status_any_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = fixtures.currencies(spark, sf_dir)
+    return mart.global_metrics_by_status(huge_transactions(spark, sf_dir), rated, wide=True)
+
+
 # --- Dedup and upserts ------------------------------------------------------
 
 
@@ -469,6 +497,45 @@ def missing_rate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.missing_rate_report(fixtures.transactions(spark, sf_dir), fixtures.currencies(spark, sf_dir))
 
 
+@register
+def load_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with values that each report finds; all reports in one frame."""
+    rows = fixtures.transactions(spark, sf_dir)
+    number = F.col("operation_id").cast("bigint")
+    rows = rows.select(
+        *[
+            {
+                "operation_id": F.when(number % 9 == 0, "none").otherwise(F.col("operation_id")).alias("operation_id"),
+                "country": F.when(number % 5 != 0, F.col("country")).alias("country"),
+                "status": F.when(number % 4 == 0, F.concat(F.lit("x"), "status")).otherwise(F.col("status")).alias("status"),
+                "amount": (F.col("amount") * 100).alias("amount"),
+            }.get(c, F.col(c))
+            for c in TXN_COLUMNS
+        ]
+    )
+    facts = ingest.transaction_facts(rows)
+    spread = scratch_path(spark, "facts")
+    facts.write.parquet(spread)
+    facts = spark.read.schema(checks.FACTS).parquet(spread)
+    null, number = F.lit(None).cast("string"), F.lit(None).cast("bigint")
+
+    def told(report: str, df: DataFrame, name, value, n, low=number, high=number) -> DataFrame:
+        columns = {"name": name, "value": value, "row_count": n, "lowest": low, "highest": high}
+        return df.select(F.lit(report).alias("report"), *[F.col(c).alias(a) if isinstance(c, str) else c.alias(a) for a, c in columns.items()])
+
+    cells = checks.missing_rate_report_of(facts, fixtures.currencies(spark, sf_dir))
+    cell = F.concat_ws(" ", F.col("date_update").cast("string"), F.col("currency_code").cast("string"))
+    key = StructType([StructField("operation_id", StringType())])
+    reports = [
+        told("null", checks.null_report_of(facts, TXN_COLUMNS), "column_name", null, "null_count"),
+        told("domain", checks.domain_report_of(facts), "column_name", "bad_value", "row_count"),
+        told("range", checks.int_range_report_of(facts, ["amount"]), "column_name", null, "out_of_range", "lowest", "highest"),
+        told("key", checks.unique_key_report_of(facts, key), F.lit("operation_id"), "operation_id", "row_count"),
+        told("rate", cells, F.lit("cell"), cell, "cnt_transactions"),
+    ]
+    return reduce(DataFrame.unionByName, reports)
+
+
 # --- Messages ---------------------------------------------------------------
 
 

@@ -7,7 +7,7 @@ such, and messages are selected from the events without any JSON parsing.
 
 from __future__ import annotations
 
-from paymart.queries.batch import FIRST_DAY, LARGE_AMOUNT, LAST_DAY, ONE_DAY, TABLES
+from paymart.queries.batch import FIRST_DAY, HUGE_AMOUNT, LARGE_AMOUNT, LAST_DAY, ONE_DAY, TABLES
 from paymart.queries.stored import REPLACED_FIRST, REPLACED_LAST, REPLACED_WITH_ROWS
 from paymart.schemas import STATUSES, TRANSACTION_TYPES
 
@@ -98,6 +98,9 @@ def _mart(
     rounding: str = "round_even",
     rates: str = "SELECT DISTINCT * FROM rates",
     where: str = "TRUE",
+    total: str = "BIGINT",
+    amounts: str = "DECIMAL(20, 0)",
+    rated: str = "DECIMAL(18, 6)",
 ) -> str:
     """The mart as a subquery, rates joined at account level."""
     status = ", status" if by_status else ""
@@ -107,7 +110,7 @@ def _mart(
     }[rule]
     return f"""(
     SELECT date_update, currency_code AS currency_from,
-           CAST({rounding}(sum(CAST(amount AS DECIMAL(20, 0)) * CAST({rate} AS DECIMAL(18, 6))), 0) AS BIGINT)
+           CAST({rounding}(sum(CAST(amount AS {amounts}) * CAST({rate} AS {rated})), 0) AS {total})
                AS amount_total,
            CAST(sum(n) AS BIGINT) AS cnt_transactions,
            {rounding}(avg(n), 0) AS avg_transactions_per_account,
@@ -171,6 +174,16 @@ LARGE = f""", large AS (
 """
 
 
+HUGE = f"(SELECT * REPLACE (CAST({HUGE_AMOUNT} AS HUGEINT) + amount AS amount) FROM evt)"
+ANY_SUM = {"total": "DECIMAL(38, 0)", "amounts": "DECIMAL(26, 0)", "rated": "DECIMAL(12, 6)"}
+DAMAGED_ORDERS = """, damaged AS (
+    SELECT * REPLACE (IF(CAST(operation_id AS BIGINT) % 9 = 0, 'none', operation_id) AS operation_id,
+                      IF(CAST(operation_id AS BIGINT) % 5 <> 0, country, NULL) AS country,
+                      IF(CAST(operation_id AS BIGINT) % 4 = 0, 'x' || status, status) AS status,
+                      amount * 100 AS amount) FROM txn)
+"""
+
+
 def _literals(values: list[str]) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
@@ -344,7 +357,44 @@ ORACLES: dict[str, str] = {
         "(SELECT 1 FROM rates r WHERE r.currency_code_with = 420 AND r.currency_with_div > 0 "
         "AND r.date_update = t.date_update AND r.currency_code = t.currency_code) GROUP BY ALL"
     ),
+    "account_day_totals_any_sum": _q(
+        "SELECT CAST(transaction_dt AS DATE) AS date_update, currency_code, account_number_from, "
+        f"CAST(sum(amount) AS DECIMAL(30, 0)) AS amount_total, count(*) AS cnt_usr_transactions FROM {HUGE} "
+        "WHERE account_number_from > 0 AND account_number_to > 0 GROUP BY ALL"
+    ),
+    "global_metrics_any_sum": _q(f"SELECT * FROM {_mart(HUGE, False, 'present', **ANY_SUM)}"),
+    "global_metrics_by_status_any_sum": _q(f"SELECT * FROM {_mart(HUGE, True, 'positive', **ANY_SUM)}"),
+    "load_facts": COMMON + DAMAGED_ORDERS + " UNION ALL ".join(
+        [
+            *[
+                f"SELECT 'null' AS report, '{c.strip()}' AS name, NULL AS value, "
+                f"count(*) - count({c.strip()}) AS row_count, "
+                "CAST(NULL AS BIGINT) AS lowest, CAST(NULL AS BIGINT) AS highest FROM damaged"
+                for c in TXN_LIST.split(",")
+            ],
+            "SELECT 'domain', 'status', status, count(*), NULL, NULL FROM damaged WHERE status LIKE 'x%' GROUP BY ALL",
+            "SELECT 'range', 'amount', NULL, count(*), min(amount), max(amount) FROM damaged "
+            "WHERE amount NOT BETWEEN -2147483648 AND 2147483647",
+            "SELECT 'key', 'operation_id', operation_id, count(*), NULL, NULL FROM damaged GROUP BY ALL HAVING count(*) > 1",
+            "SELECT 'rate', 'cell', CAST(t.date_update AS VARCHAR) || ' ' || t.currency_code, count(*), NULL, NULL FROM "
+            "(SELECT *, CAST(transaction_dt AS DATE) AS date_update FROM damaged) t "
+            "WHERE account_number_from > 0 AND account_number_to > 0 AND currency_code <> 420 AND NOT EXISTS "
+            "(SELECT 1 FROM rates r WHERE r.currency_code_with = 420 AND r.currency_with_div > 0 "
+            "AND r.date_update = t.date_update AND r.currency_code = t.currency_code) GROUP BY ALL",
+        ]
+    ),
     # written and read back
+    "compact_days": _q(f"SELECT {STORED_EVENT} FROM evt"),
+    "replace_days_at_once": _q(
+        f"SELECT * FROM {EVENTS_BY_STATUS} WHERE date_update BETWEEN DATE '2024-01-01' AND DATE '2024-01-31' "
+        f"AND (date_update < DATE '{REPLACED_FIRST}' OR date_update > DATE '{REPLACED_LAST}' "
+        f"OR (status = 'done' AND date_update <= DATE '{REPLACED_WITH_ROWS}'))"
+    ),
+    "bucketed_account_totals": _q(
+        "SELECT CAST(transaction_dt AS DATE) AS date_update, currency_code, account_number_from, "
+        "CAST(sum(amount) AS BIGINT) AS amount_total, count(*) AS cnt_usr_transactions FROM evt "
+        "WHERE account_number_from > 0 AND account_number_to > 0 GROUP BY ALL"
+    ),
     "read_messages_batch": _q(
         f"SELECT {ENVELOPE} AS value FROM sent UNION ALL SELECT 'not json' FROM events WHERE event_id < 3"
     ),

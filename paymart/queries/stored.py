@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paymart import fixtures, functions
+from paymart.operators import totals
 from paymart.plans import ingest, mart
 from paymart.queries.shaping import as_text, registry
 from paymart.schemas import (
@@ -19,7 +20,7 @@ from paymart.schemas import (
     TXN_DAY,
 )
 from paymart.session import scratch_path
-from paymart.sinks import tables, topics
+from paymart.sinks import bucketed, compaction, key_index, switched, tables, topics
 from paymart.sources.rates import good_rates, read_rates_csv as read_csv
 from paymart.sources.topics import read_messages_batch as read_batch
 
@@ -233,6 +234,39 @@ def ingest_troubled_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("reject_reason STRING, raw STRING").parquet(rejects).groupBy("reject_reason").count()
 
 
+@register
+def compact_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many small loads, then few files a day; the rows are the same."""
+    path, rows = scratch_path(spark, "transactions"), _conformed(spark, sf_dir)
+    number = F.substring("operation_id", 5, 20).cast("bigint")
+    for part in range(6):
+        tables.append_transactions(rows.where(number % 6 == part), path)
+    compaction.compact(spark, path, TRANSACTION_TABLE, TXN_DAY, tables.TXN_SORT, options=key_index.BLOOM)
+    return tables.read_table(spark, path, TRANSACTION_TABLE)
+
+
+@register
+def replace_days_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``replace_days``, with one switch for all days of a replacement."""
+    path, whole = scratch_path(spark, "metrics"), _mart(spark, sf_dir)
+    days = tables.days_between("2024-01-01", "2024-01-31")
+    switched.replace_days(whole, path, days)
+    fewer = whole.where(f"status = 'done' AND date_update <= '{REPLACED_WITH_ROWS}'")
+    for _ in range(2):
+        switched.replace_days(fewer, path, tables.days_between(REPLACED_FIRST, REPLACED_LAST))
+    return switched.read_table(spark, path)
+
+
+@register
+def bucketed_account_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-account totals of a catalogue table that is placed by sender."""
+    database, location = f"paymart_{uuid.uuid4().hex}", scratch_path(spark, "database")
+    spark.sql(f"CREATE DATABASE `{database}` LOCATION '{location}'")
+    table = f"`{database}`.transactions"
+    bucketed.save_bucketed(_conformed(spark, sf_dir), table, buckets=8)
+    return totals.account_day_totals(spark.table(table))
+
+
 @register
 def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded, rejects = scratch_path(spark, "transactions"), scratch_path(spark, "rejects")

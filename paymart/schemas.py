@@ -93,6 +93,12 @@ METRICS = T.StructType(
 METRICS_DAY = "date_update"
 METRICS_BY_STATUS = T.StructType(METRICS.fields + [T.StructField("status", T.StringType())])
 
+# The same with totals that hold any sum of BIGINT amounts.
+METRICS_WIDE = T.StructType(
+    [T.StructField(f.name, T.DecimalType(38, 0)) if f.name == "amount_total" else f for f in METRICS]
+)
+METRICS_BY_STATUS_WIDE = T.StructType(METRICS_WIDE.fields + [T.StructField("status", T.StringType())])
+
 CURRENCY_NAMES = T.StructType(
     [
         T.StructField("country", T.StringType()),

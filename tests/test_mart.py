@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from paymart.functions.money import convert_amount, round_average, round_total
 from paymart.operators.checks import missing_rate_report, unique_key_report
 from paymart.operators.rates import dedupe_rates, join_rates
-from paymart.operators.totals import account_day_status_totals, currency_names
+from paymart.operators.totals import account_day_status_totals, account_day_totals, currency_names
 from paymart.plans.dashboard import (
     active_accounts_by_currency,
     avg_transactions_per_account,
@@ -235,3 +235,23 @@ def test_mart_against_a_plain_loop(frames, data, rates):
         key: (int(total.to_integral_value()), sum(counts), float(round(sum(counts) / len(counts))), len(accounts))
         for key, (total, counts, accounts) in expected.items()
     }
+
+
+HUGE = 5 * 10**18
+
+
+def huge(spark, *senders):
+    rows = [(str(i), s, 2, 430, "A", "done", "t", HUGE, dt.datetime(2022, 10, 1, 9)) for i, s in enumerate(senders)]
+    return spark.createDataFrame(rows, "operation_id STRING, account_number_from INT, account_number_to INT, currency_code INT, country STRING, status STRING, transaction_type STRING, amount LONG, transaction_dt TIMESTAMP_NTZ")
+
+
+@pytest.mark.parametrize("senders", [(1, 1), (1, 2), (1, 1, 2, 3)])
+def test_any_sum_of_bigints(spark, senders):
+    rates = spark.sql("SELECT 430 AS currency_code, 420 AS currency_code_with, DATE '2022-10-01' AS date_update, CAST(3 AS DECIMAL(18,6)) AS currency_with_div")
+    for metrics in (global_metrics, global_metrics_by_status):
+        [row] = metrics(huge(spark, *senders), rates, wide=True).collect()
+        assert row["amount_total"] == 3 * HUGE * len(senders) and row["cnt_accounts_make_transactions"] == len(set(senders))
+        with pytest.raises(Exception, match="beyond BIGINT.*2022-10-01, 430"):
+            metrics(huge(spark, *senders), rates).collect()
+    totals = account_day_totals(huge(spark, *senders), wide=True).collect()
+    assert sum(r["amount_total"] for r in totals) == HUGE * len(senders)

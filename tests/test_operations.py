@@ -1,6 +1,5 @@
 """Loads by operation: the key index, moved operations, changed days, Bloom filters."""
 
-import datetime as dt
 from decimal import Decimal
 
 import pytest
@@ -206,4 +205,3 @@ def test_days_with_gaps_are_replaced_and_no_others(spark, path):
     tables.append_metrics(frame(row(D1, 1), row(D2, 2), row(D3, 3)), path)
     assert tables.replace_listed_days(frame(row(D1, 9), row(D2, 9)), path, [D3, D1]) == 1
     assert stored_metrics(spark, path) == [(D1, 9), (D2, 2)]
-    assert isinstance(D1, dt.date)

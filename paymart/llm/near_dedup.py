@@ -2,8 +2,9 @@
 
 1. Each text becomes the set of hashes of its word shingles, a MinHash
    signature, band keys and a sketch of one byte per MinHash.
-2. Documents with equal sets are one class; its smallest id stands for it.
-3. In each bucket of a band all members are compared with the smallest one:
+2. Rows with equal sets are one class; the number of one of its rows stands
+   for it, so rows that share an id but not the text stay apart.
+3. In each bucket of a band all members are compared with the first one:
    as many pairs as members. The sketches are compared in batches. After each
    batch a pair goes when the posterior probability that its similarity
    reaches the threshold is below ``miss``. What is left is checked on full sets.
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paymart.llm.components import connected_components
-from paymart.llm.shared import broadcast_if_small, staged
+from paymart.llm.shared import broadcast_if_small, free_names, staged
 from paymart.llm.words import Words, hash_words, mix, utf8_column
 
 BANDS, ROWS = 32, 4  # a pair at 0.85 shares no band with probability 5e-11
@@ -38,7 +39,7 @@ _RANDOM = np.random.Generator(np.random.PCG64(20240229))
 _FACTORS = _RANDOM.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
 
-SIGNED = "doc_id long, n_shingles long, set_key binary, sketch binary, bands array<long>"
+SIGNED = "doc_id long, text_hash long, n_shingles long, set_key binary, sketch binary, bands array<long>"
 
 
 def shingle_sets(column, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -75,7 +76,7 @@ def _sign(size: int):
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                hashes, sizes = shingle_sets(part.column(1), size)
+                hashes, sizes = shingle_sets(part.column("text"), size)
                 full = np.flatnonzero(sizes)
                 cuts = np.concatenate([[0], np.cumsum(sizes)])
                 keys = [hashlib.blake2b(hashes[cuts[i] : cuts[i + 1]].tobytes(), digest_size=16).digest() for i in full]
@@ -92,13 +93,14 @@ def _sign(size: int):
                         bands[i], sketch[i], key[i] = folded[at].view(np.int64), small[at].tobytes(), keys[at]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0).cast(pa.int64()),
+                        part.column("doc_id"),
+                        part.column("text_hash"),
                         pa.array(sizes),
                         pa.array(key, pa.binary()),
                         pa.array(sketch, pa.binary()),
                         pa.array(bands, pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n_shingles", "set_key", "sketch", "bands"],
+                    ["doc_id", "text_hash", "n_shingles", "set_key", "sketch", "bands"],
                 )
 
     return run
@@ -111,12 +113,10 @@ def _sets(size: int):
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                hashes, sizes = shingle_sets(part.column(1), size)
+                hashes, sizes = shingle_sets(part.column("text"), size)
                 cuts = np.concatenate([[0], np.cumsum(sizes)])
                 sets = [hashes[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).cast(pa.int64()), pa.array(sets, pa.binary())], ["doc_id", "shingles"]
-                )
+                yield pa.RecordBatch.from_arrays([part.column("rep"), pa.array(sets, pa.binary())], ["rep", "shingles"])
 
     return run
 
@@ -226,21 +226,36 @@ def near_duplicates(
 
     Two documents are linked when 100 * intersection >= ``percent`` * union of
     their sets of ``shingle``-word shingles (A-Z lower-cased). component_id is
-    the smallest id reachable by links; kept marks that document. Texts without
-    words, or null, have no shingles and no links. Rows without an id are never
-    linked and always kept, with a null component. Repeated rows are copies;
-    rows that share an id but not the text are one document. Extra columns are
-    not read. An empty table gives no rows.
+    the smallest id reachable by links; kept marks one row of each component: that
+    with the smallest id (doc_id = component_id).
+
+    - Every row is a document. Rows that share an id are judged each by its own
+      text; of several rows with the kept id the first by a hash of the text is
+      kept, and of equal rows one.
+    - A row without an id is linked like others; ids come before it. component_id is
+      null where none of a component's rows has an id.
+    - Texts without words, or null, have no shingles and no links: each is kept,
+      with its own id as component.
+    - Texts of any length are whole. Only doc_id and text are read, whatever
+      further columns are named. An empty table gives no rows.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    judged = _judged(docs, percent, shingle, miss, tile)
+    return judged.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _judged(docs: DataFrame, percent: int, shingle: int, miss: float = 1e-7, tile: int = TILE) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component_id, kept) of every row."""
+    text = F.col("text").cast("string")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     looks = least_matches(percent / 100, miss)
-    signed = staged(docs.mapInArrow(_sign(shingle), SIGNED), "signed")
-    full = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = staged(full.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = (
-        full.join(classes.select(F.col("rep").alias("doc_id"), "set_key"), ["doc_id", "set_key"], "left_semi")
-        .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("size"), "sketch", "bands")
-        .dropDuplicates(["rep"])
+    signed = docs.mapInArrow(_sign(shingle), SIGNED)
+    signed = staged(signed.select(F.monotonically_increasing_id().alias("row"), "*"), "signed")
+    full = signed.where("n_shingles > 0")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "row")).alias("first")
+    classes = full.groupBy("set_key").agg(F.min("row").alias("rep"), first)
+    classes = staged(classes, "classes")
+    reps = full.join(classes.select(F.col("rep").alias("row")), "row", "left_semi").select(
+        F.col("row").alias("rep"), "doc_id", "text_hash", F.col("n_shingles").alias("size"), "sketch", "bands"
     )
     reps = staged(reps, "representatives")
     sketches = reps.select("rep", "size", "sketch")
@@ -257,7 +272,7 @@ def near_duplicates(
         .where(100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
         .mapInArrow(_prune(looks), "a long, b long")
     )
-    links = staged(_confirmed(docs, staged(likely, "likely"), shingle, percent), "star-links")
+    links = staged(_confirmed(docs, reps, staged(likely, "likely"), shingle, percent), "star-links")
 
     component = staged(connected_components(links).withColumnRenamed("node", "rep"), "components")
     known = in_buckets.where("members > 2").join(component, "rep", "left")
@@ -266,9 +281,9 @@ def near_duplicates(
     mixed = staged(mixed.where("low <> high").select("band"), "mixed-buckets")
     slots = F.ceil(F.col("members") / tile)
     known = staged(known.join(mixed, "band"), "to-compare")
-    sets = _sets_of(docs, known.select("rep"), shingle).withColumnRenamed("doc_id", "rep")
+    sets = _sets_of(docs, reps, known.select("rep"), shingle)
     tiles = (
-        known.join(reps.join(sets, "rep"), "rep")
+        known.join(reps.drop("doc_id", "text_hash").join(sets, "rep"), "rep")
         .withColumn("slots", slots.cast("int"))
         .withColumn("slot", F.pmod(F.xxhash64("rep"), F.col("slots")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
@@ -278,40 +293,62 @@ def near_duplicates(
     links = links.unionByName(staged(more, "tile-links"))
     component = connected_components(links).withColumnRenamed("node", "rep")
 
-    resolved = classes.join(component, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
-    component_id = F.coalesce("component", "doc_id")
+    resolved = classes.join(component, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    firsts = resolved.groupBy("component").agg(F.min("first").alias("first_of_all"))
+    resolved = resolved.join(staged(firsts, "firsts"), "component").select("set_key", "first_of_all")
+    linked = F.col("first_of_all").isNotNull()
     return signed.join(staged(resolved, "resolved"), "set_key", "left").select(
         "doc_id",
+        "text_hash",
         "n_shingles",
-        component_id.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component_id, F.lit(True)).alias("kept"),
+        F.when(linked, F.col("first_of_all.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.coalesce(F.col("first_of_all.row") == F.col("row"), F.lit(True)).alias("kept"),
     )
 
 
 def one_of_each(docs: DataFrame, percent: int = 80, shingle: int = 5) -> DataFrame:
-    """The rows of ``docs`` without near copies of a row with a smaller id, with all their columns.
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns, whatever these are named.
 
-    Of rows that share an id all stay if that id does. Rows without an id stay.
+    A row goes by its own text, not by its id: a row that shares its id with a copy
+    stays. Of rows equal in id and text one stays, the first by its other columns.
+    Rows without words stay, all of them. Columns keep order and names.
     """
-    judged = near_duplicates(docs, percent, shingle)
-    gone = staged(judged.where("NOT kept").select(F.col("doc_id").alias("copy_id")).distinct(), "copies")
-    gone = broadcast_if_small(gone, row_bytes=16)
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("copy_id"), "left_anti")
+    pair = staged(_judged(docs, percent, shingle), "judged").groupBy("doc_id", "text_hash").agg(
+        F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"), F.max("n_shingles").alias("n_shingles")
+    )
+    decided = staged(pair.where("NOT kept OR (n > 1 AND n_shingles > 0)").select("doc_id", "text_hash", "kept"), "copies")
+    names = free_names(docs, "copy_id", "copy_hash")
+    own_hash = F.xxhash64(F.col("text").cast("string"))
+
+    def of(rows: DataFrame, how: str) -> DataFrame:
+        pairs = broadcast_if_small(rows.select("doc_id", "text_hash").toDF(*names), row_bytes=32)
+        return docs.join(pairs, F.col("doc_id").cast("long").eqNullSafe(F.col(names[0])) & (own_hash == F.col(names[1])), how)
+
+    rest = of(decided, "left_anti")
+    repeated = decided.where("kept")
+    if not repeated.take(1):
+        return rest
+    [one] = free_names(docs, "one_row")
+    key = (F.col("doc_id").cast("long"), own_hash)
+    single = of(repeated, "left_semi").groupBy(*key).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias(one))
+    return rest.unionByName(single.select(f"{one}.*"))
 
 
-def _confirmed(docs: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _confirmed(docs: DataFrame, reps: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs whose full sets reach the threshold."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("rep"))
-    sets = _sets_of(docs, needed, shingle)
+    sets = _sets_of(docs, reps, needed, shingle)
     return (
-        pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
-        .join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
+        pairs.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("set_b")), "b")
+        .join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("set_a")), "a")
         .mapInArrow(_confirm(percent), "a long, b long")
     )
 
 
-def _sets_of(docs: DataFrame, reps: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, shingles) of the documents that stand for the given classes."""
-    needed = staged(reps.select(F.col("rep").alias("doc_id")).distinct(), "needed")
-    texts = docs.join(broadcast_if_small(needed, row_bytes=16), "doc_id", "left_semi")
-    return staged(texts.mapInArrow(_sets(shingle), "doc_id long, shingles binary"), "sets").dropDuplicates(["doc_id"])
+def _sets_of(docs: DataFrame, reps: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(rep, shingles) of the given classes, from the text of the row that stands for each."""
+    needed = reps.select("rep", "doc_id", "text_hash").join(wanted.distinct(), "rep", "left_semi")
+    needed = staged(needed.toDF("rep", "of_id", "of_hash"), "needed")
+    same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_hash"))
+    texts = docs.join(broadcast_if_small(needed, row_bytes=32), same).select("rep", "text")
+    return staged(texts.mapInArrow(_sets(shingle), "rep long, shingles binary"), "sets").dropDuplicates(["rep"])

@@ -27,3 +27,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def broadcast_if_small(df: DataFrame, row_bytes: int, max_bytes: int = 64 << 20) -> DataFrame:
     """``df`` with a broadcast hint if it is counted to be small; else a join shuffles it."""
     return F.broadcast(df) if df.count() * row_bytes <= max_bytes else df
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names that ``df`` does not have, like the wanted ones."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -13,7 +13,7 @@ def shingles(text, size):
     return frozenset(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
 
 
-def brute(rows, percent, size):
+def components(rows, percent, size):
     sets = [shingles(t, size) for _, t in rows]
     parent = list(range(len(rows)))
 
@@ -25,15 +25,19 @@ def brute(rows, percent, size):
     for i, a in enumerate(sets):
         for j in range(i):
             b = sets[j]
-            if a and b and rows[i][0] is not None and rows[j][0] is not None and 100 * len(a & b) >= percent * len(a | b):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
                 parent[max(root(i), root(j))] = min(root(i), root(j))
+    return sets, [root(i) for i in range(len(rows))]
+
+
+def brute(rows, percent, size):
+    """Every row against every other, with the smallest id of its component (null for none)."""
+    sets, roots = components(rows, percent, size)
     smallest = {}
-    for i, (doc_id, _) in enumerate(rows):
+    for (doc_id, _), r in zip(rows, roots):
         if doc_id is not None:
-            smallest[root(i)] = min(smallest.get(root(i), doc_id), doc_id)
-    return sorted(
-        (doc_id, len(sets[i]), smallest[root(i)], doc_id == smallest[root(i)]) for i, (doc_id, _) in enumerate(rows) if doc_id is not None
-    )
+            smallest[r] = min(smallest.get(r, doc_id), doc_id)
+    return sorted(((i, len(s), smallest.get(r)) for (i, _), s, r in zip(rows, sets, roots)), key=str)
 
 
 def family(pick, size, copies, edits):
@@ -56,16 +60,49 @@ def test_components_equal_all_pairs(docs, tile):
     pick.shuffle(texts)
     rows = list(enumerate(texts, 10))
     found = near_dedup.near_duplicates(docs(*rows), percent=85, shingle=3, tile=tile).collect()
-    assert sorted(tuple(r) for r in found) == brute(rows, 85, 3)
-
-
-def test_null_ids_stay_and_are_never_linked(docs):
-    rows = [(None, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (None, None)]
-    found = near_dedup.near_duplicates(docs(*rows))
-    assert sorted((str(r["doc_id"]), r["kept"]) for r in found.collect()) == [("1", True), ("2", False), ("None", True), ("None", True)]
-    kept = near_dedup.one_of_each(docs(*rows))
-    assert kept.columns == docs(*rows).columns
-    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "None", "None"]
+    assert sorted((tuple(r)[:3] for r in found), key=str) == brute(rows, 85, 3)
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
+
+
+def like(text, words):
+    """The text with some words put after it."""
+    return f"{text} {' '.join(f'more{i}' for i in range(words))}"
+
+
+LONG = " ".join(f"w{i}" for i in range(200))
+OTHER = " ".join(f"o{i}" for i in range(200))
+THIRD = " ".join(f"t{i}" for i in range(200))
+ROWS = [
+    (3, LONG), (5, like(LONG, 3)), (5, OTHER),  # one id, a copy of 3 and a text of its own
+    (7, THIRD), (7, THIRD), (7, THIRD), (7, THIRD),  # a repeated row
+    (None, like(LONG, 2)), (None, "only here " * 30), (None, "only here " * 30),  # without ids: a copy, a repeated row
+    (8, None), (8, None), (9, ""), (None, None), (10, "word"), (11, "word"),
+    (20, "x " * 60_000), (21, "x " * 60_000 + "y"),  # very long
+]
+
+
+def test_rows_that_share_an_id_or_have_none(docs):
+    found = near_dedup.near_duplicates(docs(*ROWS)).collect()
+    assert sorted((tuple(r)[:3] for r in found), key=str) == brute(ROWS, 80, 5)
+    sets, roots = components(ROWS, 80, 5)
+    kept = [r for r in found if r["kept"] and r["n_shingles"]]
+    assert len(kept) == len({r for s, r in zip(sets, roots) if s})
+    assert all(r["doc_id"] == r["component_id"] for r in found if r["kept"])
+    assert all(r["kept"] for r in found if not r["n_shingles"])
+
+
+def test_one_row_of_each_stays(spark, docs):
+    plain = near_dedup.one_of_each(docs(*ROWS))
+    want = sorted([(3, LONG), (5, OTHER), (7, THIRD), (None, "only here " * 30), (8, None), (8, None), (9, ""), (None, None), (10, "word"), (20, "x " * 60_000), (21, "x " * 60_000 + "y")], key=str)
+    assert sorted(((r["doc_id"], r["text"]) for r in plain.collect()), key=str) == want
+    assert plain.columns == docs(*ROWS).columns and plain.schema == docs(*ROWS).schema
+    # names that the operator uses itself, and rows that differ in them alone
+    names = ["copy_id", "copy_hash", "kept", "rep", "text_hash", "one_row", "row", "a.b"]
+    clashing = docs(*ROWS).selectExpr("doc_id", "text", *[f"CAST(hash(rand(3)) AS STRING) AS `{n}`" for n in names])
+    clashing = spark.createDataFrame(clashing.collect(), clashing.schema)
+    found = near_dedup.one_of_each(clashing)
+    assert found.columns == clashing.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in found.collect()), key=str) == want
 
 
 def test_empty_table(docs):

@@ -53,3 +53,53 @@ def test_hosts(spark):
     urls = ["http://User@WWW.a.b:8080/x?y", "https://m.a.b", "//a.b/c", "a.b/c", "", None]
     df = spark.createDataFrame([(u,) for u in urls], "url STRING")
     assert [r[0] for r in df.select(host_of(F.col("url"))).collect()] == ["a.b", "m.a.b", "a.b", "", "", ""]
+
+
+PROSE = "<h1>Heading of it</h1><p>" + "Words of the article that go on for a while. " * 6 + "</p><p>" + "And a second paragraph of it. " * 4 + "</p>"
+PLAIN = "Heading of it\n" + ("Words of the article that go on for a while. " * 6).strip() + "\n" + ("And a second paragraph of it. " * 4).strip()
+NEXT = "<div class='neighbour'><p>A neighbour with some text of its own.</p></div>"
+
+
+@pytest.mark.parametrize("name", ["content with-sidebar", "content no-sidebar", "post tags-none", "overflow-hidden", "has-header", "post search-off", "widget", "form"])
+def test_class_that_only_sounds_like_boilerplate(name):
+    assert extract(f"<body><nav>Menu</nav><div class='{name}'>{PROSE}</div>{NEXT}</body>") == PLAIN
+
+
+@pytest.mark.parametrize("name", ["sidebar", "sidebar-left", "main-nav", "cookie-notice", "post-comments", "related-articles", "ad", "ad-slot", "share-buttons", "site-footer", "comments", "Newsletter"])
+def test_class_that_names_boilerplate(name):
+    noise = f"<div class='{name}'><p>{'Noise that is not part of the article. ' * 3}</p></div>"
+    assert extract(f"<body><div class='text'>{PROSE}</div>{noise}</body>") == PLAIN
+    assert extract(f"<body><article>{PROSE}{noise}</article></body>") == PLAIN
+
+
+def test_long_comments_cost_the_article_nothing():
+    comments = "<section class='comments'>" + "<p>A reader who writes and writes, far more than the article has.</p>" * 40 + "</section>"
+    inner = PROSE.replace("</h1>", "</h1><div class='body'>") + "</div>"
+    assert extract(f"<body><article>{inner}{comments}</article></body>") == PLAIN
+    two = PROSE.replace("<h1>", "<section class='first'><h1>").replace("</p><p>", "</p></section><section class='second'><p>") + "</section>"
+    assert extract(f"<body><article>{two}{comments}</article></body>") == PLAIN
+    assert extract(f"<body><div class='story'>{two}{comments}</div><footer>Foot</footer></body>") == PLAIN
+
+
+def test_article_in_many_containers_of_one_kind():
+    parts = "".join(f"<div class='para-{i}'>Part {i} of the article, with some words.</div>" for i in range(8))
+    assert extract(f"<body><div class='menu'>Menu</div><div class='story'>{parts}</div></body>").count("\n") == 7
+
+
+@pytest.mark.parametrize("tag", ["<div class='level'>", "<span>", "<section><b>", "<p><i>"])
+def test_depth_costs_nothing_special(tag):
+    import time
+
+    page = tag * 100_000 + "deep text" + "<div></div>" * 20_000 + "<hr>" * 20_000
+    start = time.process_time()
+    assert extract(page) == "deep text"
+    assert time.process_time() - start < 12
+
+
+def test_votes_that_tie_and_very_long_pages(spark):
+    long = f"<body><div class='a'><p>{'word ' * 200_000}</p></div></body>"
+    rows = [(1, "http://h.x/", long), (2, "http://t.x/1", f"<div class='a'>{PROSE}</div>"), (3, "http://t.x/2", f"<div class='b'>{PROSE}</div>")]
+    pages = spark.createDataFrame(rows, "page_id LONG, url STRING, html STRING")
+    found = {r["page_id"]: r for r in main_text(pages).collect()}
+    assert found[1]["n_chars"] == 5 * 200_000 - 1
+    assert found[2]["path"] == found[3]["path"] == ">div.b" and found[2]["text"] == found[3]["text"] == PLAIN

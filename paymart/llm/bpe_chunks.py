@@ -11,7 +11,8 @@ text. A chunk's first and last words are encoded again by themselves until
 these ids equal the ones the chunk has there: what lies between is then settled
 by the chunk alone. The words at a join, end of one chunk and begin of the next,
 are encoded as one. This holds for tokenizers that never join or look across
-white space, which ``check_tokenizer`` asks of a tokenizer file.
+white space, which ``check_tokenizer`` asks of a tokenizer file; the same lets
+the tokenizer see each distinct word of a block only once.
 """
 
 from __future__ import annotations
@@ -19,21 +20,25 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paymart.llm.known_words import KnownWords
+from paymart.llm.shared import staged
 from paymart.llm.words import mix
 
 BLOCK_BYTES = 8 << 20  # text of a block; raise it with the input, as memory allows
-ENCODE_BYTES = 256 << 10  # text given to the tokenizer at once
-SHORTEST, LONGEST = 128, 4096  # bytes of a chunk
-CUT_BITS = 9  # one place in 512 is a cut
+MOST_WORDS = 300_000  # that a task remembers; then it begins anew, with the same results
+SHORTEST, LONGEST = 256, 8192  # bytes of a chunk
+CUT_BITS = 10  # one place in 1024 is a cut
 
 _GEAR = (mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 _SPACE = " \t\n\v\f\r"
@@ -78,8 +83,11 @@ def chunks_of(text: str) -> list[bytes]:
     return [raw[i:j] for i, j in zip([0, *ends], ends)]
 
 
+KEY_BYTES = 16
+
+
 def digest(chunk: bytes) -> bytes:
-    return hashlib.blake2b(chunk, digest_size=16).digest()
+    return hashlib.blake2b(chunk, digest_size=KEY_BYTES).digest()
 
 
 class UnsuitableTokenizer(ValueError):
@@ -131,28 +139,24 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
 
+        self.tokens = [self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size())]
+        self.forget()
+
+    def forget(self) -> None:
+        self.known = KnownWords(self._encode_words)
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text by itself."""
-        out: list[np.ndarray] = []
-        for some in _portions(texts):
-            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            out += [np.array(e.ids, np.int32) for e in found]
-        return out
-
-    def decode(self, ids: list[np.ndarray]) -> list[str]:
-        return self.tokenizer.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)
+        return self.known.ids_of(pc.ascii_split_whitespace(pa.array(texts, pa.large_string())))[0]
 
+    def _encode_words(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-def _portions(texts: list[str]) -> Iterator[list[str]]:
-    some, size = [], 0
-    for text in texts:
-        some.append(text)
-        size += len(text) + 16
-        if size >= ENCODE_BYTES:
-            yield some
-            some, size = [], 0
-    if some:
-        yield some
+    def decode(self, ids: list[np.ndarray]) -> list[str]:
+        """Texts of the ids, special tokens included; a tokenizer without a decoder puts blanks between tokens."""
+        if self.tokenizer.decoder is not None:
+            return self.tokenizer.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)
+        return [" ".join([self.tokens[i] for i in x.tolist()]) for x in ids]
 
 
 @dataclass
@@ -172,18 +176,30 @@ class Chunk:
     n_tail: int = 0
 
 
-def _spaces(text: str) -> list[int]:
-    return [i for i, c in enumerate(text) if c in _SPACE]
+_SPACES = re.compile(f"[{_SPACE}]")
+_LAST_SPACE = re.compile(f".*([{_SPACE}])", re.DOTALL)
+
+
+def _space_after(text: str, at: int) -> int:
+    """The first white space from a place on; -1 where there is none."""
+    found = _SPACES.search(text, at)
+    return found.start() if found else -1
+
+
+def _space_before(text: str, end: int) -> int:
+    """The last white space before a place; -1 where there is none."""
+    found = _LAST_SPACE.match(text, 0, max(0, end))
+    return found.start(1) if found else -1
 
 
 def settle(chunks: list[Chunk], encoder: Encoder) -> None:
     """Finds head and tail of each chunk by encoding them again, further in until they agree."""
-    spaces = [_spaces(c.text) for c in chunks]
-    heads, tails = [0] * len(chunks), [-1] * len(chunks)
-    open_ = [i for i in range(len(chunks)) if spaces[i]]
+    heads = [_space_after(c.text, 0) for c in chunks]
+    tails = [_space_before(c.text, len(c.text)) for c in chunks]
+    open_ = [i for i in range(len(chunks)) if heads[i] >= 0]
     while open_:
-        pieces = [chunks[i].text[: spaces[i][heads[i]]] for i in open_]
-        pieces += [chunks[i].text[spaces[i][tails[i]] :] for i in open_]
+        pieces = [chunks[i].text[: heads[i]] for i in open_]
+        pieces += [chunks[i].text[tails[i] :] for i in open_]
         ids = encoder.encode(pieces)
         again = []
         for at, i in enumerate(open_):
@@ -194,9 +210,11 @@ def settle(chunks: list[Chunk], encoder: Encoder) -> None:
                 chunks[i].head, chunks[i].n_head = pieces[at], len(head)
                 chunks[i].tail, chunks[i].n_tail = pieces[at + len(open_)], len(tail)
                 continue
-            heads[i] += not head_agrees
-            tails[i] -= not tail_agrees
-            if heads[i] - tails[i] <= len(spaces[i]):  # the two have not met
+            if not head_agrees:
+                heads[i] = _space_after(chunks[i].text, heads[i] + 1)
+            if not tail_agrees:
+                tails[i] = _space_before(chunks[i].text, tails[i])
+            if 0 <= heads[i] <= tails[i]:  # the two have not met
                 again.append(i)
         open_ = again
 
@@ -236,52 +254,91 @@ def _docs(docs: DataFrame, block_bytes: int) -> DataFrame:
     return docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-size // block_bytes)))).alias("block"), "doc_id", "text")
 
 
+def _cut(batch: pa.RecordBatch) -> Iterator[tuple[int, int | None, bytes, list[int], bytes]]:
+    """Block, id, text, ends of its chunks and their digests, one after the other, of each row."""
+    texts = batch["text"].cast(pa.binary()).to_pylist()
+    for block, i, raw in zip(batch["block"].to_pylist(), batch["doc_id"].to_pylist(), texts):
+        ends = chunk_ends(raw) if raw else []
+        yield block, i, raw, ends, b"".join([digest(raw[a:b]) for a, b in zip([0, *ends], ends)])
+
+
+def _keys(joined: bytes) -> list[bytes]:
+    return [joined[i : i + KEY_BYTES] for i in range(0, len(joined), KEY_BYTES)]
+
+
 def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, block) of each chunk, once per batch."""
     for batch in batches:
-        pairs = {
-            (digest(c), block) for block, text in zip(batch["block"].to_pylist(), batch["text"]) for c in chunks_of(text.as_py())
-        }
+        pairs = {(key, block) for block, _, _, _, joined in _cut(batch) for key in _keys(joined)}
         keys, blocks = zip(*pairs) if pairs else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(blocks, pa.int64())], ["key", "block"])
 
 
+PACK = pa.schema(
+    [("doc_id", pa.int64()), ("text", pa.binary()), ("ends", pa.list_(pa.int64())), ("keys", pa.binary()), ("times", pa.int64())]
+)
+
+
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of a batch, equal ones counted, as one compressed table per block."""
-    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("times", pa.int64())])
+    """The rows of a batch with their chunks, equal rows counted, as one compressed table per block."""
     for batch in batches:
         by_block: dict[int, dict] = {}
-        for block, i, text in zip(*(batch[c].to_pylist() for c in ("block", "doc_id", "text"))):
-            rows = by_block.setdefault(block, {})
-            rows[i, text] = rows.get((i, text), 0) + 1
+        for block, i, raw, ends, joined in _cut(batch):
+            row = by_block.setdefault(block, {}).setdefault((i, raw), [ends, joined, 0])
+            row[2] += 1
         blobs = []
         for rows in by_block.values():
-            (ids, texts), times = zip(*rows), list(rows.values())
+            columns = [[i for i, _ in rows], [raw for _, raw in rows], *zip(*rows.values())]
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, schema) as writer:
-                writer.write_table(pa.table([ids, texts, times], schema=schema))
-            blobs.append(zstandard.ZstdCompressor(level=1).compress(sink.getvalue()))
+            with pa.ipc.new_stream(sink, PACK) as writer:
+                writer.write_table(pa.table(dict(zip(PACK.names, columns)), schema=PACK))
+            blobs.append(zstandard.ZstdCompressor(level=3).compress(sink.getvalue()))
         yield pa.RecordBatch.from_arrays([pa.array(list(by_block), pa.int64()), pa.array(blobs, pa.binary())], ["block", "blob"])
 
 
-def _unpacked(packs: pa.Table) -> Iterator[tuple[list, list, list]]:
-    for blob in packs["blob"]:
-        rows = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(blob.as_py())).read_all()
-        yield tuple(rows[c].to_pylist() for c in ("doc_id", "text", "times"))
+def _unpacked(packs: pa.Table) -> tuple[list, list[list[tuple[bytes, bytes]]], list]:
+    """Ids, chunks as (key, text), and counts of the rows of a block."""
+    tables = [pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(blob.as_py())).read_all() for blob in packs["blob"]]
+    rows = pa.concat_tables(tables)
+    columns = [rows[c].to_pylist() for c in ("text", "ends", "keys")]
+    chunks = [[(key, raw[a:b]) for key, a, b in zip(_keys(joined), [0, *ends], ends)] for raw, ends, joined in zip(*columns)]
+    return rows["doc_id"].to_pylist(), chunks, rows["times"].to_pylist()
+
+
+def _small(ids: np.ndarray) -> bytes:
+    """Ids in two bytes each where that holds them, compressed."""
+    width = np.uint16 if ids.max(initial=0) < 1 << 16 else np.uint32
+    return bytes([width().itemsize]) + zstandard.ZstdCompressor(level=3).compress(ids.astype(width).tobytes())
+
+
+def _large(blob: bytes) -> np.ndarray:
+    raw = zstandard.ZstdDecompressor().decompress(blob[1:])
+    return np.frombuffer(raw, np.uint16 if blob[0] == 2 else np.uint32).astype(np.int32)
+
+
+class _Task:
+    """One encoder for all groups of a task; it begins anew when it knows very many words."""
+
+    def __init__(self, path: str):
+        self.path, self.kept = path, None
+
+    def encoder(self) -> Encoder:
+        if self.kept is None:
+            self.kept = Encoder(self.path)
+        elif len(self.kept.known.number) > MOST_WORDS:
+            self.kept.forget()
+        return self.kept
 
 
 def _encode_owned(path: str):
     """Ids of the chunks that a block encodes for others."""
+    task = _Task(path)
 
     def run(packs: pa.Table, owned: pa.Table) -> pa.Table:
         wanted, found = set(owned["key"].to_pylist()) if owned.num_rows else set(), {}
-        for _, texts, _ in _unpacked(packs) if wanted else ():
-            for text in texts:
-                for c in chunks_of(text):
-                    if (key := digest(c)) in wanted:
-                        found[key] = c.decode()
-        ids = Encoder(path).encode(list(found.values())) if found else []
-        blobs = [zstandard.ZstdCompressor(level=1).compress(x.tobytes()) for x in ids]
+        if wanted and packs.num_rows:
+            found = {key: c for chunks in _unpacked(packs)[1] for key, c in chunks if key in wanted}
+        blobs = [_small(x) for x in task.encoder().encode([c.decode() for c in found.values()])] if found else []
         return pa.table({"key": pa.array(list(found), pa.binary()), "ids": pa.array(blobs, pa.binary())})
 
     return run
@@ -289,35 +346,28 @@ def _encode_owned(path: str):
 
 def _encode_blocks(path: str):
     """Ids and decoded text of the documents of a block, given the shared chunks' ids."""
+    task = _Task(path)
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
 
     def run(packs: pa.Table, codes: pa.Table) -> pa.Table:
-        schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
         if not packs.num_rows:
             return schema.empty_table()
-        encoder, out = Encoder(path), []
+        encoder = task.encoder()
         sent = dict(zip(codes["key"].to_pylist(), codes["ids"].to_pylist())) if codes.num_rows else {}
-        known: dict[bytes, Chunk] = {}
-        for doc_ids, texts, times in _unpacked(packs):
-            cut = [[(digest(c), c) for c in chunks_of(t)] for t in texts]
-            new = {key: c.decode() for chunks in cut for key, c in chunks if key not in known}
-            here = [key for key in new if key not in sent]
-            ids = dict(zip(here, encoder.encode([new[key] for key in here])))
-            for key in new.keys() - ids.keys():
-                ids[key] = np.frombuffer(zstandard.ZstdDecompressor().decompress(sent[key]), np.int32)
-            fresh = {key: Chunk(text, ids[key]) for key, text in new.items()}
-            joined = {key for chunks in cut if len(chunks) > 1 for key, _ in chunks}
-            settle([c for key, c in fresh.items() if key in joined], encoder)
-            known.update(fresh)
-            # One chunk may be a whole text here and part of a longer one in an earlier pack or the other way round.
-            settle([known[key] for key in joined if known[key].head is None and key not in fresh], encoder)
-            encoded = join_chunks([[known[key] for key, _ in chunks] for chunks in cut], encoder)
-            rows = np.repeat(np.arange(len(texts)), times)
-            lengths = np.array([len(x) for x in encoded])[rows]
-            flat = np.concatenate([encoded[i] for i in rows]) if len(rows) else np.zeros(0, np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), pa.array(flat))
-            decoded = encoder.decode(encoded)
-            out.append(pa.table([pa.array([doc_ids[i] for i in rows], pa.int64()), lists, pa.array([decoded[i] for i in rows], pa.string())], schema=schema))
-        return pa.concat_tables(out)
+        doc_ids, cut, times = _unpacked(packs)
+        new = {key: c.decode() for key, c in {key: c for chunks in cut for key, c in chunks}.items()}
+        here = [key for key in new if key not in sent]
+        ids = dict(zip(here, encoder.encode([new[key] for key in here])))
+        known = {key: Chunk(text, ids[key] if key in ids else _large(sent[key])) for key, text in new.items()}
+        settle([known[key] for key in dict.fromkeys(key for chunks in cut if len(chunks) > 1 for key, _ in chunks)], encoder)
+        found = join_chunks([[known[key] for key, _ in chunks] for chunks in cut], encoder)
+        decoded = encoder.decode(found)
+        rows = [i for i, n in enumerate(times) for _ in range(n)]
+        ends = np.cumsum([0, *(len(found[i]) for i in rows)])
+        flat = np.concatenate([np.zeros(0, np.int32), *(found[i] for i in rows)])
+        lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
+        columns = [pa.array([doc_ids[i] for i in rows], pa.int64()), lists, pa.array([decoded[i] for i in rows], pa.string())]
+        return pa.table(columns, schema=schema)
 
     return run
 
@@ -340,12 +390,12 @@ def encoded(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataF
     check_tokenizer(path)
     placed = _docs(docs, block_bytes)
     packs = placed.mapInArrow(_packed, "block LONG, blob BINARY")
-    asked = placed.mapInArrow(_asked, "key BINARY, block LONG")
-    keys = asked.groupBy("key").agg(F.min("block").alias("owner"), F.max("block").alias("last"))
-    shared = keys.where("owner < last").select("key", "owner")
+    asked = staged(placed.mapInArrow(_asked, "key BINARY, block LONG").distinct(), "chunk-keys")
+    keys = asked.groupBy("key").agg(F.min("block").alias("owner"), F.count("block").alias("holders"))
+    shared = keys.where("holders > 1").select("key", "owner")
     owned = shared.select(F.col("key"), F.col("owner").alias("of_block"))
     codes = packs.groupBy("block").cogroup(owned.groupBy("of_block")).applyInArrow(_encode_owned(path), "key BINARY, ids BINARY")
-    asks = asked.select(F.col("key").alias("asked_key"), F.col("block").alias("to_block")).distinct()
+    asks = asked.select(F.col("key").alias("asked_key"), F.col("block").alias("to_block"))
     sent = codes.join(asks, F.col("key") == F.col("asked_key")).select("to_block", "key", "ids")
     return packs.groupBy("block").cogroup(sent.groupBy("to_block")).applyInArrow(
         _encode_blocks(path), "doc_id LONG, ids ARRAY<INT>, decoded STRING"

@@ -3,6 +3,12 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 each to the shared folder and reads it again for the next one. All stages but
 the last return the columns of ``documents``.
+
+Every stage takes rows with nulls in any column, empty and very long texts,
+rows that repeat or share an id, further columns of any name, and empty tables
+(with the columns of ``documents``; an empty table of labels rejects nothing, an
+empty benchmark drops nothing). What each does with them is said at the functions
+it calls; in short: rows go by id and text, a null text is an empty one.
 """
 
 from __future__ import annotations

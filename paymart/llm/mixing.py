@@ -97,20 +97,36 @@ def mix_sources(
 ) -> DataFrame:
     """One row per row of ``docs`` (doc_id, source and what ``size`` and ``keep`` need).
 
-    doc_id, source, size, source_size, target, epochs (whole passes over the
-    source), taken (words the mix takes, repeats counted). The taken words of a
-    source add up to its target, rounded down. Null ids, sources and sizes are
-    allowed: a null source is a source, a null size is 0. Repeated rows each
-    count; the order of rows that share id and size does not matter. An empty
-    table gives no rows.
+    doc_id, source, the columns ``keep``, size, source_size, target, epochs (whole
+    passes over the source), taken (words the mix takes, repeats counted). The
+    taken words of a source add up to its target, rounded down.
+
+    - A null source is a source, a null size (a null text) is 0. Rows without an
+      id get a key of their size and kept columns.
+    - Repeated rows each count. Rows that tie in key, id and size are
+      interchangeable: what they take together is the same.
+    - Texts of any length are counted whole. An empty table gives no rows.
+    - A kept column with a name of the result, such as size or taken, gets an
+      underscore before it; other columns are not read, whatever their names.
     """
+    own = {"doc_id", "source", "size", "source_size", "target", "epochs", "taken"}
+    names, taken_names = [], {*own, *(c for c in keep if c not in own)}
+    for c in keep:
+        name = c
+        while name in own or (name != c and name in taken_names):
+            name = f"_{name}"
+        taken_names.add(name)
+        names.append(name)
+    kept = F.struct(F.lit(0).alias("nothing"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)])
+    whole = F.coalesce(size, F.lit(0)).cast("long")
+    without_id = F.xxhash64(F.col("source").cast("string"), whole, *[F.col(f"`{c}`").cast("string") for c in keep]).cast("string")
     sized = staged(
         docs.select(
             "doc_id",
             "source",
-            *keep,
-            F.coalesce(size, F.lit(0)).cast("long").alias("size"),
-            random_key(F.col("doc_id"), seed).alias("key"),
+            kept.alias("kept"),
+            whole.alias("size"),
+            random_key(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("none "), without_id)), seed).alias("key"),
         ),
         "sized",
     )
@@ -158,7 +174,7 @@ def mix_sources(
         .select(
             "doc_id",
             "source",
-            *keep,
+            *[F.col(f"kept.c{i}").alias(name) for i, name in enumerate(names)],
             "size",
             "source_size",
             "target",

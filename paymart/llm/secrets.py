@@ -18,7 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paymart.llm.shared import broadcast_if_small, staged
+from paymart.llm.shared import broadcast_if_small, free_names, staged
 
 KEYWORD = r"(?:token|secret|passw(?:or)?d|passwd|passphrase|pwd|credentials?|bearer|(?:api|access|auth|private|secret|signing|encryption)[_-]?key)"
 ASSIGNED = rf"(?i:{KEYWORD}\w*[\"']?\s{{0,3}}(?:=>|:=|=|:)\s{{0,3}}[\"']?)"
@@ -32,7 +32,8 @@ PEM = (
 CANDIDATE = (
     rf"{PEM}"
     rf"|{ASSIGNED}(?!-----BEGIN )[^\s\"'<>]{{6,}}+"
-    r"|(?=[A-Za-z+/_-]{0,256}[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}"
+    # a run of any length with a digit in it, from its begin on: what another candidate ends at, or no such letter stands before
+    r"|(?:\G|(?<![A-Za-z0-9+/_-]))(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}"
 )
 PLACEHOLDER = r"(?i)example|sample|dummy|fake|placeholder|change_?me|your[_-]|x{6,}|\*{6,}|1234567890"  # in a value
 # beside it, and not as part of an address such as name@example.com
@@ -51,20 +52,26 @@ FEATURES = [
 
 
 def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
-    """(doc_id, path, start, value, lead, tail): ``start`` counts code points, lead and tail are what stands beside."""
+    """(doc_id, text_hash, path, start, value, lead, tail, opening): ``start`` counts code points, lead and tail are what stands beside."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(path).cast("string").alias("path"), text.alias("text"))
+    found = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64(F.col("text").cast("string")).alias("text_hash"),
+        F.col(path).cast("string").alias("path"),
+        text.alias("text"),
+    )
     found = found.withColumn("hits", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))).where(F.size("hits") > 0)
     gaps = F.split("text", CANDIDATE, -1)
-    found = found.select("doc_id", "path", "hits", gaps.alias("gaps"))
+    found = found.select("doc_id", "text_hash", "path", "hits", gaps.alias("gaps"))
     lengths = F.zip_with("gaps", "hits", lambda g, h: F.length(g) + F.coalesce(F.length(h), F.lit(0)))
     found = found.withColumn("lengths", lengths)
-    found = found.select("doc_id", "path", "gaps", "lengths", F.posexplode("hits").alias("i", "hit"))
+    found = found.select("doc_id", "text_hash", "path", "gaps", "lengths", F.posexplode("hits").alias("i", "hit"))
     before = F.aggregate(F.slice("lengths", F.lit(1), F.col("i")), F.lit(0), lambda total, n: total + n)
     gap, after = F.element_at("gaps", F.col("i") + 1), F.element_at("gaps", F.col("i") + 2)
     opening = F.regexp_extract("hit", rf"^(?:{ASSIGNED})?", 0)
     found = found.select(
         "doc_id",
+        "text_hash",
         "path",
         (before + F.length(gap) + F.length(opening)).alias("start"),
         F.substring("hit", F.length(opening) + 1, F.length("hit")).alias("value"),
@@ -180,7 +187,7 @@ def _plain_features(found: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, path: str = "source", training_rows: int = TRAINING_ROWS) -> DataFrame:
-    """One row per candidate: doc_id, start, length, value, probability, is_secret.
+    """One row per candidate: doc_id, text_hash, start, length, value, probability, is_secret.
 
     ``docs`` has doc_id, text and the column ``path``. ``labelled`` has doc_id,
     start and is_secret (boolean) of known findings; without it, or where it
@@ -191,7 +198,11 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, path: str = "source
 
     Null and empty texts have no candidates; a null path has no features. Rows
     with null or repeated ids are rows like others (equal rows give equal
-    findings). Extra columns are not read. An empty table gives no rows.
+    findings, which tie and are judged alike). Texts and runs of any length are
+    searched whole; of a private key without an end mark at most eight header lines
+    of 256 characters, and with one at most 64 dashes that end nothing, belong to
+    it. Extra columns are not read, whatever their names. An empty table gives no
+    rows. text_hash tells rows that share an id apart.
     """
     found = staged(candidates(docs, path), "candidates")
     coverage = staged(dictionary_coverage(found, docs), "coverage")
@@ -207,7 +218,7 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, path: str = "source
     half = [found.where(F.col("label") == kind).orderBy(order, "doc_id", "start").limit(training_rows // 2) for kind in (0.0, 1.0)]
     training = staged(half[0].unionByName(half[1]).repartition(1), "training")
     kinds = {r["label"] for r in training.select("label").distinct().collect()}
-    out = F.col("doc_id"), F.col("start"), F.length("value").alias("length"), F.col("value")
+    out = F.col("doc_id"), F.col("text_hash"), F.col("start"), F.length("value").alias("length"), F.col("value")
     if len(kinds) < 2:
         probability = F.coalesce("label", F.lit(0.0))
         return found.select(*out, probability.alias("probability"), (probability >= DECISION).alias("is_secret"))
@@ -229,31 +240,39 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, path: str = "source
     chance = vector_to_array("probability")[1]
     probability = F.when(F.col("value").startswith("-----BEGIN"), F.coalesce("label", F.lit(1.0))).otherwise(chance)  # its mark says it all
     return judged.select(*out, probability.alias("chance")).select(
-        "doc_id", "start", "length", "value", F.col("chance").alias("probability"), (F.col("chance") >= DECISION).alias("is_secret")
+        "doc_id", "text_hash", "start", "length", "value", F.col("chance").alias("probability"), (F.col("chance") >= DECISION).alias("is_secret")
     )
 
 
 def masked(docs: DataFrame, findings: DataFrame, mask: str = MASK) -> DataFrame:
     """``docs`` with every secret value in a document replaced; all rows and columns stay.
 
-    n_chars, where there is such a column, follows the text.
+    Of values that begin or hold one another the longest is replaced first, so
+    no rest of it stays. n_chars, where there is such a column, follows the text.
+
+    - Findings belong to rows of the same id (null included) and the same text, so of
+      rows that share an id each is masked by its own. Repeated rows are masked alike.
+    - A null or empty text stays, and so does a text of any length without findings.
+    - Columns of any name stay as they are. Empty tables give no rows.
     """
-    secrets = findings.where("is_secret").groupBy(F.col("doc_id").alias("in_doc")).agg(
-        F.array_sort(F.collect_set("value")).alias("found_secrets")
+    id_name, hash_name, values_name, masked_name = free_names(docs, "in_doc", "in_text", "found_secrets", "masked_text")
+    secrets = findings.where("is_secret").groupBy("doc_id", "text_hash").agg(F.collect_set("value").alias("values"))
+    longest_first = F.transform(
+        F.array_sort(F.transform("values", lambda v: F.struct((-F.length(v)).alias("n"), v.alias("v")))), lambda x: x["v"]
     )
-    secrets = broadcast_if_small(staged(secrets, "secrets"), row_bytes=256)
-    joined = docs.join(secrets, F.col("doc_id").cast("long").eqNullSafe(F.col("in_doc")), "left")
-    text = F.when(
-        F.col("found_secrets").isNotNull(),
-        F.aggregate("found_secrets", F.col("text"), lambda text, value: F.replace(text, value, F.lit(mask))),
-    ).otherwise(F.col("text"))
+    secrets = staged(secrets.select("doc_id", "text_hash", longest_first.alias("values")), "secrets")
+    size = F.aggregate(values_name, F.lit(0).cast("long"), lambda n, v: n + F.octet_length(v) + 16)
+    secrets = broadcast_if_small(secrets.toDF(id_name, hash_name, values_name), row_bytes=32, extra=size)
+    own = F.col("doc_id").cast("long").eqNullSafe(F.col(id_name)) & (F.xxhash64(F.col("text").cast("string")) == F.col(hash_name))
+    joined = docs.join(secrets, own, "left")
+    text = F.aggregate(values_name, F.col("text").cast("string"), lambda text, value: F.replace(text, value, F.lit(mask)))
+    joined = joined.withColumn(masked_name, F.when(F.col(values_name).isNotNull(), text))
     columns = []
     for c in docs.columns:
+        kept = F.col(f"`{c}`")
         if c == "text":
-            columns.append(text.alias("text"))
+            kept = F.coalesce(masked_name, F.col("text"))
         elif c == "n_chars":
-            kept = F.when(F.col("found_secrets").isNotNull(), F.length(text)).otherwise(F.col("n_chars"))
-            columns.append(kept.cast(docs.schema["n_chars"].dataType).alias("n_chars"))
-        else:
-            columns.append(docs[c])
+            kept = F.coalesce(F.length(masked_name), F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+        columns.append(kept.alias(c))
     return joined.select(*columns)

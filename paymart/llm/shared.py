@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paymart.session import scratch_path
@@ -24,9 +24,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def broadcast_if_small(df: DataFrame, row_bytes: int, max_bytes: int = 64 << 20) -> DataFrame:
-    """``df`` with a broadcast hint if it is counted to be small; else a join shuffles it."""
-    return F.broadcast(df) if df.count() * row_bytes <= max_bytes else df
+def broadcast_if_small(df: DataFrame, row_bytes: int, max_bytes: int = 64 << 20, extra: Column | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if it is counted to be small; else a join shuffles it.
+
+    ``row_bytes`` is what a row takes at most; ``extra`` adds the bytes of columns
+    without such a bound, measured row by row.
+    """
+    size = F.count(F.lit(1)) * F.lit(row_bytes)
+    if extra is not None:
+        size = size + F.coalesce(F.sum(extra), F.lit(0))
+    return F.broadcast(df) if df.agg(size.alias("size")).first()["size"] <= max_bytes else df
 
 
 def free_names(df: DataFrame, *wanted: str) -> list[str]:

@@ -39,6 +39,24 @@ def test_words_end_at_six_bytes_only(spark):
 
 
 def test_other_columns_come_along(docs):
-    df = docs((1, "a b", "s")).drop("size")
-    found = mixed(df, keep=("text", "lang", "n_chars"))
+    found = mixed(docs((1, "a b", "s")), keep=("text", "lang", "n_chars"))
     assert found[0]["text"] == "a b" and found[0]["taken"] == 3
+
+
+def test_clashing_columns_come_along_under_another_name(docs):
+    df = docs((1, "a b", "s"), (2, None, None), (None, "x", "s")).selectExpr(
+        "*", "'k' AS key", "'t' AS taken", "'f' AS fine", "'c' AS coarse", "'u' AS _taken", "'d' AS `a.b`", "'kept' AS kept", "1 AS target"
+    )
+    keep = tuple(c for c in df.columns if c not in ("doc_id", "source"))
+    found = {r["doc_id"]: r.asDict() for r in mixed(df, keep=keep)}
+    assert found[1]["size"] == 2 and 2 <= found[1]["taken"] <= 4 and found[1]["_size"] == 1
+    assert (found[1]["key"], found[1]["__taken"], found[1]["_taken"], found[1]["a.b"], found[1]["_target"]) == ("k", "t", "u", "d", 1)
+    assert found[None]["text"] == "x" and found[2]["size"] == 0
+    assert sum(r["taken"] for r in found.values()) == int(next(r["target"] for r in found.values() if r["source"] == "s"))
+
+
+def test_rows_without_an_id_spread_over_the_keys(docs):
+    found = docs(*[(None, f"text {i} " * (i % 5 + 1), "a") for i in range(300)])
+    taken = mixed(found, keep=("text",), weights=(1,), share=0.5, rows_per_range=16)
+    assert sum(r["taken"] for r in taken) == sum(r["size"] for r in taken) // 2
+    assert len({bool(r["taken"]) for r in taken}) == 2

@@ -87,3 +87,66 @@ def test_no_line_of_a_private_key_survives_masking(docs):
     texts = {r["doc_id"]: r["text"] for r in secrets.masked(df, secrets.scan(df)).collect() if r["doc_id"] >= 1000}
     assert not [line for line in lines for t in texts.values() if line in t]
     assert all(t.startswith("before it") and t.endswith("after it all") and secrets.MASK in t for t in texts.values())
+
+
+def found_in(spark, *rows):
+    """Findings that are all secrets, as (doc_id, text, value) says."""
+    df = spark.createDataFrame(rows, "doc_id LONG, text STRING, value STRING")
+    return df.select("doc_id", F.xxhash64("text").alias("text_hash"), "value", F.lit(True).alias("is_secret"))
+
+
+def test_longest_values_are_masked_first(spark, docs):
+    text = "a ab12cd34ef56gh78 and ab12cd34ef56gh78ZZ99yy88 and x-ab12cd34ef56gh78ZZ"
+    values = ["ab12cd34ef56gh78", "ab12cd34ef56gh78ZZ99yy88", "x-ab12cd34ef56gh78ZZ"]
+    masked = secrets.masked(docs((1, text)), found_in(spark, *[(1, text, v) for v in values])).collect()
+    assert [r["text"] for r in masked] == ["a [SECRET] and [SECRET] and [SECRET]"]
+
+
+def test_rows_that_share_an_id_are_masked_by_their_own_findings(spark, docs):
+    rows = [(1, "key one-1"), (1, "key two-2 one-1"), (None, "key three-3"), (None, None), (None, "key three-3"), (2, "")]
+    found = found_in(spark, (1, "key one-1", "one-1"), (1, "key two-2 one-1", "two-2"), (None, "key three-3", "three-3"))
+    names = ["in_doc", "in_text", "found_secrets", "masked_text", "a.b"]
+    df = docs(*rows).selectExpr("*", *[f"'{n}' AS `{n}`" for n in names])
+    masked = secrets.masked(df, found)
+    assert masked.columns == df.columns
+    assert sorted(str(r["text"]) for r in masked.collect()) == sorted(
+        ["key [SECRET]", "key [SECRET] one-1", "key [SECRET]", "None", "key [SECRET]", ""]
+    )
+    assert all(r[n] == n for r in masked.collect() for n in names)
+
+
+def test_candidates_against_plain_regular_expressions(spark, docs):
+    """Runs with a digit, wherever it stands, and assigned values: found again by other patterns."""
+    import re
+
+    pick = random.Random(8)
+    letters = "abcXYZ+/_-"
+    texts = []
+    for i in range(120):
+        run = "".join(pick.choices(letters, k=pick.choice([5, 20, 300, 3000]))) + pick.choice(["", "7", "42x"])
+        texts.append(f"words {run} and {''.join(pick.choices(letters + '0123', k=pick.choice([10, 16, 40])))}, é漢 end")
+    rows = list(enumerate(texts))
+    got = {(r["doc_id"], r["start"], r["value"]) for r in secrets.candidates(docs(*rows)).collect()}
+    want = set()
+    for i, t in rows:
+        for m in re.finditer(r"[A-Za-z0-9+/_-]+", t):
+            if len(m[0]) >= 16 and re.search("[0-9]", m[0]):
+                want.add((i, m.start(), m[0]))
+    assert got == want and any(len(v) > 2000 for *_, v in got)
+
+
+def test_long_runs_take_no_longer_than_their_length(docs):
+    import time
+
+    rows = [(1, "a" * 2_000_000), (2, "ab/" * 500_000 + "1"), (3, "token = '" + "x1" * 300_000 + "'")]
+    start = time.monotonic()
+    found = {r["doc_id"]: r["value"] for r in secrets.candidates(docs(*rows)).collect()}
+    assert set(found) == {2, 3} and len(found[2]) == 1_500_001
+    assert time.monotonic() - start < 60
+
+
+def test_repeated_rows_and_no_rows(docs):
+    row = (5, 'token = "' + hashlib.sha1(b"x").hexdigest() + '"', "a/b")
+    found = secrets.scan(docs(row, row, (None, None), (6, ""))).collect()
+    assert len(found) == 2 and len({(r["start"], r["probability"], r["is_secret"]) for r in found}) == 1
+    assert secrets.scan(docs()).collect() == [] == secrets.masked(docs(), secrets.scan(docs())).collect()

@@ -145,7 +145,9 @@ def load_messages(
         rejects.write.mode("overwrite").parquet(rejects_path)
     newest, seen = scratch_path(spark, "newest"), Observation()
     other_id = F.col("id") != F.col("operation_id")
-    rows = _stored_rows(judged, "id").observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(other_id).alias("n_other"))
+    rows = _stored_rows(judged, "id").observe(
+        seen, F.count(F.lit(1)).alias("n"), F.count_if(other_id).alias("n_other"), F.collect_set(TXN_DAY).alias("days")
+    )
     rows.drop("id").write.parquet(newest)
     if required and not ours.get.get("n"):
         raise EmptyLoadError("the topic has no rows of the type")
@@ -158,7 +160,8 @@ def load_messages(
         n, rows = counted.get.get("n"), spark.read.schema(rows.schema).parquet(single)
     if facts_path:
         transaction_facts(rows).write.mode("overwrite").parquet(facts_path)
-    return [store_operations(rows, path, SENT, n) for path in paths]
+    # Days of messages that another id's replaced may be among them: a day more costs nothing.
+    return [store_operations(rows, path, SENT, n, days=seen.get.get("days")) for path in paths]
 
 
 def ingest_messages(

@@ -1,7 +1,7 @@
 """Where each operation may be stored: an index over all days.
 
 Beside a table of transactions lies a table (operation_id, day), dealt into hash
-ranges of the id, sorted and with Bloom filters on it. A load asks it for the
+ranges of the id and sorted by it. A load asks it for the
 ids that it brings and then reads only the days that can hold them, whatever
 days its own rows have.
 
@@ -23,13 +23,15 @@ from paymart.schemas import TXN_DAY
 from paymart.sinks import files
 
 KEY = "operation_id"
-BUCKETS = 64  # of a new index; more for more executors: a range is one folder
+# Ranges of a new index, each a folder. Make it with ``ensure`` and thousands of them
+# before the first load of a large table: a range is read by one or few tasks.
+BUCKETS = 16
 
 ENTRY = T.StructType(
     [T.StructField(KEY, T.StringType()), T.StructField(TXN_DAY, T.DateType()), T.StructField("bucket", T.IntegerType())]
 )
 
-# Written with every file: readers skip row groups that cannot hold the ids they ask for.
+# Of tables that are not sorted by id: readers skip row groups that cannot hold the ids they ask for.
 BLOOM = {
     f"parquet.bloom.filter.enabled#{KEY}": "true",
     "parquet.bloom.filter.adaptive.enabled": "true",
@@ -54,7 +56,7 @@ def _bucket(n: int) -> Column:
 def _write(entries: DataFrame, folder: str, n: int) -> None:
     rows = entries.select(KEY, TXN_DAY, _bucket(n).alias("bucket"))
     clustered = rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", KEY)
-    clustered.write.partitionBy("bucket").options(**BLOOM).mode("append").parquet(folder)
+    clustered.write.partitionBy("bucket").mode("append").parquet(folder)
 
 
 def ensure(spark: SparkSession, table_path: str, buckets: int = BUCKETS) -> None:

@@ -13,6 +13,7 @@ finds both rows and leaves the last one.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation
@@ -30,12 +31,17 @@ FEW = 1000  # operations of a small load: their ids go to the scans as a list
 
 
 def store_operations(
-    rows: DataFrame, path: str, version: Sequence[T.StructField], n_rows: int, sort_by: Sequence[str] = TXN_SORT
+    rows: DataFrame,
+    path: str,
+    version: Sequence[T.StructField],
+    n_rows: int,
+    sort_by: Sequence[str] = TXN_SORT,
+    days: Sequence[dt.date] | None = None,
 ) -> int:
     """Put rows into the table, each operation once over all days; tells how many were inserted or replaced.
 
     ``rows`` are ``n_rows`` rows with distinct operations and no NULL key or day,
-    read from files (they are used several times). Of an operation's rows, new and
+    read from files (they are used several times); ``days`` are theirs, where known. Of an operation's rows, new and
     stored, the one with the largest ``version`` stays, then the one with the
     largest values: the same whatever the order of loads.
     """
@@ -48,16 +54,16 @@ def store_operations(
     key_index.ensure(spark, path)
     ids = [r[0] for r in rows.select(KEY).collect()] if n_rows <= FEW else None
     entries = key_index.lookup(rows, path, ids)
-    days = [] if entries is None else [r[0] for r in entries.select(TXN_DAY).distinct().collect()]
-    if not days:  # nothing of this load is stored
+    known_days = [] if entries is None else [r[0] for r in entries.select(TXN_DAY).distinct().collect()]
+    if not known_days:  # nothing of this load is stored
+        touched = days or [r[0] for r in rows.select(TXN_DAY).distinct().collect()]
         key_index.add(rows.select(KEY, TXN_DAY), path)
-        touched = [r[0] for r in rows.select(TXN_DAY).distinct().collect()]
         feed.record(spark, path, touched)
         append_by_day(rows, path, TXN_DAY, sort_by, key_index.BLOOM)
         feed.record(spark, path, touched)
         return n_rows
 
-    stored = read_days(spark, path, schema, TXN_DAY, days)
+    stored = read_days(spark, path, schema, TXN_DAY, known_days)
     if ids is not None:
         stored = stored.where(F.col(KEY).isin(ids))
     old = stored.join(rows.select(KEY), KEY, "left_semi").groupBy(KEY).agg(
@@ -83,16 +89,16 @@ def store_operations(
         F.collect_set(TXN_DAY).alias("days"),
         F.array_distinct(F.flatten(F.collect_set("old_days"))).alias("old_days"),
     ).write.parquet(scratch)
-    days, old_days = seen.get.get("days") or [], sorted(seen.get.get("old_days") or [])
-    if not days:
+    new_days, old_days = seen.get.get("days") or [], sorted(seen.get.get("old_days") or [])
+    if not new_days:
         return 0
     changed = spark.read.schema(changed.schema).parquet(scratch)
-    feed.record(spark, path, [*days, *old_days])
+    feed.record(spark, path, [*new_days, *old_days])
     moved_or_new = changed.where(F.col("wins") & ~F.array_contains("old_days", F.col(TXN_DAY)))
     key_index.add(moved_or_new.select(KEY, TXN_DAY), path)
     fresh = changed.select(*schema.fieldNames())
     in_old = F.col(TXN_DAY).isin(old_days)
-    if set(days) - set(old_days):
+    if set(new_days) - set(old_days):
         append_by_day(fresh.where(~in_old), path, TXN_DAY, sort_by, key_index.BLOOM)
     if old_days:
         kept = read_days(spark, path, schema, TXN_DAY, old_days).join(changed.select(KEY), KEY, "left_anti")
@@ -100,5 +106,5 @@ def store_operations(
         left = overwrite_by_day(merged, path, TXN_DAY, sort_by, key_index.BLOOM)
         for day in set(old_days) - left:
             files.delete(spark, f"{path}/{TXN_DAY}={day.isoformat()}")
-    feed.record(spark, path, [*days, *old_days])
+    feed.record(spark, path, [*new_days, *old_days])
     return seen.get.get("n") or 0

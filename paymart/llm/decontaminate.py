@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paymart.llm.shared import filtered_in_arrow
 from paymart.llm.words import PUNCTUATION, Words, fold_latin, hash_words, utf8_column
 
 SEED_WORDS = 3
@@ -308,7 +309,11 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THR
     """The rows of ``docs`` that hold no copy of an item, with all their columns.
 
     Items that chance is expected to bring about are no reason to drop a row;
-    ``benchmark_matches`` reports where they stand.
+    ``benchmark_matches`` reports where they stand. Rows are judged each by its
+    text: repeated ones, and ones that share an id or have none, stay or go by
+    themselves. A null or empty text holds nothing; a text of any length is
+    searched whole. Columns of any name come along. Without items nothing goes;
+    an empty table gives no rows.
     """
     place = docs.columns.index("text")
     clean = docs
@@ -321,5 +326,5 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THR
                 keep[[row[0] for row in find(batch.column(place)) if items.distinctive[row[1]]]] = False
                 yield batch.filter(pa.array(keep))
 
-        clean = clean.mapInArrow(run, docs.schema)
+        clean = filtered_in_arrow(clean, run)
     return clean

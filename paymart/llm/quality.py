@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from paymart.llm.decontaminate import _Lookup as Lookup
 from paymart.llm.decontaminate import plain_words
-from paymart.llm.shared import broadcast_if_small, staged
+from paymart.llm.shared import broadcast_if_small, filtered_in_arrow, staged
 from paymart.llm.words import hash_words, mix, utf8_column
 
 LABELLED_ROWS = 12_000  # most labelled documents that the views are fitted on
@@ -588,7 +588,12 @@ def score_documents(docs: DataFrame, model: CoTrained, least: float | None = Non
 
 
 def kept(docs: DataFrame, model: CoTrained, least: float | None = None) -> DataFrame:
-    """The rows of ``docs`` that ``score_documents`` keeps, with all their columns."""
+    """The rows of ``docs`` that ``score_documents`` keeps, with all their columns, whatever their names.
+
+    Each row is judged by itself, also where rows repeat, share an id or have
+    none; nulls, empty and very long texts as in ``score_documents``. An empty
+    table gives no rows.
+    """
     least = _least(model, least)
     names = docs.columns
     kinds = {"text": pa.string(), "lang": pa.string(), "source": pa.string(), "n_chars": pa.int64()}
@@ -601,4 +606,4 @@ def kept(docs: DataFrame, model: CoTrained, least: float | None = None) -> DataF
             ]
             yield batch.filter(pa.array(score(*columns)[2] >= least))
 
-    return docs.mapInArrow(run, docs.schema)
+    return filtered_in_arrow(docs, run)

@@ -135,6 +135,8 @@ def mix_sources(
     width = (1 << KEY_BITS) // ranges + 1
     sized = sized.withColumn("fine", F.expr(f"key div {width}L"))
     sized = sized.withColumn("coarse", F.expr(f"fine div {FINE}L"))
+    # A source as two columns without nulls: rows sorted by them meet their range without another exchange.
+    sized = sized.withColumns({"no_source": F.col("source").isNull(), "of_source": F.coalesce(F.col("source").cast("string"), F.lit(""))})
 
     sums = sized.groupBy("source", "coarse", "fine").agg(F.sum("size").alias("words"))
     sums = staged(sums, "range-sums")
@@ -153,23 +155,25 @@ def mix_sources(
         .join(coarse, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("coarse") == F.col("c_coarse")))
         .join(targets, F.col("source").eqNullSafe(F.col("t_source")))
         .select(
-            F.col("source").alias("r_source"),
+            F.col("source").isNull().alias("r_no_source"),
+            F.coalesce(F.col("source").cast("string"), F.lit("")).alias("r_of_source"),
             F.col("fine").alias("r_fine"),
             (F.col("before_coarse") + F.col("before_fine")).alias("before_range"),
             "source_size",
             "target",
         )
     )
-    order = Window.partitionBy("source", "fine").orderBy("key", "doc_id", "size")
+    order = Window.partitionBy("no_source", "of_source", "fine").orderBy("key", "doc_id", "size")
     inside = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     budget = F.floor(F.col("target"))
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
     rest = budget - F.col("epochs") * F.col("source_size")
     start = F.col("before_range") + F.col("inside")
     partial = F.least(F.col("size"), F.greatest(F.lit(0).cast("long"), rest - start))
+    same = (F.col("no_source") == F.col("r_no_source")) & (F.col("of_source") == F.col("r_of_source")) & (F.col("fine") == F.col("r_fine"))
     return (
         sized.withColumn("inside", inside)
-        .join(starts, F.col("source").eqNullSafe(F.col("r_source")) & (F.col("fine") == F.col("r_fine")))
+        .join(starts, same)
         .withColumn("epochs", epochs.cast("long"))
         .select(
             "doc_id",

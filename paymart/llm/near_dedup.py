@@ -267,8 +267,7 @@ def _judged(docs: DataFrame, percent: int, shingle: int, miss: float = 1e-7, til
     pairs = in_buckets.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
     pairs = staged(pairs, "star-pairs")
     likely = (
-        pairs.join(sketches.toDF("b", "size_b", "sketch_b"), "b")
-        .join(sketches.toDF("a", "size_a", "sketch_a"), "a")
+        _with_pivots(pairs.join(sketches.toDF("b", "size_b", "sketch_b"), "b"), sketches.toDF("a", "size_a", "sketch_a"))
         .where(100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
         .mapInArrow(_prune(looks), "a long, b long")
     )
@@ -338,11 +337,21 @@ def _confirmed(docs: DataFrame, reps: DataFrame, pairs: DataFrame, shingle: int,
     """The pairs whose full sets reach the threshold."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("rep"))
     sets = _sets_of(docs, reps, needed, shingle)
-    return (
-        pairs.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("set_b")), "b")
-        .join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("set_a")), "a")
-        .mapInArrow(_confirm(percent), "a long, b long")
-    )
+    others = pairs.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("set_b")), "b")
+    pivots = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("set_a"))
+    return _with_pivots(others, pivots).mapInArrow(_confirm(percent), "a long, b long")
+
+
+def _with_pivots(pairs: DataFrame, pivots: DataFrame) -> DataFrame:
+    """``pairs`` (a, b, ...) joined with ``pivots`` on a, the pairs of a pivot dealt over many tasks by b.
+
+    A pivot is sent to the tasks that have pairs of it, and to each once: it may
+    be the pivot of a third of all rows.
+    """
+    slots = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = pairs.withColumn("slot", F.pmod(F.xxhash64("b"), F.lit(slots)).cast("int"))
+    asked = dealt.select("a", "slot").distinct()
+    return dealt.join(asked.join(pivots, "a"), ["a", "slot"]).drop("slot")
 
 
 def _sets_of(docs: DataFrame, reps: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:

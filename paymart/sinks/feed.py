@@ -6,6 +6,9 @@ forgotten, and again when it is done, as a dependant may have read the days in
 between. Whoever recomputes takes the files that are there, reads the days, and
 removes exactly these files at the end. Files that came meanwhile stay, so a
 day is recomputed once too often at worst and never too seldom.
+
+Loads of messages and of rates leave such files. Whoever writes to a table in
+another way calls ``record``, or names the range to recompute.
 """
 
 from __future__ import annotations

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paymart.schemas import TXN_DAY
-from paymart.sinks import files
+from paymart.sinks import compaction, files
 
 KEY = "operation_id"
 # Ranges of a new index, each a folder. Make it with ``ensure`` and thousands of them
@@ -45,8 +45,8 @@ def index_path(table_path: str) -> str:
 
 def _root(spark: SparkSession, table_path: str) -> tuple[str, int] | None:
     """The index's folder and its number of ranges, which the name of the folder tells."""
-    found = files.folders(spark, f"{index_path(table_path)}/of=*")
-    return (found[0], int(found[0].rpartition("=")[2])) if found else None
+    found = [(f, f.rpartition("of=")[2]) for f in files.folders(spark, f"{index_path(table_path)}/of=*")]
+    return next(((folder, int(n)) for folder, n in found if n.isdigit()), None)
 
 
 def _bucket(n: int) -> Column:
@@ -102,3 +102,9 @@ def lookup(rows: DataFrame, table_path: str, ids: list[str] | None = None) -> Da
     if ids is not None:
         entries = entries.where(F.col(KEY).isin(ids))
     return entries.join(rows.select(KEY), KEY, "left_semi")
+
+
+def compact(spark: SparkSession, table_path: str, **options: object) -> int:
+    """Few files per range in place of the one that each load adds; options as of ``compaction.compact``."""
+    folder, _ = _root(spark, table_path)
+    return compaction.compact(spark, folder, ENTRY, "bucket", [KEY], **options)

@@ -98,6 +98,16 @@ def test_other_number_of_ranges(spark, path):
     assert stored(spark, path) == [("a", D2, "done"), ("b", D1, "done")]
 
 
+def test_compacted_index(spark, tmp_path, path):
+    key_index.ensure(spark, path, buckets=2)
+    for i in range(5):
+        load(spark, path, *[(f"{c}{i}", D1, "done", 1) for c in "abcdefgh"])
+    before = len(list((tmp_path / "table.keys").rglob("*.parquet")))
+    assert key_index.compact(spark, path) == before - 2
+    assert load(spark, path, ("a0", D2, "done", 2), ("h4", D1, "done", 1), ("new", D1, "done", 1)) == 2
+    assert len(stored(spark, path)) == 41 and ("a0", D2, "done") in stored(spark, path)
+
+
 def test_messages_of_two_ids_for_one_operation(spark, path):
     from test_messages import envelope, payload
 

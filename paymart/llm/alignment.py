@@ -10,26 +10,36 @@ How many documents hold a pair of ids linked takes the whole corpus. A task
 joins its documents to blocks and sends each distinct pair of a block once, with
 the number of its documents; the answer returns the same way. Of each document
 there travel only places in its block's list of pairs.
+
+Where neither side has tokens across a single blank between two words, which is
+looked up in the vocabularies, texts are cut there and each distinct word of a
+block is encoded once.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from paymart.llm.known_words import KnownWords
 from paymart.llm.shared import staged
 
 BLOCK_BYTES = 4 << 20  # text of a block; one longer text is a block of its own
-ENCODE_BYTES = 256 << 10  # text given to a tokenizer at once
+ALIGN_BYTES = 2 << 20  # text aligned at once
+MOST_WORDS = 600_000  # that a task remembers; then it begins anew, with the same results
 
 
 def byte_of_letter() -> dict[str, int]:
@@ -71,6 +81,12 @@ class ByteLevel:
             known = all(c in letters for c in token)
             tokens[i] = bytes(letters[c] for c in token) if known else token.encode()
         self.bytes = TokenBytes(tokens)
+        with open(path, encoding="utf-8") as file:
+            parts = json.load(file)
+        # Its own pattern cuts before every blank that another character follows, and looks at nothing before.
+        steps = {k: v for k, v in (parts.get("pre_tokenizer") or {}).items() if k != "trim_offsets"}
+        plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        self.cuts_at_blanks = steps == plain and not parts.get("normalizer") and not parts["model"].get("dropout")
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
@@ -92,6 +108,10 @@ class Pieces:
                 for i in ids
             ]
         )
+        # No piece goes on behind a blank that follows another character, and blanks are kept as they are.
+        across = re.compile("[^▁]▁")
+        kept = "a b  c" == self.bytes.spell(self.model.encode("a b  c")).decode()[1:]
+        self.cuts_at_blanks = kept and not any(across.search(self.model.id_to_piece(i)) for i in ids)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
@@ -119,23 +139,50 @@ class Aligned:
         return np.bincount(doc, minlength=self.n)
 
 
-def _flat(lists: list[list[int]]) -> np.ndarray:
-    parts = [np.array(x, np.int64) for x in lists if x]
-    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+NONE = np.zeros(0, np.int64)
+
+
+# White space as Python's patterns know it; beside a blank or an end of the text it asks for a closer look.
+_WHITE = r"[\t\n\v\f\r \x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_ODD = rf"{_WHITE} | {_WHITE}|^{_WHITE}|{_WHITE}$"
+_BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
+
+
+class Sides:
+    """Both tokenizers, and the words that they have encoded so far."""
 
+    def __init__(self, a_path: str, b_path: str):
+        self.a, self.b = ByteLevel(a_path), Pieces(b_path)
+        self.by_word = self.a.cuts_at_blanks and self.b.cuts_at_blanks
+        self.forget()
 
-def align(texts: list[str | None], a: ByteLevel, b: Pieces) -> Aligned:
+    def forget(self) -> None:
+        self.known = KnownWords(self.a.encode, self.b.encode)
+
+    def __call__(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of A and B of each text."""
+        if len(self.known.number) > MOST_WORDS:
+            self.forget()
+        if self.by_word:
+            odd = pc.match_substring_regex(pa.array(texts, pa.large_string()), _ODD).to_pylist()
+            split = [_BETWEEN_WORDS.split(t) if o else t.split(" ") for t, o in zip(texts, odd)]
+        else:
+            split = [[t] for t in texts]
+        return tuple(self.known.ids_of(pa.array(split, pa.list_(pa.string()))))
+
+
+def align(texts: list[str | None], sides: Sides) -> Aligned:
     """All texts; one that is null, empty or not spelt alike by both sides has no tokens."""
-    a_lists, b_lists = [[] for _ in texts], [[] for _ in texts]
-    for some in _portions(texts):
-        part = [texts[i] for i in some]
-        for i, text, x, y in zip(some, part, a.encode(part), b.encode(part)):
-            spelt = b" " + text.encode()
-            if a.bytes.spell(x) == spelt and b.bytes.spell(y) == spelt:
-                a_lists[i], b_lists[i] = x, y
+    a_lists, b_lists = [NONE for _ in texts], [NONE for _ in texts]
+    some = [i for i, text in enumerate(texts) if text]
+    for i, x, y in zip(some, *sides([texts[i] for i in some])):
+        spelt = b" " + texts[i].encode()
+        if sides.a.bytes.spell(x.tolist()) == spelt and sides.b.bytes.spell(y.tolist()) == spelt:
+            a_lists[i], b_lists[i] = x, y
+    a, b = sides.a, sides.b
     numbers = np.arange(len(texts))
-    a_ids, a_doc = _flat(a_lists), np.repeat(numbers, [len(x) for x in a_lists])
-    b_ids, b_doc = _flat(b_lists), np.repeat(numbers, [len(x) for x in b_lists])
+    a_ids, a_doc = np.concatenate([NONE, *a_lists]), np.repeat(numbers, [len(x) for x in a_lists])
+    b_ids, b_doc = np.concatenate([NONE, *b_lists]), np.repeat(numbers, [len(x) for x in b_lists])
     # Both sides spell the same bytes, so the running sums are places in the same text.
     a_end, b_end = np.cumsum(a.bytes.lengths[a_ids]), np.cumsum(b.bytes.lengths[b_ids])
     a_start, b_start = a_end - a.bytes.lengths[a_ids], b_end - b.bytes.lengths[b_ids]
@@ -153,18 +200,17 @@ def align(texts: list[str | None], a: ByteLevel, b: Pieces) -> Aligned:
     )
 
 
-def _portions(texts: list[str | None]) -> Iterator[list[int]]:
-    """Places of the texts that have characters, some ``ENCODE_BYTES`` at a time."""
-    some, size = [], 0
-    for i, text in enumerate(texts):
-        if text:
-            some.append(i)
-            size += len(text)
-            if size >= ENCODE_BYTES:
-                yield some
-                some, size = [], 0
-    if some:
-        yield some
+@lru_cache
+def _decimals(largest: int) -> tuple[np.ndarray, np.ndarray]:
+    """The digits of all numbers up to one, right-aligned with a place behind, and which places are used."""
+    numbers = np.arange(1 << max(1, largest.bit_length()))
+    width = len(str(numbers[-1]))
+    powers = 10 ** np.arange(width - 1, -1, -1)
+    digits = np.zeros((len(numbers), width + 1), np.uint8)
+    digits[:, :width] = numbers[:, None] // powers % 10 + ord("0")
+    used = np.ones(digits.shape, bool)
+    used[:, : width - 1] = numbers[:, None] >= powers[:-1]
+    return digits, used
 
 
 def spelt_groups(found: Aligned) -> list[bytes]:
@@ -179,16 +225,9 @@ def spelt_groups(found: Aligned) -> list[bytes]:
     a_place, b_place = np.arange(n_a) + b_before, np.arange(n_b) + a_before
     ids[a_place], ids[b_place] = found.a_ids, found.b_ids
     marks[a_place[found.end_a]], marks[b_place[found.end_b]] = ord("|"), ord(";")
-    width = max(1, len(str(ids.max(initial=0))))
-    letters = np.zeros((len(ids), width + 1), np.uint8)
-    rest = ids.copy()
-    for place in range(width - 1, -1, -1):
-        letters[:, place] = rest % 10 + ord("0")
-        rest //= 10
-    letters[:, width] = marks
-    shown = np.ones(letters.shape, bool)
-    for place in range(width - 1):
-        shown[:, place] = ids >= 10 ** (width - 1 - place)
+    digits, used = _decimals(int(ids.max(initial=0)))
+    letters, shown = digits[ids], used[ids]
+    letters[:, -1] = marks
     spelt = letters[shown].tobytes()
     ends = np.concatenate([[0], np.cumsum(shown.sum(axis=1))])
     cuts = ends[np.concatenate([[0], np.cumsum(found.per_doc(found.a_doc) + found.per_doc(found.b_doc))])]
@@ -210,9 +249,9 @@ def aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     link_kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = ByteLevel(a_path), Pieces(b_path)
-        for ids, texts in _in_blocks(batches):
-            found = align(texts, a, b)
+        sides = Sides(a_path, b_path)
+        for ids, texts in _in_portions(batches, ALIGN_BYTES):
+            found = align(texts, sides)
             first_a = np.concatenate([[0], np.cumsum(found.per_doc(found.a_doc))])
             first_b = np.concatenate([[0], np.cumsum(found.per_doc(found.b_doc))])
             order = np.lexsort((found.link_b, found.link_a))
@@ -240,18 +279,18 @@ def aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     )
 
 
-def _in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
-    """Ids and texts of rows, as many as make a block."""
-    ids, texts, size = [], [], 0
+def _in_portions(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list, list]]:
+    """Ids and texts of rows, as many as have some ``size`` bytes."""
+    ids, texts, n = [], [], 0
     for batch in batches:
-        for i, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
+        for i, text in zip(batch["doc_id"], batch["text"]):
             text = text.as_py()
-            ids.append(i)
+            ids.append(i.as_py())
             texts.append(text)
-            size += len(text or "") + 64
-            if size >= BLOCK_BYTES:
+            n += len(text or "") + 64
+            if n >= size:
                 yield ids, texts
-                ids, texts, size = [], [], 0
+                ids, texts, n = [], [], 0
     if ids:
         yield ids, texts
 
@@ -275,36 +314,57 @@ BLOCK = (
 )
 
 
+class _Block:
+    """Documents that share one list of pairs: per document its counts, pairs and how often it links each."""
+
+    def __init__(self):
+        self.size = 0
+        self.columns: dict[str, list] = {c: [] for c in ("doc_ids", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "n_pairs")}
+        self.pair: list[np.ndarray] = []
+        self.times: list[np.ndarray] = []
+
+    def add(self, ids: list, texts: list, found: Aligned) -> None:
+        doc = found.a_doc[found.link_a]
+        pair = found.a_ids[found.link_a] * PAIR_BASE + found.b_ids[found.link_b]
+        keys, times = np.unique(doc * (PAIR_BASE * PAIR_BASE) + pair, return_counts=True)
+        self.pair.append(keys % (PAIR_BASE * PAIR_BASE))
+        self.times.append(times.astype(np.uint32))
+        rows = {
+            "doc_ids": ids,
+            "n_a": found.per_doc(found.a_doc),
+            "n_b": found.per_doc(found.b_doc),
+            "n_groups": found.per_doc(found.a_doc[found.end_a]),
+            "n_links": found.per_doc(doc),
+            "groups_sha256": [hashlib.sha256(g).hexdigest() if g else "" for g in spelt_groups(found)],
+            "n_pairs": found.per_doc(keys // (PAIR_BASE * PAIR_BASE)),
+        }
+        for name, values in rows.items():
+            self.columns[name] += values if isinstance(values, list) else values.tolist()
+        self.size += sum(len(t or "") + 64 for t in texts)
+
+    def row(self, schema: pa.Schema) -> pa.RecordBatch:
+        pairs, place, holders = np.unique(np.concatenate([NONE, *self.pair]), return_inverse=True, return_counts=True)
+        n_pairs = np.array(self.columns["n_pairs"], np.int64)
+        first = np.zeros(len(place), bool)  # of a document; its places rise from there
+        first[(np.cumsum(n_pairs) - n_pairs)[n_pairs > 0]] = True
+        step = np.where(first, place, place - np.concatenate([[0], place[:-1]]))
+        links = _pack(step, np.concatenate([np.zeros(0, np.uint32), *self.times]))
+        row = {**self.columns, "pairs": pairs, "holders": holders, "links": links}
+        return pa.RecordBatch.from_pydict({name: [row[name]] for name in schema.names}, schema=schema)
+
+
 def _blocks(a_path: str, b_path: str):
     """One row per block: its distinct pairs, and per document counts and places in that list."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = ByteLevel(a_path), Pieces(b_path)
-        for ids, texts in _in_blocks(batches):
-            found = align(texts, a, b)
-            doc = found.a_doc[found.link_a]
-            pair = found.a_ids[found.link_a] * PAIR_BASE + found.b_ids[found.link_b]
-            keys, times = np.unique(doc * (PAIR_BASE * PAIR_BASE) + pair, return_counts=True)
-            doc, pair = keys // (PAIR_BASE * PAIR_BASE), keys % (PAIR_BASE * PAIR_BASE)
-            pairs, place, holders = np.unique(pair, return_inverse=True, return_counts=True)
-            n_pairs = found.per_doc(doc)
-            first = np.zeros(len(place), bool)
-            first[(np.cumsum(n_pairs) - n_pairs)[n_pairs > 0]] = True
-            step = np.where(first, place, place - np.concatenate([[0], place[:-1]]))
-            groups = spelt_groups(found)
-            row = {
-                "pairs": pairs,
-                "holders": holders,
-                "doc_ids": ids,
-                "n_a": found.per_doc(found.a_doc),
-                "n_b": found.per_doc(found.b_doc),
-                "n_groups": found.per_doc(found.a_doc[found.end_a]),
-                "n_links": found.per_doc(found.a_doc[found.link_a]),
-                "groups_sha256": [hashlib.sha256(g).hexdigest() if g else "" for g in groups],
-                "n_pairs": n_pairs,
-                "links": _pack(step, times),
-            }
-            yield pa.RecordBatch.from_pydict({k: [v] for k, v in row.items()}, schema=schema)
+        sides, block = Sides(a_path, b_path), _Block()
+        for ids, texts in _in_portions(batches, ALIGN_BYTES):
+            block.add(ids, texts, align(texts, sides))
+            if block.size >= BLOCK_BYTES:
+                yield block.row(schema)
+                block = _Block()
+        if block.size:
+            yield block.row(schema)
 
     def kind(name: str) -> pa.DataType:
         if name == "BINARY":

@@ -117,6 +117,7 @@ def test_equals_pairs_compared_one_by_one(spark, docs, tools):
 
 def test_blocks_do_not_change_the_result(spark, docs, tools, monkeypatch):
     monkeypatch.setattr(alignment, "BLOCK_BYTES", 100)
+    monkeypatch.setattr(alignment, "ALIGN_BYTES", 60)
     assert found(alignment.alignment_counts(docs(*ROWS).repartition(3), A, B)) == brute(tools, ROWS)
 
 

@@ -155,7 +155,7 @@ def _of_kind(facts: DataFrame, kind: str) -> DataFrame:
 
 def _per_column(facts: DataFrame, kind: str, columns: Sequence[str]) -> DataFrame:
     """One row per column, also where nothing was found."""
-    names = facts.sparkSession.createDataFrame([(c,) for c in columns], "column_name STRING")
+    names = facts.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column_name"))
     found = _of_kind(facts, kind).withColumnRenamed("name", "column_name")
     return names.join(found, "column_name", "left").withColumn("row_count", F.coalesce("row_count", F.lit(0).cast("bigint")))
 

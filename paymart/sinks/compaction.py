@@ -91,7 +91,8 @@ def compact(
     work = f"{_work(path)}/{uuid.uuid4().hex}"
     # The metadata column spells names as URIs; the last two parts tell a file.
     told = [("/".join(name.split("/")[-2:]), i) for i, g in enumerate(groups) for name in g]
-    group_of = spark.createDataFrame(told, "file STRING, group_of_file INT")
+    listed = F.from_json(F.lit(json.dumps([{"file": f, "group_of_file": i} for f, i in told])), "ARRAY<STRUCT<file: STRING, group_of_file: INT>>")
+    group_of = spark.range(1).select(F.inline(listed))
     file = F.substring_index(F.url_decode(F.col(_NAME)), "/", -2)
     rows = spark.read.schema(schema).option("basePath", path).parquet(*old).withColumn("file", file)
     grouped = rows.join(group_of, "file").repartitionById(len(groups), F.col("group_of_file"))

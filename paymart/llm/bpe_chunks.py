@@ -36,7 +36,7 @@ from paymart.llm.shared import staged
 from paymart.llm.words import mix
 
 BLOCK_BYTES = 8 << 20  # text of a block; raise it with the input, as memory allows
-MOST_WORDS = 300_000  # that a task remembers; then it begins anew, with the same results
+MOST_WORDS = 600_000  # that a task remembers; then it begins anew, with the same results
 SHORTEST, LONGEST = 256, 8192  # bytes of a chunk
 CUT_BITS = 10  # one place in 1024 is a cut
 
@@ -204,8 +204,8 @@ def settle(chunks: list[Chunk], encoder: Encoder) -> None:
         again = []
         for at, i in enumerate(open_):
             head, tail, whole = ids[at], ids[at + len(open_)], chunks[i].ids
-            head_agrees = np.array_equal(head, whole[: len(head)])
-            tail_agrees = np.array_equal(tail, whole[len(whole) - len(tail) :])
+            head_agrees = head.tobytes() == whole[: len(head)].tobytes()
+            tail_agrees = len(tail) <= len(whole) and tail.tobytes() == whole[len(whole) - len(tail) :].tobytes()
             if head_agrees and tail_agrees:
                 chunks[i].head, chunks[i].n_head = pieces[at], len(head)
                 chunks[i].tail, chunks[i].n_tail = pieces[at + len(open_)], len(tail)

@@ -40,7 +40,8 @@ class KnownWords:
         n = ends[known + 1] - begin
         upto = np.concatenate([[0], np.cumsum(n)])
         place = np.arange(upto[-1]) + np.repeat(begin - upto[:-1], n)
-        return np.split(ids[place], upto[cuts[1:-1]])
+        flat, borders = ids[place], upto[cuts].tolist()
+        return [flat[a:b] for a, b in zip(borders, borders[1:])]
 
     def _learn(self, words: list[str]) -> None:
         """Have the tokenizers encode words, a portion at a time."""

@@ -49,4 +49,26 @@ SELECT page_id, CAST(OCTET_LENGTH(ENCODE(p.payload)) AS BIGINT) AS payload_bytes
 FROM p JOIN g USING (payload)
 """
 
-ORACLES = {"op4_source_mixing": OP4, "op6_warc_zip": OP6}
+OP13 = """
+WITH numbered AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         LIST_TRANSFORM(embedding, lambda x: FLOOR(256 * CAST(x AS DOUBLE))) AS whole
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND LEN(LIST_FILTER(embedding, lambda x: x IS NULL OR NOT ISFINITE(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS alike, b.vec_id,
+         CAST(LIST_DOT_PRODUCT(a.whole, b.whole) AS BIGINT) AS score
+  FROM numbered a JOIN numbered b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT s.anchor_id, p.positive_id,
+       CAST(ROW_NUMBER() OVER (PARTITION BY s.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM scored s JOIN positives p ON p.anchor_id = s.anchor_id
+WHERE NOT s.alike AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+QUALIFY rank <= 5
+"""
+
+ORACLES = {"op4_source_mixing": OP4, "op6_warc_zip": OP6, "op13_hard_negatives": OP13}

@@ -15,7 +15,7 @@ from paymart.llm.queries import QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, small_dir, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "labels", "benchmark"):
+    for table in ("documents", "pages", "labels", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{small_dir}/{table}.parquet'")
     df = QUERIES[name](spark, small_dir)
     columns = sorted(df.columns)

@@ -36,7 +36,8 @@ from paymart.llm.shared import staged
 from paymart.llm.words import mix
 
 BLOCK_BYTES = 8 << 20  # text of a block; raise it with the input, as memory allows
-MOST_WORDS = 600_000  # that a task remembers; then it begins anew, with the same results
+PORTION = 1 << 21  # characters split, or ids decoded, at once: what this takes does not grow with the block
+MOST_WORDS = 1_000_000  # that a Python worker remembers; then it begins anew, with the same results
 SHORTEST, LONGEST = 256, 8192  # bytes of a chunk
 CUT_BITS = 10  # one place in 1024 is a cut
 
@@ -90,6 +91,13 @@ def digest(chunk: bytes) -> bytes:
     return hashlib.blake2b(chunk, digest_size=KEY_BYTES).digest()
 
 
+def portions(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Borders of runs of items that come to about ``PORTION``; one item may be larger."""
+    cuts = np.flatnonzero(np.diff(np.cumsum([0, *sizes]) // PORTION)[1:]) + 1 if sizes else []
+    borders = [0, *cuts, len(sizes)]
+    return zip(borders[:-1], borders[1:])
+
+
 class UnsuitableTokenizer(ValueError):
     """A tokenizer that may look across white space."""
 
@@ -147,7 +155,10 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text by itself."""
-        return self.known.ids_of(pc.ascii_split_whitespace(pa.array(texts, pa.large_string())))[0]
+        out: list[np.ndarray] = []
+        for i, j in portions([len(t) for t in texts]):
+            out += self.known.ids_of(pc.ascii_split_whitespace(pa.array(texts[i:j], pa.large_string())))[0]
+        return out
 
     def _encode_words(self, words: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -316,29 +327,29 @@ def _large(blob: bytes) -> np.ndarray:
     return np.frombuffer(raw, np.uint16 if blob[0] == 2 else np.uint32).astype(np.int32)
 
 
-class _Task:
-    """One encoder for all groups of a task; it begins anew when it knows very many words."""
+_WORKER: dict[tuple, Encoder] = {}
 
-    def __init__(self, path: str):
-        self.path, self.kept = path, None
 
-    def encoder(self) -> Encoder:
-        if self.kept is None:
-            self.kept = Encoder(self.path)
-        elif len(self.kept.known.number) > MOST_WORDS:
-            self.kept.forget()
-        return self.kept
+def _worker_encoder(path: str) -> Encoder:
+    """The one encoder of a Python worker, kept from task to task; it begins anew when it knows very many words."""
+    file = os.stat(path)
+    key = (path, file.st_size, file.st_mtime_ns)
+    if key not in _WORKER:
+        _WORKER.clear()
+        _WORKER[key] = Encoder(path)
+    elif len(_WORKER[key].known.number) > MOST_WORDS:
+        _WORKER[key].forget()
+    return _WORKER[key]
 
 
 def _encode_owned(path: str):
     """Ids of the chunks that a block encodes for others."""
-    task = _Task(path)
 
     def run(packs: pa.Table, owned: pa.Table) -> pa.Table:
         wanted, found = set(owned["key"].to_pylist()) if owned.num_rows else set(), {}
         if wanted and packs.num_rows:
             found = {key: c for chunks in _unpacked(packs)[1] for key, c in chunks if key in wanted}
-        blobs = [_small(x) for x in task.encoder().encode([c.decode() for c in found.values()])] if found else []
+        blobs = [_small(x) for x in _worker_encoder(path).encode([c.decode() for c in found.values()])] if found else []
         return pa.table({"key": pa.array(list(found), pa.binary()), "ids": pa.array(blobs, pa.binary())})
 
     return run
@@ -346,28 +357,34 @@ def _encode_owned(path: str):
 
 def _encode_blocks(path: str):
     """Ids and decoded text of the documents of a block, given the shared chunks' ids."""
-    task = _Task(path)
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
 
+    def table_of(rows: list[int], doc_ids: list, found: list[np.ndarray], encoder: Encoder) -> pa.Table:
+        ends = np.cumsum([0, *(len(found[i]) for i in rows)])
+        flat = np.concatenate([np.zeros(0, np.int32), *(found[i] for i in rows)])
+        lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
+        once = list(dict.fromkeys(rows))
+        decoded = dict(zip(once, encoder.decode([found[i] for i in once])))
+        columns = [pa.array([doc_ids[i] for i in rows], pa.int64()), lists, pa.array([decoded[i] for i in rows], pa.string())]
+        return pa.table(columns, schema=schema)
+
     def run(packs: pa.Table, codes: pa.Table) -> pa.Table:
         if not packs.num_rows:
             return schema.empty_table()
-        encoder = task.encoder()
+        encoder = _worker_encoder(path)
         sent = dict(zip(codes["key"].to_pylist(), codes["ids"].to_pylist())) if codes.num_rows else {}
         doc_ids, cut, times = _unpacked(packs)
-        new = {key: c.decode() for key, c in {key: c for chunks in cut for key, c in chunks}.items()}
+        raw = {key: c for chunks in cut for key, c in chunks}
+        cut = [[key for key, _ in chunks] for chunks in cut]
+        new = {key: raw.pop(key).decode() for key in list(raw)}  # bytes go as texts come
         here = [key for key in new if key not in sent]
         ids = dict(zip(here, encoder.encode([new[key] for key in here])))
         known = {key: Chunk(text, ids[key] if key in ids else _large(sent[key])) for key, text in new.items()}
-        settle([known[key] for key in dict.fromkeys(key for chunks in cut if len(chunks) > 1 for key, _ in chunks)], encoder)
-        found = join_chunks([[known[key] for key, _ in chunks] for chunks in cut], encoder)
-        decoded = encoder.decode(found)
+        settle([known[key] for key in dict.fromkeys(key for keys in cut if len(keys) > 1 for key in keys)], encoder)
+        found = join_chunks([[known[key] for key in keys] for keys in cut], encoder)
+        del new, known, ids, sent
         rows = [i for i, n in enumerate(times) for _ in range(n)]
-        ends = np.cumsum([0, *(len(found[i]) for i in rows)])
-        flat = np.concatenate([np.zeros(0, np.int32), *(found[i] for i in rows)])
-        lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
-        columns = [pa.array([doc_ids[i] for i in rows], pa.int64()), lists, pa.array([decoded[i] for i in rows], pa.string())]
-        return pa.table(columns, schema=schema)
+        return pa.concat_tables([table_of(rows[i:j], doc_ids, found, encoder) for i, j in portions([len(found[i]) for i in rows])])
 
     return run
 

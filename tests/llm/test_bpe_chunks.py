@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -141,3 +142,24 @@ def test_query_on_the_small_table(spark, small_dir):
         want[r["doc_id"]] = (len(ids), sha(" ".join(map(str, ids))), sha(decoded))
     got = QUERIES["op11_bpe_chunks"](spark, small_dir).collect()
     assert {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in got} == want and len(got) == len(want)
+
+
+def test_memory_does_not_grow_with_the_block():
+    """Words are looked up, and ids decoded, a portion at a time; the result is the same."""
+    pick = random.Random(3)
+    texts = [" ".join(f"w{pick.randrange(30_000)}" for _ in range(pick.randrange(400))) for _ in range(8000)]
+    encoder, sizes = bpe_chunks.Encoder(PATH), []
+    inner = encoder.known.ids_of
+    encoder.known.ids_of = lambda split: sizes.append(len(split.flatten())) or inner(split)
+    ids = encoder.encode(texts)
+    assert max(sizes) <= 0.4 * sum(sizes)
+    assert all(x.tolist() == whole(t)[0] for x, t in zip(ids[::40], texts[::40])) and len(ids) == len(texts)
+
+    block = pa.table({"block": [0] * len(texts), "doc_id": range(len(texts)), "text": texts})
+    packs = pa.Table.from_batches(bpe_chunks._packed(iter(block.to_batches())))
+    codes = pa.table({"key": pa.array([], pa.binary()), "ids": pa.array([], pa.binary())})
+    found = bpe_chunks._encode_blocks(PATH)(packs, codes)
+    assert max(len(c.flatten()) for c in found["ids"].chunks) <= 0.6 * sum(map(len, ids))
+    got = dict(zip(found["doc_id"].to_pylist(), zip(found["ids"].to_pylist(), found["decoded"].to_pylist())))
+    assert len(got) == len(texts) and all(got[i][0] == ids[i].tolist() for i in got)
+    assert all(got[i] == whole(texts[i]) for i in range(0, len(texts), 40))

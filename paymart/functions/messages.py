@@ -41,10 +41,11 @@ def parse_messages(df: DataFrame, field: str = "value", message_type: str = MESS
 
     Each parse sits in a generator of one row. The verdict reads every parsed
     field, and a filter on it would otherwise be pushed down together with one
-    copy of the parse per field.
+    copy of the parse per field. So does the text, which may be derived by a
+    dear expression: a generator evaluates each of its columns by itself.
     """
-    raw = F.col(field).cast("string")
-    opened = df.select(_once(raw.alias("raw"), F.from_json(raw, ENVELOPE).alias("e")))
+    texts = df.select(_once(F.col(field).cast("string").alias("raw")))
+    opened = texts.select(_once("raw", F.from_json("raw", ENVELOPE).alias("e")))
     parsed = opened.select(_once("raw", "e", F.from_json("e.payload", TRANSACTION).alias("t")))
     reason = (
         F.when(_all_null("e", ENVELOPE), F.lit("envelope"))

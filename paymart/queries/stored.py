@@ -214,9 +214,11 @@ def ingest_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def ingest_troubled_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two targets; later copies are broken, and an earlier one comes in a later load."""
-    first, second = scratch_path(spark, "transactions"), scratch_path(spark, "transactions")
-    troubled = fixtures.troubled_messages(spark, sf_dir)
+    """Two targets; later copies are broken, and an earlier one comes in a later load. All loads read one topic."""
+    topic, first, second = (scratch_path(spark, n) for n in ("topic", "transactions", "transactions"))
+    options = {"path": topic, "maxRecordsPerFile": "100000"}  # copies of a kind lie together: many files deal them out
+    topics.produce_messages(fixtures.troubled_messages(spark, sf_dir), options, format="parquet")
+    troubled = read_batch(spark, {"path": topic}, format="parquet")
     for _ in range(2):
         ingest.ingest_messages(troubled, first, second)
     early = F.col("value").cast("string").contains('\\"status\\":\\"queued\\"')

@@ -3,7 +3,10 @@
 import datetime as dt
 import json
 
+from pyspark.sql import functions as F
+
 from paymart.functions import conform_transaction, decode_envelope, decode_payload, encode_messages
+from paymart.functions.messages import parse_messages
 from paymart.operators.checks import any_null, not_null_report, quarantine
 from paymart.operators.dedup import dedup_by_id, one_per_key
 from paymart.operators.filters import filter_message_type
@@ -155,3 +158,10 @@ def test_conform_nulls_what_does_not_fit(spark, rows):
         "country STRING, status STRING, transaction_type STRING, amount STRING, transaction_dt TIMESTAMP_NTZ",
     )
     assert rows(conform_transaction(df), "account_number_from", "account_number_to") == [(None, 2)]
+
+
+def test_a_derived_text_is_made_once_per_message(spark):
+    made = spark.range(3).select(F.sha2(F.col("id").cast("string").cast("binary"), 256).alias("value"))
+    parsed = parse_messages(made)
+    assert parsed._jdf.queryExecution().optimizedPlan().toString().count("sha2(") == 1
+    assert sorted(tuple(r) for r in parsed.select("raw", "reject_reason").collect()) == sorted((r[0], "envelope") for r in made.collect())

@@ -11,9 +11,11 @@
 4. Links give components. Only buckets whose members still belong to several
    components can hold further links between them: those are cut into tiles of
    bounded size, and pairs of different components are compared in the tiles,
-   each pair only in the first band that it shares: first the sketches, then
-   the sets. A tile gives back links that join components, not pairs.
-   So no link between components is lost and no group is ever spelled out.
+   each pair only in the first band that it shares: first the sketches alone,
+   then, among members with a likely pair in the tile, the sets as well. A tile
+   gives back such members, then links that join components, never pairs.
+   So no link between components is lost and no group is ever spelled out, and
+   a set travels only to the tiles where a pair of it is likely.
 """
 
 from __future__ import annotations
@@ -162,14 +164,36 @@ def _prune(looks):
     return run
 
 
+def _likely_pairs(tile: pa.Table, looks, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each row of a tile with those it may be linked with: of another component, and not together in an earlier band."""
+    ids, groups, sizes = (tile[c].to_numpy() for c in ("rep", "component", "size"))
+    slots, sketches = tile["slot"].to_numpy(), _matrix(tile["sketch"])
+    earlier = tile["earlier"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+    low, high = tile["low"][0].as_py(), tile["high"][0].as_py()
+    columns = np.flatnonzero(slots == high)
+    for i in np.flatnonzero(slots == low):
+        other = columns[(groups[columns] != groups[i]) & ((ids[columns] > ids[i]) | (low != high))]
+        like = 100 * np.minimum(sizes[other], sizes[i]) >= percent * np.maximum(sizes[other], sizes[i])
+        other = other[like & ~(earlier[other] == earlier[i]).any(axis=1)]
+        yield i, other[_likely(np.broadcast_to(sketches[i], (len(other), sketches.shape[1])), sketches[other], looks)]
+
+
+def _likely_members(looks, percent: int):
+    """The members of a tile that have a likely pair there."""
+
+    def run(tile: pa.Table) -> pa.Table:
+        found = np.zeros(tile.num_rows, bool)
+        for i, near in _likely_pairs(tile, looks, percent):
+            found[near] = True
+            found[i] |= len(near) > 0
+        return tile.select(["band", "low", "high", "rep"]).filter(pa.array(found))
+
+    return run
+
+
 def _prune_tile(looks, percent: int):
     def run(tile: pa.Table) -> pa.Table:
-        ids, groups, sizes = (tile[c].to_numpy() for c in ("rep", "component", "size"))
-        slots, sketches = tile["slot"].to_numpy(), _matrix(tile["sketch"])
-        bands = tile["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
-        bands = bands[:, : int(np.flatnonzero(bands[0] == tile["band"][0].as_py())[0])]
-        low, high = tile["low"][0].as_py(), tile["high"][0].as_py()
-        columns = np.flatnonzero(slots == high)
+        ids, groups = (tile[c].to_numpy() for c in ("rep", "component"))
         sets = [np.frombuffer(x, np.uint64) for x in tile["shingles"].to_pylist()]
         joined: dict[int, int] = {}  # components that links of this tile have joined
 
@@ -179,11 +203,7 @@ def _prune_tile(looks, percent: int):
             return group
 
         a, b = [], []
-        for i in np.flatnonzero(slots == low):
-            other = columns[(groups[columns] != groups[i]) & ((ids[columns] > ids[i]) | (low != high))]
-            like = 100 * np.minimum(sizes[other], sizes[i]) >= percent * np.maximum(sizes[other], sizes[i])
-            other = other[like & ~(bands[other] == bands[i]).any(axis=1)]
-            near = other[_likely(np.broadcast_to(sketches[i], (len(other), sketches.shape[1])), sketches[other], looks)]
+        for i, near in _likely_pairs(tile, looks, percent):
             for j in near[_linked(sets[i], [sets[j] for j in near], percent)].tolist():
                 x, y = root(int(groups[i])), root(int(groups[j]))
                 if x != y:
@@ -280,15 +300,24 @@ def _judged(docs: DataFrame, percent: int, shingle: int, miss: float = 1e-7, til
     mixed = staged(mixed.where("low <> high").select("band"), "mixed-buckets")
     slots = F.ceil(F.col("members") / tile)
     known = staged(known.join(mixed, "band"), "to-compare")
-    sets = _sets_of(docs, reps, known.select("rep"), shingle)
-    tiles = (
-        known.join(reps.drop("doc_id", "text_hash").join(sets, "rep"), "rep")
-        .withColumn("slots", slots.cast("int"))
-        .withColumn("slot", F.pmod(F.xxhash64("rep"), F.col("slots")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
-        .select("band", F.least("slot", "other").alias("low"), F.greatest("slot", "other").alias("high"), "slot", "rep", "component", "size", "sketch", "bands", "shingles")
+    by_tile = ["band", "low", "high"]
+    before = F.slice("bands", 1, F.array_position("bands", F.col("band")).cast("int") - 1)
+    sketches = reps.select("rep", "size", "sketch", "bands")
+
+    def sketched(members: DataFrame) -> DataFrame:
+        rows = members.join(sketches, "rep").withColumn("earlier", before).withColumn("slots", slots.cast("int"))
+        return rows.withColumn("slot", F.pmod(F.xxhash64("rep"), F.col("slots")).cast("int"))
+
+    member = ["slot", "rep", "component", "size", "sketch", "earlier"]
+    tiles = sketched(known).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slots") - 1))).select(
+        "band", F.least("slot", "other").alias("low"), F.greatest("slot", "other").alias("high"), *member
     )
-    more = tiles.groupBy("band", "low", "high").applyInArrow(_prune_tile(looks, percent), "a long, b long")
+    likely = tiles.groupBy(*by_tile).applyInArrow(_likely_members(looks, percent), "band long, low int, high int, rep long")
+    likely = likely.groupBy("band", "rep").agg(F.collect_list(F.struct("low", "high")).alias("tiles"))
+    likely = staged(likely, "likely-members")  # one row per member and band: no join makes more rows than there are members
+    sets = _sets_of(docs, reps, likely.select("rep"), shingle)
+    tiles = sketched(known.join(likely, ["band", "rep"])).join(sets, "rep").select("band", F.inline("tiles"), *member, "shingles")
+    more = tiles.groupBy(*by_tile).applyInArrow(_prune_tile(looks, percent), "a long, b long")
     links = links.unionByName(staged(more, "tile-links"))
     component = connected_components(links).withColumnRenamed("node", "rep")
 

@@ -122,3 +122,25 @@ def test_components_of_chains_stars_and_loops(spark):
     expected = {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}, 200: 200, 201: 200}
     assert {r["node"]: r["component"] for r in found} == expected and len(found) == len(expected)
     assert connected_components(spark.createDataFrame([], "a LONG, b LONG")).collect() == []
+
+
+def test_sets_are_read_of_likely_members_alone(docs, monkeypatch):
+    """Texts that share half of their words meet in many bands; their sets are not sent there."""
+    pick = random.Random(5)
+    word = lambda: f"v{pick.randrange(10**6)}"
+    shared = [word() for _ in range(300)]
+    texts = [" ".join(shared + [word() for _ in range(170)]) for _ in range(40)]  # alike by some 0.47
+    close = [word() for _ in range(200)]
+    texts += [" ".join(close[:at] + [word()] + close[at + 1 :]) for at in range(0, 200, 8)]
+    texts += [" ".join(shared[:at] + [word()] + shared[at + 1 :]) for at in range(0, 300, 4)]
+    rows = list(enumerate(texts))
+    asked, inner = [], near_dedup._sets_of
+
+    def spied(docs, reps, wanted, shingle):
+        asked.append({r["rep"] for r in wanted.collect()})
+        return inner(docs, reps, wanted, shingle)
+
+    monkeypatch.setattr(near_dedup, "_sets_of", spied)
+    found = near_dedup.near_duplicates(docs(*rows), percent=85, shingle=3).collect()
+    assert sorted((tuple(r)[:3] for r in found), key=str) == brute(rows, 85, 3)
+    assert len(asked) == 2 and len(asked[1]) < 20

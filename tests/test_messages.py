@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from paymart.functions import conform_transaction, decode_envelope, decode_payload, encode_messages
@@ -11,7 +12,9 @@ from paymart.operators.checks import any_null, not_null_report, quarantine
 from paymart.operators.dedup import dedup_by_id, one_per_key
 from paymart.operators.filters import filter_message_type
 from paymart.plans.ingest import rejected_messages, transactions_from_messages
+from paymart.queries import stored
 from paymart.schemas import TXN_COLUMNS
+from paymart.sinks.files import MissingInputError
 
 
 def payload(**changes):
@@ -165,3 +168,12 @@ def test_a_derived_text_is_made_once_per_message(spark):
     parsed = parse_messages(made)
     assert parsed._jdf.queryExecution().optimizedPlan().toString().count("sha2(") == 1
     assert sorted(tuple(r) for r in parsed.select("raw", "reject_reason").collect()) == sorted((r[0], "envelope") for r in made.collect())
+
+
+def test_troubled_loads_read_one_topic(spark, sf_dir, monkeypatch):
+    """All four loads read the written topic; none makes the messages anew."""
+    read = []
+    monkeypatch.setattr(stored.ingest, "ingest_messages", lambda messages, *paths: read.append(messages.inputFiles()))
+    with pytest.raises(MissingInputError):  # nothing is loaded here
+        stored.ingest_troubled_messages(spark, sf_dir)
+    assert len(read) == 4 and all("/topic-" in name for names in read for name in names)
